@@ -1,0 +1 @@
+"""The queries of this library over the test tables, and SQL that must give the same rows."""

@@ -31,6 +31,7 @@ def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> Spa
         .appName("starloom")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     for key, value in extra.items():
