@@ -1,0 +1 @@
+"""Raw tables read as they grow."""
