@@ -13,9 +13,10 @@ def latest_rows(df: DataFrame, key: str, newest_by: list[str]) -> DataFrame:
 
     Catalyst turns the rank filter into a group limit on both sides of the shuffle, so a task
     sends at most one row per key and even a key with a third of all rows (or a missing key,
-    whose rows form one group) reaches its reducer as a handful of rows. A hash of the whole
-    row settles ties, which keeps reruns and retried tasks on the same answer.
+    whose rows form one group) reaches its reducer as a handful of rows. End ``newest_by`` with
+    what identifies a raw row (its file and line): the answer is then the same on every rerun,
+    and, unlike a hash of the whole row, it leaves column pruning alone.
     """
-    order = [F.desc_nulls_last(c) for c in newest_by] + [F.xxhash64(*df.columns).desc()]
+    order = [F.desc_nulls_last(c) for c in newest_by]
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)

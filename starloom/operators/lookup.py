@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +9,17 @@ FANOUT = 64
 HEAVY_SHARE = 0.005
 
 
-def _label(columns: list[Column]) -> Column:
+def _name(column: str) -> str:
+    return f"`{column}`"
+
+
+def _label(columns: list[str]) -> str:
     """One text per key. Equal keys have equal labels; a rare collision only costs a few copies."""
-    return F.concat_ws("|", *[c.cast("string") for c in columns])
+    return f"concat_ws('|', {', '.join(f'string({_name(c)})' for c in columns)})"
+
+
+def _all_present(columns: list[str]) -> str:
+    return " and ".join(f"{_name(c)} is not null" for c in columns)
 
 
 def heavy_keys(df: DataFrame, on: list[str], share: float = HEAVY_SHARE) -> list[str]:
@@ -22,7 +28,7 @@ def heavy_keys(df: DataFrame, on: list[str], share: float = HEAVY_SHARE) -> list
     Two passes over the key columns alone: bounded counters name at most ``1/share`` candidates
     and miss none above the share, then the candidates are counted exactly.
     """
-    labelled = df.filter(_all_present(on)).select(_label([F.col(c) for c in on]).alias("label"))
+    labelled = df.filter(_all_present(on)).selectExpr(f"{_label(on)} as label")
     candidates = labelled.freqItems(["label"], share).first()[0]
     if not candidates:
         return []
@@ -32,64 +38,62 @@ def heavy_keys(df: DataFrame, on: list[str], share: float = HEAVY_SHARE) -> list
     return sorted(label for label, n in counts.items() if label is not None and n > least)
 
 
-def _all_present(on: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
-
-
 def left_lookup(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     *,
     matched: str | None = None,
-    heavy: list | None = None,
+    spread_by: str | None = None,
+    heavy: list[str] | None = None,
     fanout: int = FANOUT,
 ) -> DataFrame:
     """``left`` with the non-key columns of ``right``; unmatched rows get NULLs.
 
-    * Rows with a missing key cannot match. Instead of meeting in one shuffle partition they
-      are spread by a hash of the row, and the join condition keeps them unmatched.
+    * ``spread_by`` names a column that tells left rows apart. Rows with a missing key cannot
+      match: instead of meeting in one shuffle partition they are spread by a hash of that
+      column, and the join condition keeps them unmatched. (The first key must be text.)
     * ``heavy`` lists keys that hold many left rows, as found by :func:`heavy_keys`. Those rows
-      are dealt over ``fanout`` partitions and the right rows of these keys, one each, are
-      repeated for each. Without it, adaptive execution splits the partitions it finds skewed.
+      are dealt by ``spread_by`` over ``fanout`` partitions and the right rows of these keys,
+      one each, are repeated for each. Without it, adaptive execution splits the partitions it
+      finds skewed.
     * Spark broadcasts ``right`` only if its measured size is below the session's threshold.
     """
     renamed = {c: f"__right_{c}" for c in on}
-    right = right.select([F.col(c).alias(renamed.get(c, c)) for c in right.columns])
+    right = right.withColumnsRenamed(renamed)
     first, *rest = on
-    complete = _all_present(on)
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-
-    left_key, right_key = _spread(left, first, complete, row_hash), F.col(renamed[first])
-    conditions = [left_key == right_key, complete]
-    conditions += [F.col(c) == F.col(renamed[c]) for c in rest]
+    pairs, helpers = [f"{_name(c)} = {_name(renamed[c])}" for c in rest], []
+    if spread_by:
+        spread = f"if({_all_present(on)}, {_name(first)}, string(xxhash64({_name(spread_by)})))"
+        pairs += [f"{spread} = {_name(renamed[first])}", _all_present(on)]
+    else:
+        pairs.append(f"{_name(first)} = {_name(renamed[first])}")
     if heavy:
-        dealt = F.when(_label([F.col(c) for c in on]).isin(heavy), F.pmod(row_hash, F.lit(fanout)).cast("int"))
-        left = left.withColumn("__deal", F.coalesce(dealt, F.lit(0)))
-        is_heavy = _label([F.col(c) for c in renamed.values()]).isin(heavy)
-        copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(fanout - 1))).otherwise(F.array(F.lit(0)))
+        listed = F.array(*map(F.lit, heavy))
+        dealt = F.when(_is_in(on, listed), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(fanout)))
+        left = left.withColumn("__deal", F.coalesce(dealt.cast("int"), F.lit(0)))
+        every = F.sequence(F.lit(0), F.lit(fanout - 1))
+        copies = F.when(_is_in(list(renamed.values()), listed), every).otherwise(F.array(F.lit(0)))
         right = right.withColumn("__copy", F.explode(copies))
-        conditions.append(F.col("__deal") == F.col("__copy"))
+        pairs.append("__deal = __copy")
+        helpers = ["__deal", "__copy"]
 
-    joined = left.join(right, reduce(lambda a, b: a & b, conditions), "left")
+    joined = left.join(right, F.expr(" and ".join(pairs)), "left")
     if matched:
-        joined = joined.withColumn(matched, right_key.isNotNull())
-    return joined.drop("__deal", "__copy", *renamed.values())
+        joined = joined.withColumn(matched, F.expr(f"{_name(renamed[first])} is not null"))
+    return joined.drop(*helpers, *renamed.values())
 
 
-def _spread(left: DataFrame, key: str, complete: Column, row_hash: Column) -> Column:
-    kind = left.schema[key].dataType
-    if kind.typeName() != "string":
-        return F.col(key)
-    return F.when(complete, F.col(key)).otherwise(row_hash.cast("string"))
+def _is_in(columns: list[str], labels: Column) -> Column:
+    return F.array_contains(labels, F.expr(_label(columns)))
 
 
 def resolve_key(
-    facts: DataFrame, dimension: DataFrame, *, natural: str, key: str, unknown: Column, matched: str
+    facts: DataFrame, dimension: DataFrame, *, key: str, unknown: Column, matched: str, spread_by: str | None = None
 ) -> DataFrame:
-    """Replace ``natural`` by the dimension's key, or by the Unknown key where it is absent.
+    """Keep ``key`` where the dimension has it, else put the Unknown key in its place.
 
     Only the key column of the dimension is read. ``matched`` records which of the two it was.
     """
-    found = left_lookup(facts, dimension.select(F.col(key).alias(natural)), [natural], matched=matched)
-    return found.withColumn(natural, F.when(F.col(matched), F.col(natural)).otherwise(unknown))
+    found = left_lookup(facts, dimension.select(key), [key], matched=matched, spread_by=spread_by)
+    return found.withColumn(key, F.when(F.col(matched), F.col(key)).otherwise(unknown))

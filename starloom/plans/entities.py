@@ -190,7 +190,7 @@ def customer_context(customers: DataFrame, months: DataFrame, geography: DataFra
     described = left_lookup(customers, latest_month(months), ["customer_id"]).select(
         "customer_id", "churn_category", "churn_reason", *profile_columns(), *service_columns()
     )
-    placed = left_lookup(described, geography.select("zip_code", *GEOGRAPHY), ["zip_code"])
+    placed = left_lookup(described, geography.select("zip_code", *GEOGRAPHY), ["zip_code"], spread_by="customer_id")
     return placed.drop("contract_type", "internet_type")
 
 
@@ -245,7 +245,7 @@ def monthly_360(months: DataFrame, context: DataFrame, audit: Audit, heavy: list
         "data_quality_status": quality_status(),
         **additive_columns(),
     }
-    joined = left_lookup(spine, context, ["customer_id"], heavy=heavy)
+    joined = left_lookup(spine, context, ["customer_id"], spread_by="monthly_snapshot_id", heavy=heavy)
     columns = [derived[c].alias(c) if c in derived else F.col(c) for c in MONTH_COLUMNS]
     return joined.select(*columns, *audit.columns())
 
@@ -274,7 +274,8 @@ def support_enriched(events: DataFrame, months: DataFrame, audit: Audit, heavy:
     context = months.select(
         "customer_id", F.col("snapshot_month").alias("event_month"), *[F.col(c).alias(n) for c, n in MONTH_CONTEXT.items()]
     )
-    joined = left_lookup(spine, context, ["customer_id", "event_month"], matched="is_customer_snapshot_matched", heavy=heavy)
+    skew = {"spread_by": "support_event_id", "heavy": heavy}
+    joined = left_lookup(spine, context, ["customer_id", "event_month"], matched="is_customer_snapshot_matched", **skew)
     return joined.select(
         *("support_event_id", "customer_id", "event_timestamp", "event_date", "event_month"),
         *("issue_category", "channel", "priority", "resolution_status", "resolution_hours", "satisfaction_score"),

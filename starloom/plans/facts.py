@@ -21,10 +21,13 @@ DIMENSION_KEYS = {
 DELIVERY = ("source_updated_at", "source_batch_id", "source_system", "etl_source_system")
 
 
-def with_dimension_keys(rows: DataFrame, customers: DataFrame, geography: DataFrame, services: DataFrame) -> DataFrame:
+def with_dimension_keys(
+    rows: DataFrame, row_key: str, customers: DataFrame, geography: DataFrame, services: DataFrame
+) -> DataFrame:
     """Keys of the three looked-up dimensions, Unknown where there is no such member.
 
-    ``rows`` brings its service key along; the other two are hashed here.
+    ``rows`` brings its service key along, missing where the customer is not known; the other
+    two are hashed here and never missing.
     """
     keyed = rows.withColumns(
         {
@@ -33,7 +36,8 @@ def with_dimension_keys(rows: DataFrame, customers: DataFrame, geography: DataFr
         }
     ).drop("zip_code")
     for dimension, (key, matched) in zip((customers, geography, services), DIMENSION_KEYS.items()):
-        keyed = resolve_key(keyed, dimension, natural=key, key=key, unknown=unknown_key(), matched=matched)
+        spread = row_key if key == "service_profile_key" else None
+        keyed = resolve_key(keyed, dimension, key=key, unknown=unknown_key(), matched=matched, spread_by=spread)
     return keyed
 
 
@@ -58,7 +62,7 @@ def fact_months(
         *measures,
         *DELIVERY,
     )
-    return with_dimension_keys(rows, customers, geography, services).select(
+    return with_dimension_keys(rows, MONTH_KEY, customers, geography, services).select(
         MONTH_KEY,
         *DIMENSION_KEYS,
         *("churn_reason_key", "date_key"),
@@ -92,7 +96,7 @@ def fact_events(
         *measures,
         *DELIVERY,
     )
-    return with_dimension_keys(rows, customers, geography, services).select(
+    return with_dimension_keys(rows, EVENT_KEY, customers, geography, services).select(
         EVENT_KEY,
         *DIMENSION_KEYS,
         "date_key",

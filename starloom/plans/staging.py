@@ -35,8 +35,9 @@ SERVICES = (
     "Unlimited Data",
 )
 
-_LOADED, _LINE = "__loaded", "__line"
-LOAD_ORDER = [_LOADED, _LINE]
+_LOADED, _LINE, _FILE = "__loaded", "__line", "__file"
+# What tells copies apart; file and line identify a raw row, so there are no ties.
+LOAD_ORDER = [_LOADED, _LINE, _FILE]
 SOURCE_ORDER = ["source_updated_at", *LOAD_ORDER]
 
 
@@ -53,11 +54,9 @@ def raw(name: str) -> Column:
 
 
 def load_columns() -> list[Column]:
-    """What picks the newest copy of a row; the first two never leave staging."""
-    return named(
-        **{_LOADED: F.col("etl_ingested_at"), _LINE: F.col("etl_file_row_number")},
-        etl_source_system=F.col("etl_source_system"),
-    )
+    """What picks the newest copy of a row; only the source system leaves staging."""
+    order = {_LOADED: "etl_ingested_at", _LINE: "etl_file_row_number", _FILE: "etl_source_file"}
+    return [F.col(c).alias(n) for n, c in order.items()] + [F.col("etl_source_system")]
 
 
 def delivery_columns() -> list[Column]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from datetime import date
 from functools import cached_property
@@ -56,7 +56,7 @@ class HeavyKeys:
         return cls(heavy_keys(months, ["customer_id"]), heavy_keys(dated, ["customer_id", "event_month"]))
 
 
-class Star:
+class Star(Mapping):
     """The tables of the star over a set of raw tables.
 
     Every table is built at most once and only when asked for. ``given`` holds tables that are
@@ -103,13 +103,18 @@ class Star:
         }
 
     def __getitem__(self, table: str) -> DataFrame:
+        """A raw or derived table by name."""
+        if table in self.bronze.open:
+            return self.bronze[table]
         if table not in self._tables:
             self._tables[table] = self._recipes[table]()
         return self._tables[table]
 
-    def tables(self) -> dict[str, DataFrame]:
-        """Raw and derived tables by name."""
-        return {**self.bronze.named(), **{name: self[name] for name in self._recipes}}
+    def __iter__(self) -> Iterator[str]:
+        return iter([*self.bronze.open, *self._recipes])
+
+    def __len__(self) -> int:
+        return len(self.bronze.open) + len(self._recipes)
 
     @property
     def customers(self) -> DataFrame:
@@ -210,12 +215,12 @@ def refresh(
     return report
 
 
-def stored(lake: Lake, bronze: Bronze, calendar: DataFrame | None = None) -> dict[str, DataFrame]:
+def stored(lake: Lake, bronze: Bronze, calendar: DataFrame | None = None) -> Star:
     """The raw tables and every table of the star, read from storage where it is kept there."""
     kept = {}
     for layer, tables in LAYERS.items():
         kept |= {t: lake.read(layer, t) for t in tables if lake.exists(layer, t)}
-    return Star(bronze, calendar=calendar, given=kept).tables()
+    return Star(bronze, calendar=calendar, given=kept)
 
 
 def recent_months(bronze_months: DataFrame, bound: date | None, audit: Audit) -> DataFrame:

@@ -94,7 +94,7 @@ def star(spark: SparkSession, folder: str) -> Star:
 
 def _register_tables() -> None:
     def table(name: str) -> Query:
-        return lambda spark, folder: star(spark, folder).tables()[name]
+        return lambda spark, folder: star(spark, folder)[name]
 
     for name in REQUIRED:
         register(f"src_{name}", f"SELECT * FROM {PART_OF[name]}")(table(name))
@@ -111,6 +111,8 @@ def _bronze_counts_sql() -> str:
 @register("src_scan", _bronze_counts_sql())
 def src_scan(spark, folder):
     """Rows, missing keys and distinct keys of the raw tables; duplicates are allowed there."""
+    bronze = adapters.bronze(spark, folder)
+    named = {name: bronze[name] for name in REQUIRED}
     profiles = [
         df.agg(
             F.lit(name).alias("source"),
@@ -118,7 +120,7 @@ def src_scan(spark, folder):
             F.count_if(raw(REQUIRED[name][0]).isNull()).alias("n_missing"),
             F.count_distinct(raw(REQUIRED[name][0])).alias("n_keys"),
         )
-        for name, df in adapters.bronze(spark, folder).named().items()
+        for name, df in named.items()
     ]
     out = profiles[0]
     for p in profiles[1:]:
@@ -176,7 +178,7 @@ def yes_no_bool(spark, folder):
 
 @register(
     "zip_normalize",
-    f"""SELECT {_ID}, left(lpad(CAST("Zip Code" AS VARCHAR), greatest(length(CAST("Zip Code" AS VARCHAR)), 5), '0'), 5) AS zip_code,
+    f"""SELECT {_ID}, left(lpad(CAST("Zip Code" AS VARCHAR), CAST(greatest(length(CAST("Zip Code" AS VARCHAR)), 5) AS INT), '0'), 5) AS zip_code,
         "Zip Code" > 99999 AS is_cut FROM raw_customer""",
 )
 def zip_normalize(spark, folder):
@@ -186,8 +188,7 @@ def zip_normalize(spark, folder):
 
 @register(
     "month_floor",
-    """SELECT etl_file_row_number AS line, snapshot_month - to_days(CAST(dayofmonth(snapshot_month) - 1 AS INT)) AS month
-       FROM raw_month""".replace("snapshot_month - to_days(CAST(dayofmonth(snapshot_month) - 1 AS INT))", "make_date(year(snapshot_month), month(snapshot_month), 1)"),
+    "SELECT etl_file_row_number AS line, make_date(year(snapshot_month), month(snapshot_month), 1) AS month FROM raw_month",
 )
 def month_floors(spark, folder):
     months = adapters.bronze(spark, folder).months
@@ -196,10 +197,10 @@ def month_floors(spark, folder):
 
 @register(
     "dedup_latest",
-    """SELECT monthly_snapshot_id, max(arg_max_row) AS line, count(*) AS versions FROM (
+    """SELECT monthly_snapshot_id, max(newest) AS line FROM (
            SELECT monthly_snapshot_id, first_value(etl_file_row_number) OVER (
-               PARTITION BY monthly_snapshot_id ORDER BY updated_at DESC NULLS LAST, etl_file_row_number DESC) AS arg_max_row
-           FROM raw_month) GROUP BY monthly_snapshot_id""".replace(", count(*) AS versions", ""),
+               PARTITION BY monthly_snapshot_id ORDER BY updated_at DESC NULLS LAST, etl_file_row_number DESC) AS newest
+           FROM raw_month) GROUP BY monthly_snapshot_id""",
 )
 def dedup_latest(spark, folder):
     months = adapters.bronze(spark, folder).months
@@ -343,7 +344,7 @@ def conditional_amount(spark, folder):
     return star(spark, folder).months.select("monthly_snapshot_id", lost.alias("lost"))
 
 
-@register("flag_count", f"SELECT customer_id, len(list_filter([{', '.join(HAS)}], x -> x)) AS service_count FROM customers".replace("x -> x", "lambda x: x"))
+@register("flag_count", f"SELECT customer_id, len(list_filter([{', '.join(HAS)}], lambda x: x)) AS service_count FROM customers")
 def flag_count(spark, folder):
     return star(spark, folder).customers.select("customer_id", flags.true_count(*[F.col(h) for h in HAS]).alias("service_count"))
 
@@ -354,9 +355,9 @@ _SAFE = ("has_online_security", "has_online_backup", "has_device_protection_plan
 
 @register(
     "flag_any",
-    f"""SELECT customer_id, {' OR '.join(f'{c} IS TRUE' for c in _TV)} AS any_streaming,
-        {' + '.join(map(number, _TV))} >= 2 AS two_streaming, {' AND '.join(f'{c} IS TRUE' for c in _SAFE)} AS all_security
-        FROM customers""".replace("IS TRUE", "IS NOT DISTINCT FROM true"),
+    f"""SELECT customer_id, {' OR '.join(f'coalesce({c}, false)' for c in _TV)} AS any_streaming,
+        {' + '.join(map(number, _TV))} >= 2 AS two_streaming, {' AND '.join(f'coalesce({c}, false)' for c in _SAFE)} AS all_security
+        FROM customers""",
 )
 def flag_any(spark, folder):
     tv, safe = [F.col(c) for c in _TV], [F.col(c) for c in _SAFE]
@@ -395,7 +396,7 @@ def typed_nulls(spark, folder):
 @register(
     "surrogate_key",
     f"""SELECT customer_id, {key('customer_id')} AS one, {key('offer', 'contract', 'internet_type', *HAS)} AS fourteen,
-        {key('total_revenue', 'age', 'latitude')} AS typed, {UNKNOWN_KEY} AS special FROM customers""".replace(", 'latitude'", ""),
+        {key('total_revenue', 'age', 'latitude')} AS typed, {UNKNOWN_KEY} AS special FROM customers""",
 )
 def surrogate_keys(spark, folder):
     configuration = [F.col(c) for c in ("offer", "contract", "internet_type", *HAS)]
@@ -446,12 +447,10 @@ def master_left_latest(spark, folder):
        LEFT JOIN geography AS g ON g.zip_code = c.zip_code""",
 )
 def entity_360(spark, folder):
-    """The spine meets one wide customer row, with the heaviest customers dealt over many partitions."""
+    """The spine meets one wide customer row instead of three customer tables and a ZIP table."""
     s = star(spark, folder)
     spine = s.months.select("monthly_snapshot_id", "customer_id")
     taken = s.context.select("customer_id", "zip_code", "city", "churn_reason", "service_profile_key")
-    busiest = adapters.raw(spark, folder, "orders").groupBy("o_custkey").count().orderBy(F.desc("count"), "o_custkey").limit(5)
-    del busiest
     return left_lookup(spine, taken, ["customer_id"], matched="known").drop("customer_id")
 
 
@@ -490,8 +489,7 @@ def const_cross(spark, folder):
 def fk_lookup(spark, folder):
     s = star(spark, folder)
     keyed = s.months.select("monthly_snapshot_id", surrogate_key(F.col("customer_id")).alias("customer_key"))
-    found = {"natural": "customer_key", "key": "customer_key", "unknown": unknown_key(), "matched": "is_customer_matched"}
-    return resolve_key(keyed, s["dim_customer"], **found)
+    return resolve_key(keyed, s["dim_customer"], key="customer_key", unknown=unknown_key(), matched="is_customer_matched")
 
 
 @register("role_key_route", "SELECT monthly_snapshot_id, is_churned, churn_reason_key FROM f_month")
@@ -739,7 +737,7 @@ def _checked(tables: dict[str, DataFrame], rule: str, table: str, column: str) -
 
 def _report_query(chosen: list[checks.Check]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return checks.report(star(spark, folder).tables(), chosen)
+        return checks.report(star(spark, folder), chosen)
 
     return run
 
@@ -815,7 +813,7 @@ _GRAIN = "customer_id, snapshot_month, count(*) AS n_rows"
 def _rule(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rule = next(c for c in quality.business_rules() if c.rule == name)
-        return rule.query(star(spark, folder).tables())
+        return rule.query(star(spark, folder))
 
     return run
 

@@ -138,7 +138,7 @@ PARTS = {
                  {pick('k', ('Offer', 'Service', 'Staff', 'Cost', '', 'Offer', 'Network', 'Staff', 'Cost', 'Moved'))}
                  ELSE '' END AS "Churn Reason",
             CASE WHEN k % 20 = 0 AND copy = 2 THEN {OLD} ELSE {NEW} END AS etl_ingested_at,
-            k * 10 + copy AS etl_file_row_number, 'CRM' AS etl_source_system
+            k * 10 + copy AS etl_file_row_number, 'crm.csv' AS etl_source_file, 'CRM' AS etl_source_system
         FROM (SELECT c_custkey AS k, c_nationkey AS n, n_name, c_mktsegment AS segment, c_acctbal,
                      unnest(CASE WHEN c_custkey % 10 = 0 THEN [1, 2] ELSE [1] END) AS copy
               FROM customer JOIN nation ON n_nationkey = c_nationkey)""",
@@ -146,11 +146,11 @@ PARTS = {
         SELECT CAST(600 + n AS INT) AS "Zip Code",
             CASE n WHEN 3 THEN '0' WHEN 7 THEN 'unknown' ELSE CAST((n + 1) * 1000 + copy AS VARCHAR) END AS "Population",
             CASE copy WHEN 2 THEN {OLD} ELSE {NEW} END AS etl_ingested_at,
-            CAST(n * 10 + copy AS BIGINT) AS etl_file_row_number, 'CENSUS' AS etl_source_system
+            CAST(n * 10 + copy AS BIGINT) AS etl_file_row_number, 'census.csv' AS etl_source_file, 'CENSUS' AS etl_source_system
         FROM (SELECT n_nationkey AS n, unnest(CASE WHEN n_nationkey % 5 = 0 THEN [1, 2] ELSE [1] END) AS copy FROM nation)
         UNION ALL
         SELECT CAST(900 + r_regionkey AS INT), CAST(r_regionkey * 500 AS VARCHAR), {NEW},
-            CAST(r_regionkey * 10 + 1000 AS BIGINT), 'CENSUS' FROM region""",
+            CAST(r_regionkey * 10 + 1000 AS BIGINT), 'census.csv', 'CENSUS' FROM region""",
     "raw_month": f"""
         SELECT ' ' || {CODE.format(k='c')} || strftime(day, '%Y%m') || ' ' AS monthly_snapshot_id,
             ' ' || {CODE.format(k='c')} || ' ' AS customer_id, CAST(day AS DATE) AS snapshot_month,
@@ -162,7 +162,7 @@ PARTS = {
             CASE WHEN o % 317 = 0 THEN '' WHEN status = 'F' THEN 'Stayed' WHEN status = 'O' THEN 'Joined '
                  ELSE 'Churned' END AS customer_status,
             CASE WHEN o % 331 <> 0 THEN day END AS updated_at, 'B' || CAST(o % 12 AS VARCHAR) AS batch_id,
-            ' billing ' AS source_system, {NEW} AS etl_ingested_at, o AS etl_file_row_number, 'BILLING' AS etl_source_system
+            ' billing ' AS source_system, {NEW} AS etl_ingested_at, o AS etl_file_row_number, 'billing.csv' AS etl_source_file, 'BILLING' AS etl_source_system
         FROM (SELECT o_orderkey AS o, o_custkey AS c, o_orderstatus AS status, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
                      CAST(o_orderdate AS TIMESTAMP) AS day FROM orders)""",
     "raw_event": f"""
@@ -177,7 +177,7 @@ PARTS = {
             CASE WHEN status = 'Pending' THEN NULL WHEN l_partkey % 223 = 0 THEN '6'
                  ELSE CAST(1 + l_partkey % 5 AS VARCHAR) END AS satisfaction_score,
             shipped AS updated_at, 'B' || CAST(l_suppkey % 7 AS VARCHAR) AS batch_id, 'crm' AS source_system,
-            {NEW} AS etl_ingested_at, l_partkey * 100000 + l_suppkey AS etl_file_row_number, 'CRM' AS etl_source_system
+            {NEW} AS etl_ingested_at, l_partkey * 100000 + l_suppkey AS etl_file_row_number, 'crm.csv' AS etl_source_file, 'CRM' AS etl_source_system
         FROM (SELECT *, CAST(l_shipdate AS TIMESTAMP) AS shipped,
                      CASE l_returnflag || l_linestatus WHEN 'AF' THEN 'Resolved' WHEN 'NF' THEN 'Resolved'
                           WHEN 'RF' THEN 'Escalated' WHEN 'AO' THEN ' Closed - Unresolved' ELSE 'Pending' END AS status

@@ -32,6 +32,8 @@ def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> Spa
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call-site capture costs a dozen gateway calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
     )
     for key, value in extra.items():

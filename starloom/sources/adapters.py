@@ -6,8 +6,7 @@ each table are described in FIXTURES.md.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from starloom.sources.bronze import Bronze
 
@@ -46,167 +45,168 @@ ISSUES = (
     "Pricing Complaint",
     "Unlisted Issue",
 )
+CONTRACTS = ("Month-to-Month", "One Year", "Two Year")
+PAYMENTS = ("Bank Withdrawal", "Credit Card", "Mailed Check")
+OFFERS = ("", "Offer A", "Offer B", "Offer C", "Offer D", "Offer E")
+CATEGORIES = ("Competitor", "Dissatisfaction", "Attitude", "Price", "")
+REASONS = ("Offer", "Service", "Staff", "Cost", "", "Offer", "Network", "Staff", "Cost", "Moved")
 
-
-def _pick(number: Column, values) -> Column:
-    """The value at position ``number % len(values)``."""
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (number % len(values) + 1).cast("int"))
+_NEW, _OLD = f"timestamp'{LOADED}'", f"timestamp'{LOADED_BEFORE}'"
 
 
-def _every(number: Column, n: int, rest: int = 0) -> Column:
-    return number % n == rest
+def _pick(number: str, values) -> str:
+    """The value at position ``number % len(values)``."""
+    listed = ", ".join("null" if v is None else f"'{v}'" for v in values)
+    return f"elt(int(({number}) % {len(values)}) + 1, {listed})"
 
 
-def _pad(number: Column, width: int) -> Column:
-    return F.lpad(number.cast("string"), width, "0")
+def _pad(number: str, width: int) -> str:
+    return f"lpad(string({number}), {width}, '0')"
 
 
-def _cents_text(cents: Column) -> Column:
+def _cents(amount: str) -> str:
     """A non-negative number of cents as text with two decimals."""
-    return F.concat_ws(".", F.floor(cents / 100).cast("string"), _pad(cents % 100, 2))
-
+    return f"concat(({amount}) div 100, '.', {_pad(f'({amount}) % 100', 2)})"
 
-def _amount(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
 
-
-def _stamp(text: str) -> Column:
-    return F.lit(text).cast("timestamp")
-
-
-def _customer_id(key: Column) -> Column:
+def _customer_id(key: str) -> str:
     """Every 131st customer goes by an id the customer master does not know."""
-    return F.concat(F.when(_every(key, 131), "X").otherwise("C"), _pad(key, 7))
-
-
-def _spaced(text: Column) -> Column:
-    return F.concat(F.lit(" "), text, F.lit(" "))
+    return f"concat(if({key} % 131 = 0, 'X', 'C'), {_pad(key, 7)})"
 
 
 def customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    k, n = F.col("c_custkey"), F.col("c_nationkey")
-    copies = F.when(_every(k, 10), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey).withColumn("copy", F.explode(copies))
-    churned = F.col("c_mktsegment") == "MACHINERY"
-
-    charges, refunds = 10000 + (k * 7919) % 900000, (k * 31) % 5000
-    extra, distance = (k % 10) * 1000, (k * 17) % 200000
-    refunds = F.when(_every(k, 7), None).otherwise(refunds)
-    revenue = charges - F.coalesce(refunds, F.lit(0)) + extra + distance + F.when(_every(k, 500, 7), 2).otherwise(0)
-
-    flags = [_pick(k + 7 * i, ANSWERS).alias(f) for i, f in enumerate(FLAG_FIELDS)]
-    return rows.select(
-        _spaced(F.concat(F.lit("C"), _pad(k, 7))).alias("Customer ID"),
-        F.when(_every(k, 97), "  ").when(_every(k, 2), "Female").otherwise("Male").alias("Gender"),
-        F.when(_every(k, 89), None).otherwise(16 + k % 70).cast("int").alias("Age"),
-        (k % 4).cast("int").alias("Number of Dependents"),
-        F.concat("n_name", F.lit(" ")).alias("City"),
-        F.when(_every(k, 211), None).when(_every(k, 223), 123456).otherwise(600 + n).cast("int").alias("Zip Code"),
-        (n.cast("double") * 1.5 - 20).alias("Latitude"),
-        (n.cast("double") * 2.25 - 30).alias("Longitude"),
-        (k % 11 + 100 * (F.col("copy") - 1)).cast("int").alias("Number of Referrals"),
-        F.when(_every(k, 101), None).otherwise(k % 73).cast("int").alias("Tenure in Months"),
-        _pick(k, ("", "Offer A", "Offer B", "Offer C", "Offer D", "Offer E")).alias("Offer"),
-        F.when(_every(k, 131), "n/a").otherwise(_cents_text(k % 5000)).alias("Avg Monthly Long Distance Charges"),
-        _pick(k, ("", "Fiber Optic", "DSL", " Cable ")).alias("Internet Type"),
-        (k % 60).cast("int").alias("Avg Monthly GB Download"),
-        *flags,
-        _pick(k, ("Month-to-Month", "One Year", "Two Year")).alias("Contract"),
-        _pick(k + 1, ("Bank Withdrawal", "Credit Card", "Mailed Check")).alias("Payment Method"),
-        F.when(_every(k, 149), "abc").otherwise(_amount("c_acctbal").cast("string")).alias("Monthly Charge"),
-        _cents_text(charges).alias("Total Charges"),
-        F.when(refunds.isNotNull(), _cents_text(refunds)).alias("Total Refunds"),
-        _cents_text(extra).alias("Total Extra Data Charges"),
-        _cents_text(distance).alias("Total Long Distance Charges"),
-        F.when(_every(k, 303), None).otherwise(_cents_text(revenue)).alias("Total Revenue"),
-        F.when(_every(k, 401), " ")
-        .when(churned, "Churned")
-        .when(F.col("c_mktsegment") == "BUILDING", " Joined")
-        .otherwise("Stayed")
-        .alias("Customer Status"),
-        F.when(churned, _pick(k, ("Competitor", "Dissatisfaction", "Attitude", "Price", ""))).otherwise("").alias("Churn Category"),
-        F.when(churned, _pick(k, ("Offer", "Service", "Staff", "Cost", "", "Offer", "Network", "Staff", "Cost", "Moved")))
-        .otherwise("")
-        .alias("Churn Reason"),
-        F.when(_every(k, 20) & (F.col("copy") == 2), _stamp(LOADED_BEFORE)).otherwise(_stamp(LOADED)).alias("etl_ingested_at"),
-        (k * 10 + F.col("copy")).cast("bigint").alias("etl_file_row_number"),
-        F.lit("CRM").alias("etl_source_system"),
+    """Every tenth customer has a second copy, which is newer or, for every other one, older."""
+    rows = customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "c_custkey as k",
+        "c_nationkey as n",
+        "n_name",
+        "c_mktsegment = 'MACHINERY' as churned",
+        "c_mktsegment = 'BUILDING' as joined",
+        "string(cast(c_acctbal as decimal(18,2))) as balance",
+        "explode(if(c_custkey % 10 = 0, array(1, 2), array(1))) as copy",
+    )
+    priced = rows.selectExpr(
+        "*",
+        "10000 + (k * 7919) % 900000 as charges",
+        "if(k % 7 = 0, null, (k * 31) % 5000) as refunds",
+        "(k % 10) * 1000 as extra",
+        "(k * 17) % 200000 as distance",
     )
+    revenue = "charges - coalesce(refunds, 0) + extra + distance + if(k % 500 = 7, 2, 0)"
+    columns = {
+        "Customer ID": f"concat(' C', {_pad('k', 7)}, ' ')",
+        "Gender": "case when k % 97 = 0 then '  ' when k % 2 = 0 then 'Female' else 'Male' end",
+        "Age": "int(if(k % 89 = 0, null, 16 + k % 70))",
+        "Number of Dependents": "int(k % 4)",
+        "City": "concat(n_name, ' ')",
+        "Zip Code": "int(case when k % 211 = 0 then null when k % 223 = 0 then 123456 else 600 + n end)",
+        "Latitude": "double(n) * 1.5D - 20",
+        "Longitude": "double(n) * 2.25D - 30",
+        "Number of Referrals": "int(k % 11 + 100 * (copy - 1))",
+        "Tenure in Months": "int(if(k % 101 = 0, null, k % 73))",
+        "Offer": _pick("k", OFFERS),
+        "Avg Monthly Long Distance Charges": f"if(k % 131 = 0, 'n/a', {_cents('k % 5000')})",
+        "Internet Type": _pick("k", ("", "Fiber Optic", "DSL", " Cable ")),
+        "Avg Monthly GB Download": "int(k % 60)",
+        **{f: _pick(f"k + {7 * i}", ANSWERS) for i, f in enumerate(FLAG_FIELDS)},
+        "Contract": _pick("k", CONTRACTS),
+        "Payment Method": _pick("k + 1", PAYMENTS),
+        "Monthly Charge": "if(k % 149 = 0, 'abc', balance)",
+        "Total Charges": _cents("charges"),
+        "Total Refunds": _cents("refunds"),
+        "Total Extra Data Charges": _cents("extra"),
+        "Total Long Distance Charges": _cents("distance"),
+        "Total Revenue": f"if(k % 303 = 0, null, {_cents(revenue)})",
+        "Customer Status": "case when k % 401 = 0 then ' ' when churned then 'Churned' when joined then ' Joined' else 'Stayed' end",
+        "Churn Category": f"if(churned, {_pick('k', CATEGORIES)}, '')",
+        "Churn Reason": f"if(churned, {_pick('k', REASONS)}, '')",
+        "etl_ingested_at": f"if(k % 20 = 0 and copy = 2, {_OLD}, {_NEW})",
+        "etl_file_row_number": "bigint(k * 10 + copy)",
+        "etl_source_file": "'crm.csv'",
+        "etl_source_system": "'CRM'",
+    }
+    return _select(priced, columns)
+
+
+def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{expression} as `{name}`" for name, expression in columns.items()])
 
 
 def zips(nation: DataFrame, region: DataFrame) -> DataFrame:
     """ZIPs of the nations (some twice) and, per region, one ZIP without customers."""
-    n = F.col("n_nationkey")
-    copies = F.when(_every(n, 5), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    served = nation.withColumn("copy", F.explode(copies)).select(
-        (600 + n).cast("int").alias("Zip Code"),
-        F.when(n == 3, "0").when(n == 7, "unknown").otherwise(((n + 1) * 1000 + F.col("copy")).cast("string")).alias("Population"),
-        F.when(F.col("copy") == 2, _stamp(LOADED_BEFORE)).otherwise(_stamp(LOADED)).alias("etl_ingested_at"),
-        (n * 10 + F.col("copy")).cast("bigint").alias("etl_file_row_number"),
-        F.lit("CENSUS").alias("etl_source_system"),
-    )
-    r = F.col("r_regionkey")
-    unserved = region.select(
-        (900 + r).cast("int").alias("Zip Code"),
-        (r * 500).cast("string").alias("Population"),
-        _stamp(LOADED).alias("etl_ingested_at"),
-        (r * 10 + 1000).cast("bigint").alias("etl_file_row_number"),
-        F.lit("CENSUS").alias("etl_source_system"),
-    )
-    return served.unionByName(unserved)
+    copies = nation.selectExpr("n_nationkey as n", "explode(if(n_nationkey % 5 = 0, array(1, 2), array(1))) as copy")
+    served = {
+        "Zip Code": "int(600 + n)",
+        "Population": "case n when 3 then '0' when 7 then 'unknown' else string((n + 1) * 1000 + copy) end",
+        "etl_ingested_at": f"if(copy = 2, {_OLD}, {_NEW})",
+        "etl_file_row_number": "bigint(n * 10 + copy)",
+        "etl_source_file": "'census.csv'",
+        "etl_source_system": "'CENSUS'",
+    }
+    unserved = {
+        "Zip Code": "int(900 + r_regionkey)",
+        "Population": "string(r_regionkey * 500)",
+        "etl_ingested_at": _NEW,
+        "etl_file_row_number": "bigint(r_regionkey * 10 + 1000)",
+        "etl_source_file": "'census.csv'",
+        "etl_source_system": "'CENSUS'",
+    }
+    return _select(copies, served).unionByName(_select(region, unserved))
 
 
 def months(orders: DataFrame) -> DataFrame:
-    o, c = F.col("o_orderkey"), F.col("o_custkey")
-    price, day = _amount("o_totalprice"), F.col("o_orderdate")
-    status = F.when(_every(o, 317), "").when(F.col("o_orderstatus") == "F", "Stayed")
-    status = status.when(F.col("o_orderstatus") == "O", "Joined ").otherwise("Churned")
-    return orders.select(
-        _spaced(F.concat(_customer_id(c), (F.year(day) * 100 + F.month(day)).cast("string"))).alias("monthly_snapshot_id"),
-        _spaced(_customer_id(c)).alias("customer_id"),
-        day.cast("date").alias("snapshot_month"),
-        F.when(_every(o, 307), "unknown").otherwise((o % 60).cast("string")).alias("tenure_months"),
-        _pick(o, ("Month-to-Month", " One Year", "Two Year", "")).alias("contract_type"),
-        _pick(c, ("Fiber Optic", "DSL", "Cable", " ")).alias("internet_type"),
-        (price - 5000).cast("string").alias("monthly_charge"),
-        (price + 10).cast("string").alias("monthly_revenue"),
-        (price * 2).cast("string").alias("total_revenue"),
-        status.alias("customer_status"),
-        F.when(_every(o, 331), None).otherwise(day.cast("timestamp")).alias("updated_at"),
-        F.concat(F.lit("B"), (o % 12).cast("string")).alias("batch_id"),
-        F.lit(" billing ").alias("source_system"),
-        _stamp(LOADED).alias("etl_ingested_at"),
-        o.alias("etl_file_row_number"),
-        F.lit("BILLING").alias("etl_source_system"),
-    )
+    price = "cast(o_totalprice as decimal(18,2))"
+    who = _customer_id("o_custkey")
+    status = "case o_orderstatus when 'F' then 'Stayed' when 'O' then 'Joined ' else 'Churned' end"
+    columns = {
+        "monthly_snapshot_id": f"concat(' ', {who}, year(o_orderdate) * 100 + month(o_orderdate), ' ')",
+        "customer_id": f"concat(' ', {who}, ' ')",
+        "snapshot_month": "date(o_orderdate)",
+        "tenure_months": "if(o_orderkey % 307 = 0, 'unknown', string(o_orderkey % 60))",
+        "contract_type": _pick("o_orderkey", ("Month-to-Month", " One Year", "Two Year", "")),
+        "internet_type": _pick("o_custkey", ("Fiber Optic", "DSL", "Cable", " ")),
+        "monthly_charge": f"string({price} - 5000)",
+        "monthly_revenue": f"string({price} + 10)",
+        "total_revenue": f"string({price} * 2)",
+        "customer_status": f"if(o_orderkey % 317 = 0, '', {status})",
+        "updated_at": "if(o_orderkey % 331 = 0, null, timestamp(o_orderdate))",
+        "batch_id": "concat('B', o_orderkey % 12)",
+        "source_system": "' billing '",
+        "etl_ingested_at": _NEW,
+        "etl_file_row_number": "o_orderkey",
+        "etl_source_file": "'billing.csv'",
+        "etl_source_system": "'BILLING'",
+    }
+    return _select(orders, columns)
 
 
 def events(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    o, p, s, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    flag, state, shipped = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_shipdate").cast("timestamp")
-    status = F.when(state == "F", F.when(flag == "R", "Escalated").otherwise("Resolved"))
-    status = status.when(flag == "A", " Closed - Unresolved").otherwise("Pending")
-    pending = (state == "O") & (flag != "A")
-    hours = F.when(_every(p, 197), "-1").when(~pending | _every(p, 211), F.col("l_quantity").cast("int").cast("string"))
-    score = F.when(~pending, F.when(_every(p, 223), "6").otherwise((1 + p % 5).cast("string")))
-    owner = orders.select("o_orderkey", "o_custkey")
-    return lineitem.join(owner, o == F.col("o_orderkey")).select(
-        F.concat_ws("-", o.cast("string"), line.cast("string")).alias("support_event_id"),
-        _spaced(_customer_id(F.col("o_custkey"))).alias("customer_id"),
-        F.when(_every(p, 1009), None).otherwise(shipped).alias("event_timestamp"),
-        _pick(p, ISSUES).alias("issue_category"),
-        _pick(s, ("Chat", "Phone ", "Email", "Self-Service")).alias("channel"),
-        _pick(line, ("Critical", "High", "Medium", "Low")).alias("priority"),
-        status.alias("resolution_status"),
-        hours.alias("resolution_hours"),
-        score.alias("satisfaction_score"),
-        shipped.alias("updated_at"),
-        F.concat(F.lit("B"), (s % 7).cast("string")).alias("batch_id"),
-        F.lit("crm").alias("source_system"),
-        _stamp(LOADED).alias("etl_ingested_at"),
-        (p * 100000 + s).alias("etl_file_row_number"),
-        F.lit("CRM").alias("etl_source_system"),
-    )
+    """Line items as support events of the customer who ordered; several versions of an event."""
+    status = """case when l_linestatus = 'F' then if(l_returnflag = 'R', 'Escalated', 'Resolved')
+                     when l_returnflag = 'A' then ' Closed - Unresolved' else 'Pending' end"""
+    owned = lineitem.join(orders.select("o_orderkey", "o_custkey"), lineitem.l_orderkey == orders.o_orderkey)
+    shipped = owned.selectExpr("*", f"{status} as status", "timestamp(l_shipdate) as shipped")
+    columns = {
+        "support_event_id": "concat(l_orderkey, '-', l_linenumber)",
+        "customer_id": f"concat(' ', {_customer_id('o_custkey')}, ' ')",
+        "event_timestamp": "if(l_partkey % 1009 = 0, null, shipped)",
+        "issue_category": _pick("l_partkey", ISSUES),
+        "channel": _pick("l_suppkey", ("Chat", "Phone ", "Email", "Self-Service")),
+        "priority": _pick("l_linenumber", ("Critical", "High", "Medium", "Low")),
+        "resolution_status": "status",
+        "resolution_hours": """case when l_partkey % 197 = 0 then '-1'
+            when status <> 'Pending' or l_partkey % 211 = 0 then string(int(l_quantity)) end""",
+        "satisfaction_score": """case when status = 'Pending' then null
+            when l_partkey % 223 = 0 then '6' else string(1 + l_partkey % 5) end""",
+        "updated_at": "shipped",
+        "batch_id": "concat('B', l_suppkey % 7)",
+        "source_system": "'crm'",
+        "etl_ingested_at": _NEW,
+        "etl_file_row_number": "l_partkey * 100000 + l_suppkey",
+        "etl_source_file": "'crm.csv'",
+        "etl_source_system": "'CRM'",
+    }
+    return _select(shipped, columns)
 
 
 def raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -214,10 +214,12 @@ def raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, folder: str) -> Bronze:
-    table = lambda name: raw(spark, folder, name)
+    def table(name: str) -> DataFrame:
+        return raw(spark, folder, name)
+
     return Bronze(
-        customers=customers(table("customer"), table("nation")),
-        zips=zips(table("nation"), table("region")),
-        months=months(table("orders")),
-        events=events(table("lineitem"), table("orders")),
+        customers=lambda: customers(table("customer"), table("nation")),
+        zips=lambda: zips(table("nation"), table("region")),
+        months=lambda: months(table("orders")),
+        events=lambda: events(table("lineitem"), table("orders")),
     )

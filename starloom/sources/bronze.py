@@ -6,14 +6,16 @@ and loosely typed values; only their keys are required.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Column names and types as the sources deliver them.
-LOAD_COLUMNS = "etl_ingested_at timestamp, etl_file_row_number bigint, etl_source_system string"
+LOAD_COLUMNS = (
+    "etl_ingested_at timestamp, etl_source_file string, etl_file_row_number bigint, etl_source_system string"
+)
 
 CUSTOMER_SCHEMA = f"""
     `Customer ID` string, `Gender` string, `Age` int, `Married` string, `Number of Dependents` int,
@@ -55,24 +57,55 @@ REQUIRED = {
 }
 
 
-@dataclass(frozen=True)
 class Bronze:
-    customers: DataFrame
-    zips: DataFrame
-    months: DataFrame
-    events: DataFrame
+    """The raw tables, each opened when it is first used."""
 
-    def named(self) -> dict[str, DataFrame]:
-        return {CUSTOMERS: self.customers, ZIPS: self.zips, MONTHS: self.months, EVENTS: self.events}
+    def __init__(
+        self,
+        customers: Callable[[], DataFrame],
+        zips: Callable[[], DataFrame],
+        months: Callable[[], DataFrame],
+        events: Callable[[], DataFrame],
+    ):
+        self.open = {CUSTOMERS: customers, ZIPS: zips, MONTHS: months, EVENTS: events}
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._opened:
+            self._opened[table] = self.open[table]()
+        return self._opened[table]
+
+    @property
+    def customers(self) -> DataFrame:
+        return self[CUSTOMERS]
+
+    @property
+    def zips(self) -> DataFrame:
+        return self[ZIPS]
+
+    @property
+    def months(self) -> DataFrame:
+        return self[MONTHS]
+
+    @property
+    def events(self) -> DataFrame:
+        return self[EVENTS]
 
 
 def read_files(spark: SparkSession, root: str) -> Bronze:
     """Parquet folders named after the raw tables, read with a stated schema (no inference)."""
-    return Bronze(*[spark.read.schema(schema).parquet(f"{root}/{name}") for name, schema in SCHEMAS.items()])
+
+    def opener(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
+
+    return Bronze(*map(opener, (CUSTOMERS, ZIPS, MONTHS, EVENTS)))
 
 
 def read_catalog(spark: SparkSession, database: str = "bronze") -> Bronze:
-    return Bronze(*[spark.table(f"{database}.{name}") for name in SCHEMAS])
+    def opener(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.table(f"{database}.{name}")
+
+    return Bronze(*map(opener, (CUSTOMERS, ZIPS, MONTHS, EVENTS)))
 
 
 def freshness(df: DataFrame, stamp: str, as_of: datetime | str, warn_hours: int = 24, error_hours: int = 72) -> DataFrame:
