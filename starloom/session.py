@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +42,11 @@ def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> Spa
     return tune(builder.getOrCreate())
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="starloom-")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared ``spark.checkpoint.dir``.
 
@@ -49,8 +55,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.master").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="starloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
