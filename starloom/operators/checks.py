@@ -120,6 +120,13 @@ class Check:
     def name(self) -> str:
         return ":".join(filter(None, [self.rule, self.table, self.column]))
 
+    @property
+    def batch(self) -> str:
+        """What the check can be computed together with: other row tests, or its own rule."""
+        if self.query or (self.where and self.rule in ("unique", "relationship")):
+            return ""
+        return self.rule if self.rule in ("unique", "relationship") else "rows"
+
     def row_test(self) -> Column | None:
         """The condition of a rule that one row can break by itself; None for the others."""
         if self.rule == "not_null":
@@ -162,10 +169,43 @@ def row_test_counts(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.agg(*counters).select(F.inline(F.array(*results)))
 
 
+def keyed_counts(tables: Mapping[str, DataFrame], table: str, checks: list[Check]) -> DataFrame:
+    """All uniqueness or all relationship checks of one table in a single scan.
+
+    The checked columns are turned into (column, value) pairs and counted, map-side first, so
+    the table is computed once and only distinct values travel.
+    """
+    columns = list(dict.fromkeys(c.column for c in checks))
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    values = (
+        tables[table]
+        .select(F.inline(pairs))
+        .filter("value is not null")
+        .groupBy("column_name", "value")
+        .agg(F.count("*").alias("n_rows"))
+    )
+    if checks[0].rule == "unique":
+        broken, weight = values.filter("n_rows > 1"), F.lit(1)
+    else:
+        known = [
+            tables[parent].select(F.lit(c.column).alias("column_name"), F.col(field).cast("string").alias("value"))
+            for c in checks
+            for parent, field in [c.parent]
+        ]
+        known = reduce(DataFrame.unionByName, known)
+        # An orphan value counts once per row that uses it; a repeated value counts once.
+        broken, weight = values.join(known, ["column_name", "value"], "left_anti"), F.col("n_rows")
+    counters = [
+        F.coalesce(F.sum(F.when(F.col("column_name") == c.column, weight)), F.lit(0)).cast("bigint").alias(f"c{i}")
+        for i, c in enumerate(checks)
+    ]
+    results = [F.struct(*c._row(F.col(f"c{i}"))) for i, c in enumerate(checks)]
+    return broken.agg(*counters).select(F.inline(F.array(*results)))
+
+
 def counted(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Number of violations of one check that needs its own query."""
     rows = check.violating(tables)
-    # An orphan value counts once per row that uses it; a repeated value counts once.
     n = F.coalesce(F.sum("n_rows"), F.lit(0)) if check.rule == "relationship" else F.count("*")
     return rows.agg(n.alias("n")).select(*check._row(F.col("n")))
 
@@ -173,15 +213,21 @@ def counted(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
 def report(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check with its number of violations.
 
-    Row-wise checks share one scan per table. The result has as many rows as there are checks.
+    The row-wise checks of a table share one scan, and so do its uniqueness checks and its
+    relationship checks. The result has as many rows as there are checks.
     """
     parts = []
     for table in dict.fromkeys(c.table for c in checks):
-        mine = [c for c in checks if c.table == table]
-        row_wise = [c for c in mine if c.row_test() is not None]
-        if row_wise:
-            parts.append(row_test_counts(tables[table], row_wise))
-        parts += [counted(c, tables) for c in mine if c.row_test() is None]
+        groups: dict[str, list[Check]] = {}
+        for check in [c for c in checks if c.table == table]:
+            groups.setdefault(check.batch, []).append(check)
+        for batch, group in groups.items():
+            if batch == "rows":
+                parts.append(row_test_counts(tables[table], group))
+            elif batch:
+                parts.append(keyed_counts(tables, table, group))
+            else:
+                parts += [counted(c, tables) for c in group]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -267,8 +267,8 @@ _TOTAL = (
 
 @register(
     "reconcile",
-    f"""SELECT customer_id, CAST(total AS DECIMAL(18,2)) * 0.01 AS calculated,
-            CASE WHEN k % 303 <> 0 THEN CASE WHEN k % 500 = 7 THEN 0.02 ELSE 0 END END AS difference,
+    f"""SELECT customer_id, CAST(CAST(total AS DECIMAL(18,2)) * 0.01 AS DECIMAL(18,2)) AS calculated,
+            CASE WHEN k % 303 <> 0 THEN CAST(CASE WHEN k % 500 = 7 THEN 0.02 ELSE 0 END AS DECIMAL(18,2)) END AS difference,
             CASE WHEN k % 303 <> 0 THEN k % 500 <> 7 END AS reconciled
         FROM (SELECT 'C' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS customer_id, c_custkey AS k, {_TOTAL.replace('k *', 'c_custkey *').replace('k %', 'c_custkey %')} AS total
               FROM customer)""",
@@ -716,14 +716,14 @@ def fresh(spark, folder):
 
 @register("stream_upsert", f"SELECT {', '.join(_EVENT_FIELDS)}, CAST(date_trunc('month', event_timestamp) AS DATE) AS event_month FROM events_staged")
 def stream_upsert(spark, folder):
-    """The events appended in two files, read as a stream and merged batch by batch."""
+    """Events appended in two steps, late ones first, each read as a stream and merged in batches."""
     events, lake = adapters.bronze(spark, folder).events, _lake(spark, "stream")
     landing = f"{lake.root}/landing"
-    late = F.col("updated_at") >= F.lit(FIRST_LOAD_BEFORE).cast("timestamp")
-    events.filter(late).coalesce(1).write.mode("append").parquet(landing)
-    events.filter(~F.coalesce(late, F.lit(False))).coalesce(1).write.mode("append").parquet(landing)
-    arriving = raw_stream(spark, landing, events.schema, files_per_batch=1)
-    merge_stream(arriving, lake, "events", _event_rows, newer_by="source_updated_at", **_EVENT_MERGE)
+    late = F.coalesce(F.col("updated_at") >= F.lit(FIRST_LOAD_BEFORE).cast("timestamp"), F.lit(False))
+    for arrived in (events.filter(late), events.filter(~late)):
+        arrived.write.mode("append").parquet(landing)
+        stream = raw_stream(spark, landing, events.schema)
+        merge_stream(stream, lake, "events", _event_rows, newer_by="source_updated_at", **_EVENT_MERGE)
     return lake.read(FACTS, "events")
 
 

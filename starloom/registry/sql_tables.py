@@ -254,9 +254,9 @@ PARTS = {
             total_long_distance_charges, total_revenue, calculated_total_revenue,
             total_revenue - calculated_total_revenue AS revenue_reconciliation_difference,
             is_total_revenue_reconciled, is_monthly_charge_valid,
-            CAST(CASE WHEN tenure_months <> 0 THEN sign(total_revenue) *
+            CAST(CAST(CASE WHEN tenure_months <> 0 THEN sign(total_revenue) *
                 ((2 * CAST(abs(total_revenue) * 100 AS BIGINT) + tenure_months) // (2 * tenure_months)) END AS DECIMAL(18,2))
-                * 0.01 AS average_monthly_revenue,
+                * 0.01 AS DECIMAL(18,2)) AS average_monthly_revenue,
             tenure_months, contract AS contract_type, payment_method, is_paperless_billing, etl_source_system
         FROM customers""",
     "status": f"""

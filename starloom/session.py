@@ -15,6 +15,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM does not compile methods of more than 8000 bytes. Wide rows exceed that in one
+    # fused method; split per operator they are compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
