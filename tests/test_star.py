@@ -11,7 +11,7 @@ from starloom.functions.audit import AUDIT_COLUMNS, Audit
 from starloom.operators import checks
 from starloom.operators.increment import since
 from starloom.plans import dimensions, entities, facts, quality, staging
-from starloom.plans.star import LAYERS, MERGES, Star, recent_months, refresh, stored
+from starloom.plans.star import LAYERS, MERGES, HeavyKeys, Star, recent_months, refresh, stored
 from starloom.sources.adapters import bronze
 from starloom.sources.bronze import Bronze
 from starloom.sources.lake import DIMENSIONS, FACTS, Lake
@@ -106,6 +106,24 @@ def test_the_watermark_may_sink_below_the_deduplication(spark):
     assert above.count() > 0 and same(above, recent_months(raw.months, bound, audit))
 
 
+def test_a_hot_customer_changes_nothing_but_the_plan(spark):
+    """A third of all months and events on one customer: dealt out, the rows stay the same."""
+    raw = bronze(spark, SMALL)
+    hot = F.when(F.col("etl_file_row_number") % 3 == 0, F.lit("C0000007")).otherwise(F.col("customer_id"))
+    skewed = Bronze(
+        lambda: raw.customers,
+        lambda: raw.zips,
+        lambda: raw.months.withColumn("customer_id", hot),
+        lambda: raw.events.withColumns({"customer_id": hot, "event_timestamp": F.lit("1998-05-05").cast("timestamp")}),
+    )
+    plain = Star(skewed)
+    heavy = HeavyKeys.of(plain["stg_customer_monthly_snapshot"], plain["stg_customer_support_events"])
+    assert "C0000007" in heavy.customers and "C0000007|1998-05-01" in heavy.customer_months
+    dealt = Star(skewed, heavy=heavy)
+    for table in ("int_customer_monthly_360", "int_support_event_enriched"):
+        assert same(plain[table], dealt[table]), table
+
+
 def test_calendar_is_a_parameter(spark):
     from starloom.operators.calendar import fixed_bounds
 
