@@ -82,6 +82,7 @@ class Lake:
         newer_by: str | None = None,
     ) -> MergeReport:
         """Merge ``source`` into a table partitioned by ``month``, rewriting touched months only.
+        Without a table yet, ``source`` becomes it.
 
         The source is written down once (it is read several times and may be expensive). The
         merged months are then written to a pending folder and published from there by a
@@ -91,44 +92,43 @@ class Lake:
         ``key_fixes_month`` says that a key never moves to another month. Where it may, the
         months of the target's old copies are touched too, which costs a scan of two columns.
         """
+        if not self.exists(layer, table):
+            return self.replace(layer, table, source, key=key, month=month)
         run = uuid.uuid4().hex
         batch = f"{self.path(layer, table)}__batch_{run}"
         source.write.parquet(batch)
         source = self.spark.read.schema(source.schema).parquet(batch)
-        clashes = duplicated(source, key)
-        if clashes:
-            raise ValueError(f"{table}: several source rows for one key, e.g. {clashes}")
+        self._refuse_duplicates(table, source, key, batch)
 
-        first = not self.exists(layer, table)
-        if first:
-            touched, merged = None, source
-        else:
-            target = self.read(layer, table, source.schema)
-            months = source.select(month)
-            if not key_fixes_month:
-                months = months.unionByName(target.join(source.select(key), key, "left_semi").select(month))
-            # One value per calendar month: bounded by the span of the data, not by its volume.
-            touched = [r[0] for r in months.distinct().collect()]
-            merged = merge_rows(target.filter(_in_months(month, touched)), source, key, newer_by=newer_by)
+        target = self.read(layer, table, source.schema)
+        months = source.select(month)
+        if not key_fixes_month:
+            months = months.unionByName(target.join(source.select(key), key, "left_semi").select(month))
+        # One value per calendar month: bounded by the span of the data, not by its volume.
+        touched = [r[0] for r in months.distinct().collect()]
+        merged = merge_rows(target.filter(_in_months(month, touched)), source, key, newer_by=newer_by)
 
         pending = f"{self.path(layer, table)}__pending_{run}"
         merged.hint("rebalance", month).write.partitionBy(month).parquet(pending)
         held = self.spark.read.schema(source.schema).parquet(pending)
         report = MergeReport(
             table=table,
-            first_load=first,
-            partitions_rewritten=held.select(month).distinct().count() if first else len(touched),
+            first_load=False,
+            partitions_rewritten=len(touched),
             rows_written=held.count(),
             source_rows=source.count(),
         )
-        if first:
-            self._swap(pending, self.path(layer, table))
-        else:
-            self._publish_months(held, layer, table, month, touched)
-            self._drop(pending)
+        self._publish_months(held, layer, table, month, touched)
+        self._drop(pending)
         self._drop(batch)
         return report
 
+    def _refuse_duplicates(self, table: str, source: DataFrame, key: str, folder: str) -> None:
+        clashes = duplicated(source, key)
+        if clashes:
+            self._drop(folder)
+            raise ValueError(f"{table}: several source rows for one key, e.g. {clashes}")
+
     def _publish_months(self, held: DataFrame, layer: str, table: str, month: str, touched: list) -> None:
         (
             held.hint("rebalance", month)
@@ -144,13 +144,11 @@ class Lake:
             self._drop(f"{self.path(layer, table)}/{month}={folder}")
 
     def replace(self, layer: str, table: str, source: DataFrame, *, key: str, month: str) -> MergeReport:
-        """Full refresh: rebuild the partitioned table from ``source`` alone."""
+        """Full refresh: rebuild the partitioned table from ``source`` alone, written once and swapped in."""
         fresh = f"{self.path(layer, table)}__next_{uuid.uuid4().hex}"
         source.hint("rebalance", month).write.partitionBy(month).parquet(fresh)
         held = self.spark.read.schema(source.schema).parquet(fresh)
-        clashes = duplicated(held, key)
-        if clashes:
-            raise ValueError(f"{table}: several source rows for one key, e.g. {clashes}")
+        self._refuse_duplicates(table, held, key, fresh)
         rows, months = held.count(), held.select(month).distinct().count()
         self._swap(fresh, self.path(layer, table))
         return MergeReport(table, True, months, rows, rows)

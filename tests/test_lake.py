@@ -81,7 +81,7 @@ def test_an_ambiguous_merge_fails_before_writing(lake, rows):
         lake.merge(FACTS, "t", rows(SCHEMA, ("b", JAN, day(1), 1), ("b", FEB, day(1), 2)), **MERGE)
     with pytest.raises(ValueError, match="several source rows"):
         lake.replace(FACTS, "t", rows(SCHEMA, ("b", JAN, day(1), 1), ("b", FEB, day(1), 2)), key="id", month="month")
-    assert content(lake) == {"a": (JAN, 1)}
+    assert content(lake) == {"a": (JAN, 1)} and os.listdir(f"{lake.root}/gold/fact") == ["t"]
 
 
 def test_columns_come_and_go_without_rewriting_old_months(lake, rows):
