@@ -40,6 +40,7 @@ BLOCKS = "block long, ids array<long>, lengths array<int>, n_words long, words b
 SENT = "bucket int, block long, slots binary, words binary"
 ENCODED = "block long, slots binary, lengths binary, tokens binary"
 RESULT = "doc_id long, ids array<int>"
+RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -177,8 +178,7 @@ def _lay_out(block: pa.Table, words: pa.Table) -> pa.Table:
         start += n
     ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
     values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))
-    schema = arrow_schema(RESULT)
-    return pa.table([block["ids"][0].values, pa.ListArray.from_arrays(pa.array(ends), values).cast(schema[1].type)], schema)
+    return pa.table([block["ids"][0].values, pa.ListArray.from_arrays(pa.array(ends), values).cast(RESULT_SCHEMA[1].type)], RESULT_SCHEMA)
 
 
 def encode(
