@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import bpe, mixing, quality, secrets, simhash
+from starloom.llm import ann, bpe, langid, licences, mixing, pii, quality, secrets, simhash, warc
 from starloom.llm.common import read_table
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -20,10 +21,29 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(secrets.scan(read_table(spark, folder, "documents")))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    # The table has no capture times; a page's number stands for the second of its capture.
+    at = F.lit(warc.EPOCH) + F.coalesce(F.col("page_id"), F.lit(0))
+    archives = warc.write_archives(spark, read_table(spark, folder, "pages"), at)
+    return warc.capture_history(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key")
+
+
+def op4_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(spark, read_table(spark, folder, "embeddings"))
+
+
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(read_table(spark, folder, "documents"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(spark, read_table(spark, folder, "documents"))
 
 
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(pii.scan(read_table(spark, folder, "documents")))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(spark, read_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -33,11 +53,21 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.drop(*quality.FEATURES)
 
 
+def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return langid.predict(spark, docs, langid.fit(docs))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
+    "op3_warc": op3_warc,
+    "op4_nearest": op4_nearest,
+    "op5_licences": op5_licences,
     "op6_simhash": op6_simhash,
+    "op7_pii": op7_pii,
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
+    "op10_langid": op10_langid,
 }
 SQL: dict[str, str] = {}
