@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import arrow_schema, map_batches, pack, pack_texts, ragged, unpack, unpack_texts, written
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 32_000_000
 BUCKET_WORDS = 100_000
 
 BLOCKS = "block long, ids array<long>, lengths array<int>, n_words long, words binary, slots binary"
@@ -82,7 +82,7 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Numbers(dict):
-    """Numbers new keys in the order of their first use: frequent words get small numbers."""
+    """Numbers new keys in the order of their first use."""
 
     def __missing__(self, key):
         self[key] = number = len(self)
@@ -99,8 +99,13 @@ class _Block:
         self.chars += chars
 
     def row(self, block: int) -> list:
-        words, lengths = [w.encode() for w in self.numbers], [len(s) for s in self.slots]
-        return [block, self.ids, lengths, len(words), pack_texts(words), pack(np.concatenate(self.slots))]
+        """Words are renumbered by falling frequency, so that most positions hold small numbers."""
+        words, lengths, slots = list(self.numbers), [len(s) for s in self.slots], np.concatenate(self.slots)
+        order = np.argsort(-np.bincount(slots, minlength=len(words)), kind="stable")
+        number = np.empty(len(words), np.uint32)
+        number[order] = np.arange(len(words), dtype=np.uint32)
+        packed = pack_texts([words[i].encode() for i in order.tolist()])
+        return [block, self.ids, lengths, len(words), packed, pack(number[slots])]
 
 
 def cut_blocks(docs: DataFrame, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -204,9 +209,9 @@ def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str) -> DataFram
     table = spark.sparkContext.broadcast({rank: token for token, rank in load_ranks(ranks_path).items()})
 
     def columns(batch):
-        token = table.value.__getitem__
-        decoded = [b"".join(map(token, ids.as_py())) for ids in batch["ids"]]
-        return [batch["doc_id"], batch["ids"], decoded]
+        token, ids = table.value.__getitem__, batch["ids"]
+        rows = (ids[i].values.to_numpy().tolist() for i in range(len(ids)))
+        return [batch["doc_id"], ids, [b"".join(map(token, row)) for row in rows]]
 
     return map_batches(encoded.select("doc_id", "ids"), f"{RESULT}, decoded binary", columns)
 
