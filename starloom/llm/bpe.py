@@ -35,6 +35,7 @@ from starloom.llm.common import arrow_schema, map_batches, pack, pack_texts, rag
 
 BLOCK_CHARS = 32_000_000
 BUCKET_WORDS = 100_000
+DECODED_ROWS = 500
 
 BLOCKS = "block long, ids array<long>, lengths array<int>, n_words long, words binary, slots binary"
 SENT = "bucket int, block long, slots binary, words binary"
@@ -101,6 +102,7 @@ class _Block:
     def row(self, block: int) -> list:
         """Words are renumbered by falling frequency, so that most positions hold small numbers."""
         words, lengths, slots = list(self.numbers), [len(s) for s in self.slots], np.concatenate(self.slots)
+        self.numbers, self.slots = None, None
         order = np.argsort(-np.bincount(slots, minlength=len(words)), kind="stable")
         number = np.empty(len(words), np.uint32)
         number[order] = np.arange(len(words), dtype=np.uint32)
@@ -176,14 +178,17 @@ def _lay_out(block: pa.Table, words: pa.Table) -> pa.Table:
         chunks.append(unpack(tokens.as_py()))
         at += len(chunks[-1])
     tokens = np.concatenate([np.zeros(0, np.uint32), *chunks]).astype(np.int32)
-    slots, ids, start = unpack(block["slots"][0].as_py()), [], 0
+    slots, start, ends = unpack(block["slots"][0].as_py()), 0, [0]
     for n in block["lengths"][0].as_py():
+        ends.append(ends[-1] + int(lengths[slots[start : start + n]].sum()))
+        start += n
+    ids, start = np.empty(ends[-1], np.int32), 0
+    for n, first, last in zip(block["lengths"][0].as_py(), ends, ends[1:]):
         own = slots[start : start + n]
-        ids.append(tokens[ragged(starts[own], lengths[own])])
+        ids[first:last] = tokens[ragged(starts[own], lengths[own])]
         start += n
-    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-    values = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))
-    return pa.table([block["ids"][0].values, pa.ListArray.from_arrays(pa.array(ends), values).cast(RESULT_SCHEMA[1].type)], RESULT_SCHEMA)
+    rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)).cast(RESULT_SCHEMA[1].type)
+    return pa.table([block["ids"][0].values, rows], RESULT_SCHEMA)
 
 
 def encode(
@@ -208,12 +213,18 @@ def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str) -> DataFram
     """``doc_id, ids, decoded``: the bytes of each row's ids."""
     table = spark.sparkContext.broadcast({rank: token for token, rank in load_ranks(ranks_path).items()})
 
-    def columns(batch):
-        token, ids = table.value.__getitem__, batch["ids"]
-        rows = (ids[i].values.to_numpy().tolist() for i in range(len(ids)))
-        return [batch["doc_id"], ids, [b"".join(map(token, row)) for row in rows]]
+    schema = arrow_schema(f"{RESULT}, decoded binary")
+
+    def run(batches):
+        token = table.value.__getitem__
+        for batch in batches:
+            for at in range(0, len(batch), DECODED_ROWS):
+                doc_id, ids = batch.slice(at, DECODED_ROWS).columns
+                rows = (ids[i].values.to_numpy().tolist() for i in range(len(ids)))
+                decoded = pa.array([b"".join(map(token, row)) for row in rows], pa.binary())
+                yield pa.RecordBatch.from_arrays([doc_id, ids.cast(schema[1].type), decoded], schema=schema)
 
-    return map_batches(encoded.select("doc_id", "ids"), f"{RESULT}, decoded binary", columns)
+    return encoded.select("doc_id", "ids").mapInArrow(run, f"{RESULT}, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:
