@@ -199,7 +199,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 1
         return cells.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInArrow(visit, HIT)
 
     first = written(spark, meet(queries), "ann-home")
-    far = first.groupBy("q_at").agg(F.expr(f"array_sort(collect_list(score))[{k - 1}]").alias("kth"))
+    far = first.groupBy("q_at").agg(F.expr(f"get(array_sort(collect_list(score)), {k - 1})").alias("kth"))
 
     def others(batch):
         out = [[] for _ in range(8)]

@@ -76,7 +76,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     differs = "((l.print ^ r.print) & l.mask) != 0 or l.first"
     met = f"l.variant = r.variant and l.kept = r.kept and l.print < r.print and ({differs})"
     near = f"bit_count(l.print ^ r.print) <= {max_bits}"
-    return left.join(right, F.expr(f"{met} and {near}")).selectExpr("l.print as a", "r.print as b")
+    # The planner doesn't see how many variants a fingerprint has, so it must not judge the size.
+    return left.join(right.hint("merge"), F.expr(f"{met} and {near}")).selectExpr("l.print as a", "r.print as b")
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
