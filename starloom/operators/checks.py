@@ -73,16 +73,17 @@ def unequal_counts(left: DataFrame, left_name: str, right: DataFrame, right_name
     return totals.filter(F.col(left_name) != F.col(right_name))
 
 
-def several_per_key(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Keys with more than one row or more than one value of a column, with the distinct counts.
+def several_per_key(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
+    """Keys with more than one row or more than one value of a column, with the distinct counts,
+    named as ``columns`` says.
 
     Distinct tuples come first, so repeated rows collapse before the shuffle.
     """
     tuples = df.groupBy(key, *columns).agg(F.count("*").alias("__n"))
     counts = tuples.groupBy(key).agg(
-        F.sum("__n").alias("n_rows"), *[F.count_distinct(F.col(c)).alias(f"distinct_{c}") for c in columns]
+        F.sum("__n").alias("n_rows"), *[F.count_distinct(F.col(c)).alias(name) for c, name in columns.items()]
     )
-    return counts.filter(reduce(lambda a, b: a | b, [F.col(f"distinct_{c}") > 1 for c in columns], F.col("n_rows") > 1))
+    return counts.filter(reduce(lambda a, b: a | b, [F.col(name) > 1 for name in columns.values()], F.col("n_rows") > 1))
 
 
 def conflicting_tuples(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -69,11 +69,10 @@ def left_lookup(
     else:
         pairs.append(f"{_name(first)} = {_name(renamed[first])}")
     if heavy:
-        listed = F.array(*map(F.lit, heavy))
-        dealt = F.when(_is_in(on, listed), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(fanout)))
+        dealt = F.when(_is_in(on, heavy), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(fanout)))
         left = left.withColumn("__deal", F.coalesce(dealt.cast("int"), F.lit(0)))
         every = F.sequence(F.lit(0), F.lit(fanout - 1))
-        copies = F.when(_is_in(list(renamed.values()), listed), every).otherwise(F.array(F.lit(0)))
+        copies = F.when(_is_in(list(renamed.values()), heavy), every).otherwise(F.array(F.lit(0)))
         right = right.withColumn("__copy", F.explode(copies))
         pairs.append("__deal = __copy")
         helpers = ["__deal", "__copy"]
@@ -84,8 +83,8 @@ def left_lookup(
     return joined.drop(*helpers, *renamed.values())
 
 
-def _is_in(columns: list[str], labels: Column) -> Column:
-    return F.array_contains(labels, F.expr(_label(columns)))
+def _is_in(columns: list[str], labels: list[str]) -> Column:
+    return F.expr(_label(columns)).isin(labels)
 
 
 def resolve_key(

@@ -68,7 +68,7 @@ def dim_churn_reason(status: DataFrame, audit: Audit) -> DataFrame:
     """Reasons seen on churned customers, a member for months that are not churned and one for
     churned months without a reason."""
     pair = ("churn_category", "churn_reason")
-    given = F.coalesce(*map(F.col, pair)).isNotNull()
+    given = F.col("churn_category").isNotNull() | F.col("churn_reason").isNotNull()
     real = (
         status.filter((F.col("customer_status") == CHURNED) & given)
         .select(*pair)

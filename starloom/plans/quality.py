@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -199,7 +200,7 @@ def column_checks() -> list[Check]:
 def unresolved_mismatch(events: DataFrame) -> DataFrame:
     """Pending cases carry neither hours nor score, closed ones both; other statuses pass."""
     status, results = F.col("resolution_status"), [F.col("resolution_hours"), F.col("satisfaction_score")]
-    any_given = F.coalesce(*[r.cast("string") for r in results]).isNotNull()
+    any_given = results[0].isNotNull() | results[1].isNotNull()
     any_absent = results[0].isNull() | results[1].isNull()
     wrong = F.when(status == PENDING, any_given).when(status.isin(*TERMINAL), any_absent)
     return events.filter(wrong).select("support_event_id", "resolution_status", *results)
@@ -223,7 +224,7 @@ def inconsistent_months(months: DataFrame, counted: Mapping[str, str]) -> DataFr
 def null_key_flags(facts: DataFrame, model: str, row_key: str, keys: list[str]) -> DataFrame:
     absent = [F.col(k).isNull() for k in keys]
     flags = F.concat_ws("|", *[a.cast("string") for a in absent])
-    any_absent = F.array_contains(F.array(*absent), True)
+    any_absent = reduce(lambda a, b: a | b, absent)
     named = [F.lit(model).alias("model"), F.col(row_key).alias("row_key"), flags.alias("null_fk_flags")]
     return facts.filter(any_absent).select(*named)
 
@@ -253,6 +254,7 @@ def negative_charges(customers: DataFrame, months: DataFrame) -> DataFrame:
 
 
 PLACE = ["city", "latitude", "longitude"]
+PLACE_COUNTS = {"city": "distinct_cities", "latitude": "distinct_latitudes", "longitude": "distinct_longitudes"}
 
 
 def business_rules() -> list[Check]:
@@ -287,7 +289,7 @@ def business_rules() -> list[Check]:
         rule(
             "single_place_per_zip",
             "int_zipcode_geography",
-            lambda t: several_per_key(t["int_zipcode_geography"], "zip_code", PLACE),
+            lambda t: several_per_key(t["int_zipcode_geography"], "zip_code", PLACE_COUNTS),
         ),
         rule("negative_charges", CUSTOMERS, lambda t: negative_charges(t[CUSTOMERS], t[MONTHS]), WARN),
     ]

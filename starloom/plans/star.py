@@ -141,12 +141,13 @@ class Star(Mapping):
 
     def enriched(self, events: DataFrame, since_day: date | None = None) -> DataFrame:
         """Events with the context of their months. When only some events are read, the months
-        are first narrowed to the span of those events, as literals that prune the scan."""
+        are first narrowed to those of the events, as literals that prune the scan."""
         months = self["int_customer_monthly_360"]
         if since_day is not None:
-            span = events.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
-            first, last = [F.trunc(F.lit(t).cast("date"), "MM") for t in span]
-            months = self.monthly_360(self.months.filter(F.col("snapshot_month").between(first, last)))
+            # One value per calendar month: one late correction costs one old month.
+            month = F.trunc(F.col("event_timestamp").cast("date"), "MM")
+            met = [r[0] for r in events.filter("event_timestamp is not null").select(month).distinct().collect()]
+            months = self.monthly_360(self.months.filter(F.col("snapshot_month").isin(met) if met else F.lit(False)))
         return entities.support_enriched(events, months, self.audit, self.heavy.customer_months)
 
     def _dimensions(self) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -189,6 +190,10 @@ def refresh(
     """
     audit = audit or Audit.of_run()
     report = BuildReport()
+    # Watermarks are read from the facts, so an earlier run's publication has to be whole first.
+    for layer, tables in LAYERS.items():
+        for table in tables:
+            lake.recover(layer, table)
 
     staged = Star(bronze, audit)
     kept = {t: lake.overwrite(STAGING, t, staged[t], PARTITIONED.get(t)) for t in LAYERS[STAGING]}

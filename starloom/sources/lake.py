@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,7 @@ class Lake:
 
     def overwrite(self, layer: str, table: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         """Write to a fresh folder, then swap it in; a failed write leaves the table as it was."""
+        self.recover(layer, table)
         current = self.path(layer, table)
         fresh = f"{current}__next_{uuid.uuid4().hex}"
         if partition_by:
@@ -57,6 +60,11 @@ class Lake:
         return self.read(layer, table, df.schema)
 
     def _swap(self, fresh: str, current: str) -> None:
+        self._note(current, {"swap": fresh})
+        self._finish_swap(fresh, current)
+        self._drop(self._manifest(current))
+
+    def _finish_swap(self, fresh: str, current: str) -> None:
         new, old = self._path(fresh), self._path(current)
         retired = self._path(f"{current}__old_{uuid.uuid4().hex}")
         files = self._files(old)
@@ -86,12 +94,13 @@ class Lake:
 
         The source is written down once (it is read several times and may be expensive). The
         merged months are then written to a pending folder and published from there by a
-        dynamic partition overwrite, so the table is never read while it is replaced and a
-        publication that breaks off can be repeated from the pending folder.
+        dynamic partition overwrite, so the table is never read while it is replaced. A
+        publication that breaks off is finished by the next run (:meth:`recover`).
 
         ``key_fixes_month`` says that a key never moves to another month. Where it may, the
         months of the target's old copies are touched too, which costs a scan of two columns.
         """
+        self.recover(layer, table)
         if not self.exists(layer, table):
             return self.replace(layer, table, source, key=key, month=month)
         run = uuid.uuid4().hex
@@ -118,11 +127,54 @@ class Lake:
             rows_written=held.count(),
             source_rows=source.count(),
         )
+        self._note(
+            self.path(layer, table),
+            {"pending": pending, "batch": batch, "month": month, "schema": source.schema.jsonValue()}
+            | {"touched": [None if v is None else v.isoformat() for v in touched]},
+        )
         self._publish_months(held, layer, table, month, touched)
+        self._drop(self._manifest(self.path(layer, table)))
         self._drop(pending)
         self._drop(batch)
         return report
 
+    def recover(self, layer: str, table: str) -> bool:
+        """Finish a publication that broke off; whether there was one.
+
+        Months replace one another one by one and a swap is two renames, so what is to be
+        published is noted first and the note goes last. Every writer calls this before it looks
+        at the table; so must whoever reads a watermark from it. Publishing twice changes nothing.
+        """
+        current = self.path(layer, table)
+        note = self._path(self._manifest(current))
+        if not self._files(note).exists(note):
+            return False
+        plan = json.loads("".join(r[0] for r in self.spark.read.text(self._manifest(current)).collect()))
+        if "swap" in plan:
+            if self._files(note).exists(self._path(plan["swap"])):
+                self._finish_swap(plan["swap"], current)
+        else:
+            held = self.spark.read.schema(StructType.fromJson(plan["schema"])).parquet(plan["pending"])
+            touched = [None if v is None else date.fromisoformat(v) for v in plan["touched"]]
+            self._publish_months(held, layer, table, plan["month"], touched)
+        self._drop(self._manifest(current))
+        for folder in (plan.get("pending"), plan.get("batch")):
+            if folder:
+                self._drop(folder)
+        return True
+
+    def _manifest(self, current: str) -> str:
+        return f"{current}__publishing.json"
+
+    def _note(self, current: str, plan: dict) -> None:
+        """Written aside and renamed: a note is there whole or not at all."""
+        aside, note = self._path(f"{current}__note_{uuid.uuid4().hex}"), self._path(self._manifest(current))
+        out = self._files(aside).create(aside)
+        out.write(bytearray(json.dumps(plan).encode()))
+        out.close()
+        if not self._files(aside).rename(aside, note):
+            raise OSError(f"cannot note the publication of {current}")
+
     def _refuse_duplicates(self, table: str, source: DataFrame, key: str, folder: str) -> None:
         clashes = duplicated(source, key)
         if clashes:
@@ -145,6 +197,7 @@ class Lake:
 
     def replace(self, layer: str, table: str, source: DataFrame, *, key: str, month: str) -> MergeReport:
         """Full refresh: rebuild the partitioned table from ``source`` alone, written once and swapped in."""
+        self.recover(layer, table)
         fresh = f"{self.path(layer, table)}__next_{uuid.uuid4().hex}"
         source.hint("rebalance", month).write.partitionBy(month).parquet(fresh)
         held = self.spark.read.schema(source.schema).parquet(fresh)

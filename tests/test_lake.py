@@ -107,3 +107,40 @@ def test_only_a_local_session_may_do_without_a_shared_folder():
     assert work_folder(Settings(spark_master="local[2]"), "x")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_folder(Settings(spark_master="yarn"), "x")
+
+
+def test_a_merge_that_breaks_off_is_finished_by_the_next_run(lake, rows, monkeypatch):
+    lake.merge(FACTS, "t", rows(SCHEMA, ("a", JAN, day(1), 1), ("b", FEB, day(1), 1), ("c", MAR, day(1), 1)), **MERGE)
+    publish = Lake._publish_months
+
+    def broken(self, held, layer, table, month, touched):
+        publish(self, held.filter(f"month = date'{FEB}'"), layer, table, month, [FEB])
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr(Lake, "_publish_months", broken)
+    news = rows(SCHEMA, ("a", JAN, day(2), 2), ("b", FEB, day(2), 2), ("c", JAN, day(2), 2))
+    with pytest.raises(OSError):
+        lake.merge(FACTS, "t", news, **MERGE)
+    monkeypatch.undo()
+    assert content(lake) != {"a": (JAN, 2), "b": (FEB, 2), "c": (JAN, 2)}
+    again = Lake(lake.spark, lake.root)
+    assert again.recover(FACTS, "t") and not again.recover(FACTS, "t")
+    assert content(lake) == {"a": (JAN, 2), "b": (FEB, 2), "c": (JAN, 2)}
+    assert os.listdir(f"{lake.root}/gold/fact") == ["t"]
+
+
+@pytest.mark.parametrize("renames", [0, 1])
+def test_a_swap_that_breaks_off_is_finished(lake, rows, monkeypatch, renames):
+    lake.overwrite(DIMENSIONS, "d", rows("a int", (1,)))
+
+    def broken(self, fresh, current):
+        if renames:
+            os.rename(current, f"{current}__old_x")
+        raise OSError("the driver is gone")
+
+    monkeypatch.setattr(Lake, "_finish_swap", broken)
+    with pytest.raises(OSError):
+        lake.overwrite(DIMENSIONS, "d", rows("a int", (2,)))
+    monkeypatch.undo()
+    assert lake.recover(DIMENSIONS, "d")
+    assert [r.a for r in lake.read(DIMENSIONS, "d").collect()] == [2]

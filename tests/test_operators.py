@@ -250,7 +250,7 @@ def test_row_counts_are_compared_without_a_join(rows):
 def test_mapping_rules(rows):
     df = rows("z string, city string, lat double", ("1", "A", 1.0), ("1", "A", 1.0), ("2", "A", 1.0), ("2", "B", 1.0), ("3", None, 2.0))
     assert collected(checks.conflicting_tuples(df, "z", ["city", "lat"])) == [("2", 2)]
-    assert collected(checks.several_per_key(df, "z", ["city", "lat"]), "z") == [("1", 2, 1, 1), ("2", 2, 2, 1)]
+    assert collected(checks.several_per_key(df, "z", {"city": "cities", "lat": "lats"}), "z") == [("1", 2, 1, 1), ("2", 2, 2, 1)]
 
 
 def test_the_gate_blocks_errors_and_lets_warnings_pass(rows):

@@ -40,7 +40,7 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(entry_points.QUERIES) == set(entry_points.SQL)
     tables = {t for names in LAYERS.values() for t in names}
     assert len(tables) == 18 and {f"model_{t}" for t in tables} < set(entry_points.queries())
 
