@@ -8,7 +8,8 @@ reaches. Inside a cell, a kd-tree hands out the projected neighbours nearest fir
 verified by its true distance, and the search ends when the next projected distance fails the
 chi-square test against the k-th true distance so far.
 
-Queries meet cells in blocks. Equal vectors can't be told apart: of each, the ``k + 1`` smallest
+Queries meet cells in blocks: a cell is repeated for every ``QUERY_BLOCK`` of the queries that reach it,
+and a cell that none reaches is not read. Equal vectors can't be told apart: of each, the ``k + 1`` smallest
 ids suffice for every query, so a very common vector doesn't load one cell; nothing else is left
 out. Vectors that are null, zero, or hold null or non-finite components take no part. A row given
 twice counts once; an id with several vectors is searched for each. Vectors of other lengths than
@@ -154,7 +155,8 @@ def _usable(vectors: DataFrame) -> DataFrame:
 
 
 def _to_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), float)
+    flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
 def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 100 = 0", k: int = 10) -> DataFrame:
@@ -179,7 +181,6 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 1
     held = written(spark, map_batches(kept, ROW, placed), "ann-cells")
     queries = map_batches(rows.filter(is_query), ROW, placed).withColumn("q_at", F.xxhash64("vec_id", "embedding"))
     queries = written(spark, queries.withColumn("limit", F.lit(math.inf)).withColumn("home", F.col("cell")), "ann-queries")
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     schema = arrow_schema(HIT)
 
     def visit(own: pa.Table, asked: pa.Table) -> pa.Table:
@@ -194,8 +195,10 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 1
 
     def meet(asked: DataFrame) -> DataFrame:
         """Queries and cells, block by block."""
-        asked = asked.withColumn("block", F.pmod("q_at", F.lit(blocks)).cast("int"))
-        cells = held.withColumn("block", F.explode(F.expr(f"sequence(0, {blocks - 1})")))
+        # One row per cell at most, and the planes' sample bounds the cells.
+        per = asked.groupBy("cell").agg(F.ceil(F.count("*") / F.lit(QUERY_BLOCK)).cast("int").alias("blocks"))
+        asked = asked.join(F.broadcast(per), "cell").withColumn("block", F.pmod("q_at", "blocks").cast("int")).drop("blocks")
+        cells = held.join(F.broadcast(per), "cell").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).drop("blocks")
         return cells.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInArrow(visit, HIT)
 
     first = written(spark, meet(queries), "ann-home")

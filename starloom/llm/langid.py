@@ -3,7 +3,7 @@ vector machines between the languages of the family.
 
 Features are hashed character n-grams of the words of a whole text, in relative frequencies.
 The machines are trained by averaged stochastic subgradients on at most ``ROWS_PER_LANGUAGE``
-training rows per language (those of smallest hash, the same in every run). Families of one
+training rows per language (picked by a hash of their ids, the same in every run). Families of one
 language need no second step. A language outside ``FAMILIES`` is a family of its own.
 
 The score is the winner's share of the softmax-like votes, family times language. Texts that are
@@ -142,8 +142,16 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model |
     """A model of the rows of ``docs(doc_id, text, lang)`` that are not held out."""
     usable = docs.filter(f"not ({held_out()}) and lang is not null and text is not null and doc_id is not null")
     # Only ids are dealt out; the texts of the chosen few are read afterwards.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id")
-    picked = usable.select("doc_id", "lang").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows_per_language)
+    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
+    if not counts:
+        return None
+    # A share of each language's ids that holds about twice as many as wanted, so that no task ranks a
+    # whole language.
+    wide = F.create_map(*(F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, 2 * rows_per_language / n))))
+    hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(SEED)).alias("h"))
+    near = hashed.filter(F.pmod("h", F.lit(1 << 30)) < F.element_at(wide, F.col("lang")) * float(1 << 30))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    picked = near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows_per_language)
     ids = sorted({r[0] for r in picked.select("doc_id").collect()})
     if not ids:
         return None
@@ -152,7 +160,8 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model |
         made = [features(t.as_py()) for t in batch["text"]]
         return [batch["lang"], [None if m is None else m.astype(np.float32).tobytes() for m in made]]
 
-    chosen = usable.filter(F.col("doc_id").isin(ids)).select("text", "lang")
+    # An id counts once, however often it is repeated.
+    chosen = usable.filter(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row")).select("row.*")
     rows = sorted(tuple(r) for r in map_batches(chosen, "lang string, f binary", columns).filter("f is not null").collect())
     if not rows:
         return None

@@ -1,19 +1,24 @@
 """Licence scans by the Dice coefficient over word bigrams, in DataFrame operations alone.
 
-Every line of a text is normalised (lower case, letters and digits only) and its set of word
-bigrams is compared with those of the licence notices. ``2 * |A & B| / (|A| + |B|) >= t`` needs
-``|B| * t / (2 - t) <= |A| <= |B| * (2 - t) / t``: lines outside these bounds of every template
-are dropped unread, and a line meets only the templates whose bounds it fits. The templates are
-a parameter, a handful of rows held as literals.
-
-A null text has no lines. A line's licence is the template of highest score, ties by name; a
-document's the best of its lines. Repeated rows are scanned each for itself; other columns are
-ignored; an empty table gives none.
+Texts are normalised (lower case, letters and digits only), and every window as long as a notice
+is compared with it: ``2 * |A & B| / (|A| + |B|) >= t`` on their sets of word bigrams. So a notice
+is found wherever it stands, also wrapped over lines or inside a longer line.
+
+Nothing is compared that cannot succeed: the coefficient needs ``|A| >= |B| * t / (2 - t)`` distinct
+bigrams, and as many shared ones. So of any ``|B| - that + 1`` bigrams of a notice, a window must hold
+one; the rarest-looking ones are its anchors. Texts without the words of an anchor are passed over, and
+of the others only the windows around an anchor are compared. The notices are a parameter, a handful
+of rows held as literals.
+
+A null text has no words. A document's licence is the notice of highest score, ties by the longer notice,
+then by name and place. Repeated rows are scanned each for itself; other columns are ignored; an empty table gives none.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +29,10 @@ NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-long": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
     "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-4.0": "Licensed under CC BY 4.0.",
+    "CC-BY-4.0-long": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "MIT": "Released under the MIT License.",
@@ -32,46 +40,68 @@ NOTICES = {
 }
 
 
-def bigrams(text: str) -> list[str]:
-    words = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
-    return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+def words_of(text: str) -> list[str]:
+    return re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
 
 
-def _bigrams(line: str) -> Column:
-    words = F.filter(F.split(F.regexp_replace(F.lower(line), "[^a-z0-9]+", " "), " "), lambda w: w != "")
-    return F.array_distinct(F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b)))
+class Notice:
+    """The words of a notice, its set of bigrams, and the anchors of which a window needs one."""
 
+    def __init__(self, name: str, text: str, least: float):
+        words = words_of(text)
+        self.name, self.length = name, len(words) - 1
+        self.grams = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
+        self.fewest = max(1, math.ceil(len(self.grams) * least / (2 - least) - 1e-9))
+        rare = sorted(self.grams, key=lambda g: (-min(map(len, g.split())), -len(g), g))
+        self.anchors = rare[: len(self.grams) - self.fewest + 1]
 
-def scan(docs: DataFrame, notices: dict[str, str] = NOTICES, least: float = LEAST) -> DataFrame:
-    """``doc_id, n_lines, licence, score, line``: per row the licence found, and in how many lines."""
-    templates = {name: bigrams(text) for name, text in notices.items()}
-    bounds = {name: (len(b) * least / (2 - least), len(b) * (2 - least) / least) for name, b in templates.items()}
-    low, high = min(b[0] for b in bounds.values()), max(b[1] for b in bounds.values())
-
-    def score(grams: Column, name: str) -> Column:
-        own = templates[name]
-        fits = F.size(grams).between(*bounds[name])
-        dice = 2.0 * F.size(F.array_intersect(grams, F.array(*map(F.lit, own)))) / (F.size(grams) + len(own))
-        return F.when(fits & (dice >= least), F.struct((-dice).alias("minus"), F.lit(name).alias("licence")))
-
-    every = sorted(set().union(*templates.values()))
-    # Cheap bounds first: n distinct bigrams need n + 1 words, and most lines share no bigram.
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    met = F.transform(
-        F.filter(lines, lambda x: (F.size(F.split(x, "[^A-Za-z0-9]+")) >= int(low) + 1)),
-        lambda x: F.struct(x.alias("line"), _bigrams(x).alias("grams")),
-    )
-    some = F.filter(met, lambda m: F.size(m["grams"]).between(low, high) & F.arrays_overlap(m["grams"], F.array(*map(F.lit, every))))
-    best = F.transform(
-        some,
-        lambda m: F.struct(F.array_min(F.array_compact(F.array(*(score(m["grams"], n) for n in sorted(templates))))).alias("best"), m["line"].alias("line")),
-    )
-    hits = docs.select("doc_id", F.filter(best, lambda b: b["best"].isNotNull()).alias("hits"))
-    top = F.array_min("hits")
-    return hits.select(
-        "doc_id",
-        F.size("hits").cast("long").alias("n_lines"),
-        top["best"]["licence"].alias("licence"),
-        (-top["best"]["minus"]).alias("score"),
-        top["line"].alias("line"),
+
+def _hits(grams: Column, places: Column, notice: Notice, least: float) -> Column:
+    """The windows of ``grams`` like the notice, among those that hold an anchor."""
+    last = F.greatest(F.size(grams) - notice.length, F.lit(0))
+    around = F.transform(
+        F.filter(places, lambda a: F.get(grams, a).isin(notice.anchors)),
+        lambda a: F.sequence(F.greatest(a - (notice.length - 1), F.lit(0)), F.least(a, last)),
     )
+
+    def scored(start: Column) -> Column:
+        window = F.slice(grams, start + 1, notice.length)
+        shared = F.size(F.array_intersect(window, F.array(*map(F.lit, notice.grams))))
+        dice = 2.0 * shared / (F.size(F.array_distinct(window)) + len(notice.grams))
+        return F.when((shared >= notice.fewest) & (dice >= least), F.struct((-dice).alias("minus"), F.lit(-notice.length).alias("shorter"), F.lit(notice.name).alias("licence"), start.alias("start")))
+
+    return F.array_compact(F.transform(F.array_distinct(F.flatten(around)), scored))
+
+
+def scan(docs: DataFrame, notices: dict[str, str] = NOTICES, least: float = LEAST) -> DataFrame:
+    """``doc_id, licence, score, words, licences``: per row the best notice, the words it was found in
+    and all notices found, by name."""
+    known = [Notice(name, text, least) for name, text in sorted(notices.items())]
+    if any(n.length < 1 for n in known):
+        raise ValueError("a notice needs two words")
+    anchors = sorted(set().union(*(n.anchors for n in known)))
+    held = [reduce(Column.__and__, (F.contains("lowered", F.lit(w)) for w in sorted(set(g.split())))) for g in anchors]
+    # An array of one is bound to a lambda's variable, which is computed once per row.
+    once = lambda made, then: F.transform(F.array(made), then)[0]
+
+    def of_words(words: Column) -> Column:
+        grams = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
+        return once(grams, lambda g: once(_places(g, anchors), lambda p: found(words, g, p)))
+
+    def found(words: Column, grams: Column, places: Column) -> Column:
+        return once(F.concat(*(_hits(grams, places, n, least) for n in known)), lambda hits: summary(words, hits))
+
+    def summary(words: Column, hits: Column) -> Column:
+        best = F.array_min(hits)
+        part = F.array_join(F.slice(words, best["start"] + 1, 1 - best["shorter"]), " ")
+        names = F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["licence"]))), ",")
+        return F.when(F.size(hits) > 0, F.struct(best["licence"].alias("licence"), (-best["minus"]).alias("score"), part.alias("words"), names.alias("licences")))
+
+    words = F.filter(F.split(F.regexp_replace("lowered", "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    lowered = docs.select("doc_id", F.lower("text").alias("lowered"))
+    result = lowered.select("doc_id", F.when(reduce(Column.__or__, held), once(words, of_words)).alias("r"))
+    return result.select("doc_id", *(F.col(f"r.{c}").alias(c) for c in ("licence", "score", "words", "licences")))
+
+
+def _places(grams: Column, anchors: list[str]) -> Column:
+    return F.array_compact(F.transform(grams, lambda g, i: F.when(g.isin(anchors), i)))

@@ -24,6 +24,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 RANGES = 512
 LEVELS = 2
+# More sources than this are joined by shuffles.
+MAX_BROADCAST = 100_000
 
 
 def quality(text: Column, size: Column) -> Column:
@@ -65,9 +67,9 @@ def targets(rows: DataFrame, weights: tuple = WEIGHTS, share: float = 1.0, max_e
     return sums.select("source", "source_size", target.alias("target"))
 
 
-def _budget_range(rows: DataFrame, budgets: DataFrame, level: int) -> DataFrame:
+def _budget_range(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     """Per source the range (of this level, inside ``low``) in which the budget ends, and the words before it."""
-    inside = rows.join(F.broadcast(budgets), F.expr("source <=> b_source and cell = b_cell"))
+    inside = rows.join(budgets, F.expr("source <=> b_source and cell = b_cell"))
     sums = inside.groupBy("b_source", "part").agg(F.sum("size").alias("words"), F.first("before").alias("before"), F.first("budget").alias("budget"))
     order = Window.partitionBy("b_source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("start", F.col("before") + F.coalesce(F.sum("words").over(order), F.lit(0)))
@@ -86,6 +88,7 @@ def mix(
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs(doc_id, text, source)``."""
     rows = written(spark, sized(docs), "mix-sizes")
     goals = written(spark, targets(rows, weights, share, max_epochs), "mix-targets")
+    few = F.broadcast if goals.count() <= MAX_BROADCAST else (lambda sources: sources)
     # One row per source: the words still wanted after the complete epochs.
     rest = goals.selectExpr(
         "source as b_source", "case when source_size > 0 then target - floor(target / source_size) * source_size else 0D end as budget"
@@ -95,14 +98,14 @@ def mix(
     found, marks = rest.selectExpr("b_source", "0L as b_cell", "0L as before", "budget"), []
     for level in range(1, LEVELS + 1):
         cut = rows.select("source", "size", cell(level - 1).alias("cell"), cell(level).alias("part"))
-        ends = written(spark, _budget_range(cut, found, level), "mix-ranges")
+        ends = written(spark, _budget_range(cut, few(found)), "mix-ranges")
         marks.append(ends)
         found = ends.selectExpr("b_source", "b_part as b_cell", "start as before", "budget")
     last = marks[-1].selectExpr("b_source", "b_part", "start", "budget")
     # Sources whose budget ends nowhere take nothing more (0) or, by rounding, everything.
     dealt = rows.withColumn("cell", cell(LEVELS)).join(
-        F.broadcast(goals.selectExpr("source as g_source", "source_size", "target")), F.expr("source <=> g_source")
-    ).join(F.broadcast(last), F.expr("source <=> b_source"), "left")
+        few(goals.selectExpr("source as g_source", "source_size", "target")), F.expr("source <=> g_source")
+    ).join(few(last), F.expr("source <=> b_source"), "left")
     inside = F.expr("coalesce(cell = b_part, false)")
     order = Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     edge = dealt.filter(inside).withColumn("prefix", F.col("start") + F.coalesce(F.sum("size").over(order), F.lit(0)))

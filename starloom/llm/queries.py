@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import ann, bpe, langid, licences, mixing, pii, quality, secrets, simhash, warc
 from starloom.llm.common import read_table
+from starloom.llm.sql import SQL as SQL  # noqa: PLC0414 -- offered beside QUERIES
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -70,4 +71,3 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_langid": op10_langid,
 }
-SQL: dict[str, str] = {}

@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -13,7 +14,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starloom.llm import ann, bpe, langid, licences, mixing, pii, quality, secret_rules, secrets, simhash, warc
+from starloom.llm import ann, bpe, langid, licences, mixing, pii, quality, queries, secret_rules, secrets, simhash, warc
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 LONG = "word " * 30_000 + "x" * 20_000
@@ -103,7 +104,10 @@ def test_loser_tree_merges_any_number_of_runs():
         assert warc.merge_runs(runs, lambda v: v) == sorted(v for r in runs for v in r)
 
 
-def test_nearest_neighbours_reach_nine_of_ten(spark):
+@pytest.mark.parametrize("block, cell", [(2000, 8000), (2, 60)])
+def test_nearest_neighbours_reach_nine_of_ten(spark, monkeypatch, block, cell):
+    monkeypatch.setattr(ann, "QUERY_BLOCK", block)
+    monkeypatch.setattr(ann, "CELL_ROWS", cell)
     rng = np.random.default_rng(2)
     data = rng.standard_normal((600, 16)).round(3)
     data[50:120] = data[0]
@@ -124,15 +128,51 @@ def test_nearest_neighbours_reach_nine_of_ten(spark):
     assert [r.vec_id for r in ann.nearest(spark, df.filter("vec_id in (0, 1, 2)")).orderBy("rank").collect()] != []
 
 
-def test_licence_notices(spark, docs):
-    notice = "LICENSED under the  Apache License -- Version 2.0"
-    df = spark.createDataFrame([(1, f"a\n{notice}\nb"), (2, "Released under no licence at all."), (3, None), (4, "")], "doc_id long, text string")
-    got = {r.doc_id: (r.n_lines, r.licence) for r in licences.scan(df).collect()}
-    assert got == {1: (1, "Apache-2.0"), 2: (0, None), 3: (0, None), 4: (0, None)}
+def plain_licences(text, least=licences.LEAST):
+    """Every window of every notice's length, compared."""
+    words, hits = licences.words_of(text or ""), []
+    grams = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    for name, notice in licences.NOTICES.items():
+        own = licences.words_of(notice)
+        known, n = {f"{a} {b}" for a, b in zip(own, own[1:])}, len(own) - 1
+        for start in range(max(0, len(grams) - n) + 1):
+            window = set(grams[start : start + n])
+            score = 2.0 * len(window & known) / (len(window) + len(known))
+            if score >= least:
+                hits.append((-score, -n, name, start, " ".join(words[start : start + n + 1])))
+    best = min(hits, default=None)
+    return (best[2], -best[0], best[4], ",".join(sorted({h[2] for h in hits}))) if best else (None,) * 4
+
+
+def test_licences_equal_a_comparison_of_all_windows(spark, docs):
+    rng = np.random.default_rng(6)
+    texts = ["Released under no licence at all.", None, "", "MIT", "a\nLICENSED under the  Apache License --\n Version 2.0\nb", "see: released under the MIT License, and so on"]
+    for _ in range(60):
+        words = " ".join(rng.choice(list(licences.NOTICES.values()), 2)).split()
+        for _ in range(int(rng.integers(0, 6))):
+            at = int(rng.integers(0, len(words)))
+            words[at : at + int(rng.integers(0, 2))] = rng.choice(["other", "license", "the", "under"], int(rng.integers(0, 2))).tolist()
+        texts.append(str(rng.choice([" ", "\n"])).join(words))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in licences.scan(df).collect()}
+    want = {i: plain_licences(t) for i, t in enumerate(texts)}
+    assert got == want and [want[i][0] for i in range(6)] == [None] * 4 + ["Apache-2.0", "MIT"]
     for name, text in licences.NOTICES.items():
-        own = licences.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
-        assert own.score == pytest.approx(1) and own.licence == name
-    assert licences.scan(docs).count() == len(TEXTS)
+        assert plain_licences(text)[:2] == (name, 1.0)
+    found = licences.scan(docs).collect()
+    assert len(found) == len(TEXTS) and all(r.licence is None for r in found) and licences.scan(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_native_operators_equal_their_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    got = queries.QUERIES[name](spark, folder)
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{folder}/documents.parquet'")
+    want = con.sql(queries.SQL[name])
+    columns = ", ".join(sorted(got.columns))
+    assert sorted(want.columns) == sorted(got.columns)
+    assert ordered(map(tuple, got.selectExpr(*sorted(got.columns)).collect())) == ordered(want.select(columns).fetchall())
 
 
 def test_simhash_components_equal_brute_force(spark, docs):
@@ -187,7 +227,7 @@ def test_email_search_equals_the_pattern():
         assert list(pii.emails(text)) == [m.span() for m in pattern.finditer(text)]
 
 
-def test_mix_meets_its_targets(spark, docs):
+def test_mix_meets_its_targets(spark, docs, monkeypatch):
     rows = [(i, " ".join(["w"] * (1 + i % 9)), f"s{i % 3}") for i in range(900)] + [(1000, "w " * 50, None), (1001, None, "s0")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = mixing.mix(spark, df).toPandas()
@@ -198,6 +238,7 @@ def test_mix_meets_its_targets(spark, docs):
         cap[source] = own.target.iloc[0]
     assert sum(cap.values()) == pytest.approx(total)
     assert cap["s0"] > cap["s1"] > cap["s2"]
+    monkeypatch.setattr(mixing, "MAX_BROADCAST", 0)
     again = mixing.mix(spark, df.repartition(7)).toPandas()
     assert sorted(zip(got.doc_id, got.taken)) == sorted(zip(again.doc_id, again.taken))
     assert mixing.mix(spark, docs).count() == len(TEXTS) and mixing.mix(spark, docs.limit(0)).count() == 0
@@ -236,6 +277,11 @@ def test_languages_of_held_out_rows(spark, docs):
     got = langid.predict(spark, table, langid.fit(table, 100)).join(table.select("doc_id", "lang"), "doc_id").filter("held_out")
     right = got.filter("lang = lang_pred").count()
     assert right >= 0.97 * got.count()
+    # An id given many times is one training row.
+    few = table.limit(50)
+    many = few.unionByName(few.limit(1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("copy"))
+    same = [langid.predict(spark, few, langid.fit(t)).orderBy("doc_id").collect() for t in (few, many)]
+    assert same[0] == same[1]
     odd = langid.predict(spark, docs.withColumn("text", F.when(F.col("doc_id") == 1, "12 !?").otherwise(F.col("text"))), langid.fit(docs))
     pred = {r.doc_id: r.lang_pred for r in odd.collect()}
     assert pred[1] == pred[3] == pred[4] == "und" and pred[5] == "en"
