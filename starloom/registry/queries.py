@@ -52,7 +52,7 @@ from starloom.registry.sql_tables import (
 from starloom.session import tune, work_folder
 from starloom.sources import adapters
 from starloom.sources.bronze import REQUIRED, freshness
-from starloom.sources.lake import DIMENSIONS, FACTS, STAGING, Lake
+from starloom.sources.lake import DIMENSIONS, FACTS, Lake
 from starloom.streaming.merge import merge_stream, raw_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -833,9 +833,6 @@ def chk_severity(spark, folder):
     return results.groupBy("severity").agg(F.sum("violations").alias("violations"))
 
 
-_GRAIN = "customer_id, snapshot_month, count(*) AS n_rows"
-
-
 def _rule(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rule = next(c for c in quality.business_rules() if c.rule == name)
@@ -909,6 +906,71 @@ def _register_rules() -> None:
         register(name, sql)(_rule(rule))
 
 
+# Rows that the queries below spoil, in a table of months and in one of events.
+SPOILED = {True: "month(snapshot_month) = 3", False: "satisfaction_score < 2"}
+
+
+def _doubled(rows: DataFrame) -> DataFrame:
+    return rows.unionByName(rows.filter(SPOILED["snapshot_month" in rows.columns]))
+
+
+def _thinned(rows: DataFrame) -> DataFrame:
+    return rows.filter(f"coalesce(not ({SPOILED['snapshot_month' in rows.columns]}), true)")
+
+
+def _miscounted(rows: DataFrame) -> DataFrame:
+    count = f"if({SPOILED[True]} and is_churned, 2, customer_count)"
+    return rows.withColumn("customer_count", F.expr(count).cast(rows.schema["customer_count"].dataType))
+
+
+def _resited(places: DataFrame) -> DataFrame:
+    return places.unionByName(places.filter("zip_code like '%1'").withColumn("city", F.concat("city", F.lit(" II"))))
+
+
+def _spoiled_rule(name: str, table: str, spoil: Callable, partner: str | None, shown: tuple[str, ...]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        rule = next(c for c in quality.business_rules() if c.rule == name)
+        tables = star(spark, folder)
+        given = {table: spoil(tables[table])} | ({partner: tables[partner]} if partner else {})
+        found = rule.query(given)
+        return found.select(*shown) if shown else found
+
+    return run
+
+
+def _register_spoiled_rules() -> None:
+    """The rules that a right star never breaks, on tables spoiled on purpose, so that they find something."""
+    spoiled_months, spoiled_events = SPOILED[True], SPOILED[False]
+    doubled = "(SELECT {0} FROM {1} UNION ALL SELECT {0} FROM {1} WHERE {2})"
+    month, event = "customer_id, snapshot_month", "support_event_id"
+    for rule, table, part, key, spoiled in (
+        ("duplicate_month_staged", MONTHS, "months", month, spoiled_months),
+        ("duplicate_month_360", quality.MONTH_360, "month_360", month, spoiled_months),
+        ("duplicate_month_fact", quality.MONTH_FACT, "f_month", month, spoiled_months),
+        ("duplicate_event_enriched", quality.ENRICHED, "enriched", event, spoiled_events),
+        ("duplicate_event_fact", quality.EVENT_FACT, "f_event", event, spoiled_events),
+    ):
+        sql = f"SELECT {key}, count(*) AS n_rows FROM {doubled.format(key, part, spoiled)} GROUP BY {key} HAVING count(*) > 1"
+        register(f"chk_spoiled_{rule}", sql)(_spoiled_rule(rule, table, _doubled, None, ()))
+    for rule, table, partner, whole, whole_name, part, part_name, spoiled in (
+        ("month_row_parity", quality.MONTH_FACT, quality.MONTH_360, "month_360", "intermediate_row_count", "f_month", "fact_row_count", spoiled_months),
+        ("enriched_row_parity", quality.ENRICHED, EVENTS, "events_staged", "staging_row_count", "enriched", "enriched_row_count", spoiled_events),
+        ("event_row_parity", quality.EVENT_FACT, EVENTS, "events_staged", "staging_row_count", "f_event", "fact_row_count", spoiled_events),
+    ):
+        sql = f"""SELECT (SELECT count(*) FROM {whole}) AS {whole_name},
+                      (SELECT count(*) - count(*) FILTER ({spoiled}) FROM {part}) AS {part_name}"""
+        register(f"chk_spoiled_{rule}", sql)(_spoiled_rule(rule, table, _thinned, partner, ()))
+    for rule, table, part in (("status_flags_360", quality.MONTH_360, "month_360"), ("status_flags_fact", quality.MONTH_FACT, "f_month")):
+        sql = f"SELECT {month} FROM {part} WHERE {spoiled_months} AND is_churned"
+        register(f"chk_spoiled_{rule}", sql)(_spoiled_rule(rule, table, _miscounted, None, ("customer_id", "snapshot_month")))
+    register(
+        "chk_spoiled_single_place_per_zip",
+        """SELECT zip_code, 2 AS n_rows, count(DISTINCT city) + count(city) AS distinct_cities, count(DISTINCT latitude) AS distinct_latitudes,
+               count(DISTINCT longitude) AS distinct_longitudes
+           FROM geography WHERE zip_code LIKE '%1' GROUP BY zip_code""",
+    )(_spoiled_rule("single_place_per_zip", "int_zipcode_geography", _resited, None, ()))
+
+
 @register(
     "chk_single_mapping_staged",
     """SELECT zip_code, count(DISTINCT (city, latitude, longitude)) AS n_tuples FROM customers WHERE zip_code IS NOT NULL
@@ -923,3 +985,4 @@ def chk_single_mapping_staged(spark, folder):
 _register_tables()
 _register_reports()
 _register_rules()
+_register_spoiled_rules()
