@@ -19,7 +19,7 @@ from starloom.functions.keys import literal_key, routed_reason_key, surrogate_ke
 from starloom.functions.numbers import MONEY, agrees, amount_if, big_whole, moment, money, safe_ratio, signed_total, whole
 from starloom.functions.text import clean_text, is_zip_cut, yes_no, zip5
 from starloom.operators import checks
-from starloom.operators.calendar import calendar_attributes, days, whole_years
+from starloom.operators.calendar import calendar_attributes, days, fixed_bounds, whole_years
 from starloom.operators.dedup import latest_rows
 from starloom.operators.increment import merge_rows, since, watermark
 from starloom.operators.lookup import left_lookup, resolve_key
@@ -982,7 +982,32 @@ def chk_single_mapping_staged(spark, folder):
     return checks.conflicting_tuples(customers, "zip_code", quality.PLACE)
 
 
+FIXED_RANGE = ("1994-01-01", "1997-01-01")
+
+
+@register(
+    "chk_date_keys_fixed_range",
+    "SELECT 'months' AS facts, count(*) FILTER (date_key NOT BETWEEN 19940101 AND 19961231) AS orphans FROM f_month"
+    " UNION ALL SELECT 'events', count(*) FILTER (date_key NOT BETWEEN 19940101 AND 19961231) FROM f_event",
+)
+def chk_date_keys_fixed_range(spark, folder):
+    """Facts whose date lies outside a calendar of stated range."""
+    tables = Star(adapters.bronze(spark, folder), calendar=fixed_bounds(spark, *FIXED_RANGE))
+    found = []
+    for name, table in (("months", quality.MONTH_FACT), ("events", quality.EVENT_FACT)):
+        (check,) = quality.points_to(table, "date_key", "dim_date")
+        result = checks.report({t: tables[t] for t in (table, "dim_date")}, [check])
+        found.append(result.select(F.lit(name).alias("facts"), F.col("violations").alias("orphans")))
+    return found[0].unionByName(found[1])
+
+
+def _register_extra_rules() -> None:
+    chosen = [c for c in quality.extra_rules() if c.rule == "relationship"]
+    register("chk_relationship_extra", " UNION ALL ".join(check_sql(c) for c in chosen))(_report_query(chosen))
+
+
 _register_tables()
 _register_reports()
+_register_extra_rules()
 _register_rules()
 _register_spoiled_rules()
