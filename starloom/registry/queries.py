@@ -679,10 +679,9 @@ def upsert(spark, folder):
 class _BreaksOff(Lake):
     """Publishes the first of the merged months and stops."""
 
-    def _publish_months(self, held, layer, table, month, touched):
-        first = min(t for t in touched if t is not None)
-        super()._publish_months(held.filter(F.col(month) == F.lit(first)), layer, table, month, [first])
-        raise InterruptedError(first)
+    def _move_months(self, pending, current, folders):
+        super()._move_months(pending, current, folders[:1])
+        raise InterruptedError(folders[0])
 
 
 @register("upsert_resumed", _EVENTS_SQL)

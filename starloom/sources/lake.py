@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 from starloom.operators.increment import duplicated, merge_rows
 
 STAGING, ENTITIES, DIMENSIONS, FACTS = "silver/staging", "silver/intermediate", "gold/dim", "gold/fact"
+# Spark passes over files whose names start with an underscore.
+SCHEMA_FILE = "_schema.json"
 
 
 @dataclass(frozen=True)
@@ -40,10 +42,25 @@ class Lake:
         return self._files(path).exists(path)
 
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
-        """With ``schema``, files written before a column existed read as NULL there and
-        removed columns are left out; no old file is rewritten for it."""
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(self.path(layer, table))
+        """The table in its own schema, or in the one given. Files written before a column existed
+        read as NULL there and removed columns are left out; no old file is rewritten for it."""
+        path = self.path(layer, table)
+        schema = schema or self._kept_schema(path)[0]
+        if not schema:
+            return self.spark.read.parquet(path)
+        # Spark puts the partition column last.
+        return self.spark.read.schema(schema).parquet(path).select([F.col(f"`{name}`") for name in schema.names])
+
+    def _kept_schema(self, folder: str) -> tuple[StructType | None, set[str]]:
+        """The schema kept with a table, and the removed columns that old files may still hold."""
+        note = f"{folder}/{SCHEMA_FILE}"
+        if not self._files(self._path(note)).exists(self._path(note)):
+            return None, set()
+        kept = self._load(note)
+        return StructType.fromJson(kept["schema"]), set(kept["removed"])
+
+    def _keep_schema(self, folder: str, schema: dict, removed: list[str]) -> None:
+        self._store(f"{folder}/{SCHEMA_FILE}", {"schema": schema, "removed": removed})
 
     # --- full overwrite ---------------------------------------------------------------
 
@@ -56,6 +73,7 @@ class Lake:
             df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(fresh)
         else:
             df.hint("rebalance").write.parquet(fresh)
+        self._keep_schema(fresh, df.schema.jsonValue(), [])
         self._swap(fresh, current)
         return self.read(layer, table, df.schema)
 
@@ -93,9 +111,14 @@ class Lake:
         Without a table yet, ``source`` becomes it.
 
         The source is written down once (it is read several times and may be expensive). The
-        merged months are then written to a pending folder and published from there by a
-        dynamic partition overwrite, so the table is never read while it is replaced. A
-        publication that breaks off is finished by the next run (:meth:`recover`).
+        merged months are then written to a pending folder and moved in from there, so the table
+        is never read while it is replaced. A publication that breaks off is finished by the next
+        run (:meth:`recover`).
+
+        Columns follow the source: new ones are NULL in older rows, missing ones go. A column that
+        changes its type, or comes back after it was removed, is rewritten in every month, since
+        old files cannot be read in the new shape; a value that does not fit the new type fails
+        the merge before anything is published.
 
         ``key_fixes_month`` says that a key never moves to another month. Where it may, the
         months of the target's old copies are touched too, which costs a scan of two columns.
@@ -103,41 +126,67 @@ class Lake:
         self.recover(layer, table)
         if not self.exists(layer, table):
             return self.replace(layer, table, source, key=key, month=month)
-        run = uuid.uuid4().hex
-        batch = f"{self.path(layer, table)}__batch_{run}"
+        current, run = self.path(layer, table), uuid.uuid4().hex
+        batch, pending = f"{current}__batch_{run}", f"{current}__pending_{run}"
         source.write.parquet(batch)
         source = self.spark.read.schema(source.schema).parquet(batch)
         self._refuse_duplicates(table, source, key, batch)
 
-        target = self.read(layer, table, source.schema)
+        target = self.read(layer, table)
+        removed = self._kept_schema(current)[1]
+        rewrites_all = _reshaped(target.schema, source.schema, removed)
+        removed = set() if rewrites_all else removed | set(target.columns) - set(source.columns)
         months = source.select(month)
-        if not key_fixes_month:
+        if rewrites_all:
+            months = months.unionByName(target.select(month))
+        elif not key_fixes_month:
             months = months.unionByName(target.join(source.select(key), key, "left_semi").select(month))
         # One value per calendar month: bounded by the span of the data, not by its volume.
         touched = [r[0] for r in months.distinct().collect()]
         merged = merge_rows(target.filter(_in_months(month, touched)), source, key, newer_by=newer_by)
-
-        pending = f"{self.path(layer, table)}__pending_{run}"
         merged.hint("rebalance", month).write.partitionBy(month).parquet(pending)
-        held = self.spark.read.schema(source.schema).parquet(pending)
         report = MergeReport(
             table=table,
             first_load=False,
             partitions_rewritten=len(touched),
-            rows_written=held.count(),
+            rows_written=self.spark.read.schema(source.schema).parquet(pending).count(),
             source_rows=source.count(),
         )
-        self._note(
-            self.path(layer, table),
-            {"pending": pending, "batch": batch, "month": month, "schema": source.schema.jsonValue()}
-            | {"touched": [None if v is None else v.isoformat() for v in touched]},
-        )
-        self._publish_months(held, layer, table, month, touched)
-        self._drop(self._manifest(self.path(layer, table)))
+        # A month whose last row moved away has no pending folder.
+        filled = self._folders(pending)
+        emptied = {_folder(month, value) for value in touched} - set(filled)
+        plan = {
+            "pending": pending,
+            "batch": batch,
+            "filled": filled,
+            "emptied": sorted(emptied),
+            "schema": source.schema.jsonValue(),
+            "removed": sorted(removed),
+        }
+        self._note(current, plan)
+        self._finish_merge(plan, current)
+        self._drop(self._manifest(current))
         self._drop(pending)
         self._drop(batch)
         return report
 
+    def _finish_merge(self, plan: dict, current: str) -> None:
+        self._move_months(plan["pending"], current, plan["filled"])
+        for folder in plan["emptied"]:
+            self._drop(f"{current}/{folder}")
+        self._keep_schema(current, plan["schema"], plan["removed"])
+
+    def _move_months(self, pending: str, current: str, folders: list[str]) -> None:
+        """Put pending months in the place of the table's. A folder that is no longer pending was
+        moved before. (Where storage has no rename this copies the touched months, no more.)"""
+        for folder in folders:
+            new, old = self._path(f"{pending}/{folder}"), self._path(f"{current}/{folder}")
+            files = self._files(old)
+            if files.exists(new):
+                files.delete(old, True)
+                if not files.rename(new, old):
+                    raise OSError(f"cannot publish {pending}/{folder} in {current}")
+
     def recover(self, layer: str, table: str) -> bool:
         """Finish a publication that broke off; whether there was one.
 
@@ -149,14 +198,12 @@ class Lake:
         note = self._path(self._manifest(current))
         if not self._files(note).exists(note):
             return False
-        plan = json.loads("".join(r[0] for r in self.spark.read.text(self._manifest(current)).collect()))
+        plan = self._load(self._manifest(current))
         if "swap" in plan:
             if self._files(note).exists(self._path(plan["swap"])):
                 self._finish_swap(plan["swap"], current)
         else:
-            held = self.spark.read.schema(StructType.fromJson(plan["schema"])).parquet(plan["pending"])
-            touched = [None if v is None else date.fromisoformat(v) for v in plan["touched"]]
-            self._publish_months(held, layer, table, plan["month"], touched)
+            self._finish_merge(plan, current)
         self._drop(self._manifest(current))
         for folder in (plan.get("pending"), plan.get("batch")):
             if folder:
@@ -169,9 +216,7 @@ class Lake:
     def _note(self, current: str, plan: dict) -> None:
         """Written aside and renamed: a note is there whole or not at all."""
         aside, note = self._path(f"{current}__note_{uuid.uuid4().hex}"), self._path(self._manifest(current))
-        out = self._files(aside).create(aside)
-        out.write(bytearray(json.dumps(plan).encode()))
-        out.close()
+        self._store(aside.toString(), plan)
         if not self._files(aside).rename(aside, note):
             raise OSError(f"cannot note the publication of {current}")
 
@@ -181,20 +226,6 @@ class Lake:
             self._drop(folder)
             raise ValueError(f"{table}: several source rows for one key, e.g. {clashes}")
 
-    def _publish_months(self, held: DataFrame, layer: str, table: str, month: str, touched: list) -> None:
-        (
-            held.hint("rebalance", month)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(month)
-            .parquet(self.path(layer, table))
-        )
-        # A month whose last row moved away has no pending rows, so the overwrite leaves it alone.
-        filled = {r[0] for r in held.select(month).distinct().collect()}
-        for value in set(touched) - filled:
-            folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value.isoformat()
-            self._drop(f"{self.path(layer, table)}/{month}={folder}")
-
     def replace(self, layer: str, table: str, source: DataFrame, *, key: str, month: str) -> MergeReport:
         """Full refresh: rebuild the partitioned table from ``source`` alone, written once and swapped in."""
         self.recover(layer, table)
@@ -202,7 +233,8 @@ class Lake:
         source.hint("rebalance", month).write.partitionBy(month).parquet(fresh)
         held = self.spark.read.schema(source.schema).parquet(fresh)
         self._refuse_duplicates(table, held, key, fresh)
-        rows, months = held.count(), held.select(month).distinct().count()
+        rows, months = held.count(), len(self._folders(fresh))
+        self._keep_schema(fresh, source.schema.jsonValue(), [])
         self._swap(fresh, self.path(layer, table))
         return MergeReport(table, True, months, rows, rows)
 
@@ -214,6 +246,23 @@ class Lake:
     def _files(self, path):
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _folders(self, path: str) -> list[str]:
+        """Names of the partition folders."""
+        found = self._files(self._path(path)).listStatus(self._path(path))
+        return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+    def _store(self, path: str, content: dict) -> None:
+        out = self._files(self._path(path)).create(self._path(path), True)
+        out.write(bytearray(json.dumps(content).encode()))
+        out.close()
+
+    def _load(self, path: str) -> dict:
+        source = self._files(self._path(path)).open(self._path(path))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
+        finally:
+            source.close()
+
     def _drop(self, path: str) -> None:
         target = self._path(path)
         self._files(target).delete(target, True)
@@ -223,3 +272,13 @@ def _in_months(month: str, touched: list):
     known = [m for m in touched if m is not None]
     inside = F.col(month).isin(known) if known else F.lit(False)
     return inside | F.col(month).isNull() if None in touched else inside
+
+
+def _folder(month: str, value: date | None) -> str:
+    return f"{month}=" + ("__HIVE_DEFAULT_PARTITION__" if value is None else value.isoformat())
+
+
+def _reshaped(held: StructType, new: StructType, removed: set[str]) -> bool:
+    """Whether files of the held schema cannot be read in the new one."""
+    types = {f.name: f.dataType for f in held.fields}
+    return any(types.get(f.name, f.dataType) != f.dataType or f.name in removed for f in new.fields)

@@ -92,6 +92,32 @@ def test_columns_come_and_go_without_rewriting_old_months(lake, rows):
     assert {(r.id, r.fresh) for r in read.collect()} == {("a", None), ("b", "x")} and "gone" not in read.columns
 
 
+@pytest.mark.parametrize("type_, shown", [("string", "1"), ("decimal(12,2)", 1), ("bigint", 1)])
+def test_a_column_changes_its_type_in_months_that_the_source_does_not_touch(lake, rows, type_, shown):
+    lake.merge(FACTS, "t", rows("id string, month date, v int", ("a", JAN, 1), ("n", None, 1)), **MERGE)
+    newer = rows("id string, month date, v int", ("b", FEB, 2)).selectExpr("id", "month", f"cast(v as {type_}) as v")
+    lake.merge(FACTS, "t", newer, **MERGE)
+    assert lake.read(FACTS, "t").schema["v"].dataType == newer.schema["v"].dataType
+    assert {r.id: r.v for r in lake.read(FACTS, "t").collect() if r.id != "b"} == {"a": shown, "n": shown}
+
+
+def test_a_value_that_does_not_fit_the_new_type_leaves_the_table_alone(lake, rows):
+    lake.merge(FACTS, "t", rows("id string, month date, v string", ("a", JAN, "x")), **MERGE)
+    with pytest.raises(Exception):
+        lake.merge(FACTS, "t", rows("id string, month date, v int", ("b", FEB, 2)), **MERGE)
+    assert [tuple(r) for r in lake.read(FACTS, "t").collect()] == [("a", JAN, "x")]
+
+
+def test_the_table_keeps_its_current_schema(lake, rows):
+    lake.merge(FACTS, "t", rows("id string, month date, gone int", ("a", JAN, 1)), **MERGE)
+    newer = rows("id string, month date, fresh string", ("b", FEB, "x"))
+    lake.merge(FACTS, "t", newer, **MERGE)
+    assert lake.read(FACTS, "t").columns == ["id", "month", "fresh"]
+    # A removed column that comes back is empty in old rows, whatever their files hold.
+    lake.merge(FACTS, "t", rows("id string, month date, gone string", ("c", FEB, "y")), **MERGE)
+    assert {(r.id, r.gone) for r in lake.read(FACTS, "t").collect()} == {("a", None), ("b", None), ("c", "y")}
+
+
 class Settings:
     def __init__(self, **values):
         self.conf = {k.replace("_", "."): v for k, v in values.items()}
@@ -111,13 +137,13 @@ def test_only_a_local_session_may_do_without_a_shared_folder():
 
 def test_a_merge_that_breaks_off_is_finished_by_the_next_run(lake, rows, monkeypatch):
     lake.merge(FACTS, "t", rows(SCHEMA, ("a", JAN, day(1), 1), ("b", FEB, day(1), 1), ("c", MAR, day(1), 1)), **MERGE)
-    publish = Lake._publish_months
+    move = Lake._move_months
 
-    def broken(self, held, layer, table, month, touched):
-        publish(self, held.filter(f"month = date'{FEB}'"), layer, table, month, [FEB])
+    def broken(self, pending, current, folders):
+        move(self, pending, current, [f"month={FEB}"])
         raise OSError("the driver is gone")
 
-    monkeypatch.setattr(Lake, "_publish_months", broken)
+    monkeypatch.setattr(Lake, "_move_months", broken)
     news = rows(SCHEMA, ("a", JAN, day(2), 2), ("b", FEB, day(2), 2), ("c", JAN, day(2), 2))
     with pytest.raises(OSError):
         lake.merge(FACTS, "t", news, **MERGE)
