@@ -48,10 +48,6 @@ def repeated_values(df: DataFrame, column: str) -> DataFrame:
     return repeated(df.filter(F.col(column).isNotNull()), column)
 
 
-def value_counts_outside(df: DataFrame, column: str, allowed: list) -> DataFrame:
-    return df.filter(outside_values(column, allowed)).groupBy(column).agg(F.count("*").alias("n_rows"))
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child values absent from the parent, with their row counts.
 

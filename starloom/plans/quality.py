@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.flags import as_count
 from starloom.functions.numbers import CENT, MONEY, amount_if
+from starloom.functions.text import is_zip_cut
 from starloom.operators.checks import (
     ERROR,
     WARN,
@@ -20,7 +21,8 @@ from starloom.operators.checks import (
     unequal_counts,
 )
 from starloom.plans.entities import AGE_CUTS, AGE_TOP, QUALITY, TENURE_CUTS, TENURE_TOP
-from starloom.plans.staging import CHURNED, ESCALATED, JOINED, RESOLVED, SERVICES, STAYED, snake
+from starloom.plans.staging import CHURNED, ESCALATED, JOINED, RESOLVED, SERVICES, STAYED, raw, snake
+from starloom.sources import bronze
 from starloom.sources.bronze import REQUIRED
 
 CUSTOMERS, ZIPS = "stg_telecom_customer_churn", "stg_telecom_zipcode_population"
@@ -303,9 +305,14 @@ def extra_rules() -> list[Check]:
     """Rules that can fail where the standard ones cannot.
 
     The place of a ZIP is compared on the customers, before it is aggregated away, and the
-    service key of an event must exist like its other keys.
+    service key of an event must exist like its other keys. A raw ZIP of more than five digits
+    is cut by staging, where two such ZIPs may become one.
     """
     return [
+        *[
+            Check(table, "zip_cut", "Zip Code", WARN, query=lambda t, table=table: t[table].filter(is_zip_cut(raw("Zip Code"))))
+            for table in (bronze.CUSTOMERS, bronze.ZIPS)
+        ],
         Check(
             CUSTOMERS,
             "single_place_per_zip_staged",

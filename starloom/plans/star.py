@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import cached_property
@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from starloom.functions.audit import Audit
 from starloom.operators.calendar import whole_years
+from starloom.operators.checks import Check, gate
+from starloom.operators.checks import report as check_report
 from starloom.operators.increment import since, watermark
 from starloom.operators.lookup import heavy_keys
 from starloom.plans import dimensions, entities, facts, staging
-from starloom.sources.bronze import Bronze
+from starloom.sources.bronze import REQUIRED, Bronze
 from starloom.sources.lake import DIMENSIONS, ENTITIES, FACTS, STAGING, Lake, MergeReport
 
 LAYERS = {
@@ -181,12 +183,18 @@ def refresh(
     audit: Audit | None = None,
     calendar: DataFrame | None = None,
     full_refresh: bool = False,
+    checks: Sequence[Check] = (),
 ) -> BuildReport:
     """One run: staging and dimensions rebuilt, facts merged from what is new.
 
     Staging is written once per run, since the entities, the dimensions, the facts and the
-    checks all read it; the entities stay lazy views of it. Facts take the months and events
-    stamped at or after their watermark; a full refresh rebuilds them from everything.
+    checks all read it. Facts take the months and events stamped at or after their watermark; a
+    full refresh rebuilds them from everything.
+
+    With ``checks`` a layer is checked before the next one is built: a failed check of level
+    error raises, and the later layers stay as they were. The entities are then written too,
+    once, instead of being computed again for every check; a lake that holds them keeps them
+    current. Otherwise they stay lazy views of staging.
     """
     audit = audit or Audit.of_run()
     report = BuildReport()
@@ -195,28 +203,55 @@ def refresh(
         for table in tables:
             lake.recover(layer, table)
 
+    def pass_checks(star: Star, tables: Sequence[str]) -> None:
+        mine = [c for c in checks if c.table in tables]
+        if mine:
+            gate(check_report(star, mine))
+
     staged = Star(bronze, audit)
+    pass_checks(staged, tuple(REQUIRED))
     kept = {t: lake.overwrite(STAGING, t, staged[t], PARTITIONED.get(t)) for t in LAYERS[STAGING]}
     months, events = kept["stg_customer_monthly_snapshot"], kept["stg_customer_support_events"]
+    heavy = HeavyKeys.of(months, events)
+
+    def star_of_kept() -> Star:
+        return Star(bronze, audit, calendar=calendar, given=kept, heavy=heavy)
 
-    star = Star(bronze, audit, calendar=calendar, given=kept, heavy=HeavyKeys.of(months, events))
+    pass_checks(star_of_kept(), LAYERS[STAGING])
+    keeps_entities = bool(checks) or any(lake.exists(ENTITIES, t) for t in LAYERS[ENTITIES])
+    if keeps_entities:
+        for table in LAYERS[ENTITIES]:
+            kept[table] = lake.overwrite(ENTITIES, table, star_of_kept()[table])
+        pass_checks(star_of_kept(), LAYERS[ENTITIES])
     for table in LAYERS[DIMENSIONS]:
-        kept[table] = lake.overwrite(DIMENSIONS, table, star[table])
-    star = Star(bronze, audit, calendar=calendar, given=kept, heavy=star.heavy)
+        kept[table] = lake.overwrite(DIMENSIONS, table, star_of_kept()[table])
+    star = star_of_kept()
+    pass_checks(star, LAYERS[DIMENSIONS])
+
+    def fresh_months(bound: date | None) -> DataFrame:
+        if keeps_entities:
+            return since(star["int_customer_monthly_360"], "source_updated_at", bound)
+        return star.monthly_360(since(months, "source_updated_at", bound))
+
+    def fresh_events(bound: date | None) -> DataFrame:
+        if keeps_entities:
+            return since(star["int_support_event_enriched"], "source_updated_at", bound)
+        return star.enriched(since(events, "source_updated_at", bound), bound)
 
     fresh_facts = {
-        facts.MONTH_FACT: lambda bound: star.month_facts(star.monthly_360(since(months, "source_updated_at", bound))),
-        facts.EVENT_FACT: lambda bound: star.event_facts(star.enriched(since(events, "source_updated_at", bound), bound)),
+        facts.MONTH_FACT: lambda bound: star.month_facts(fresh_months(bound)),
+        facts.EVENT_FACT: lambda bound: star.event_facts(fresh_events(bound)),
     }
     for table, fresh in fresh_facts.items():
         merge = MERGES[table]
         if full_refresh or not lake.exists(FACTS, table):
             report.bounds[table] = None
             report.merges[table] = lake.replace(FACTS, table, fresh(None), key=merge["key"], month=merge["month"])
-            continue
-        bound = watermark(lake.read(FACTS, table), "source_updated_at")
-        report.bounds[table] = bound
-        report.merges[table] = lake.merge(FACTS, table, fresh(bound), **merge)
+        else:
+            report.bounds[table] = bound = watermark(lake.read(FACTS, table), "source_updated_at")
+            report.merges[table] = lake.merge(FACTS, table, fresh(bound), **merge)
+        kept[table] = lake.read(FACTS, table)
+    pass_checks(star_of_kept(), LAYERS[FACTS])
     return report
 
 

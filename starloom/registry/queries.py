@@ -755,11 +755,6 @@ def stream_upsert(spark, folder):
 # --- checks -------------------------------------------------------------------------------
 
 
-def _checked(tables: dict[str, DataFrame], rule: str, table: str, column: str) -> DataFrame:
-    check = next(c for c in quality.column_checks() if (c.rule, c.table, c.column) == (rule, table, column))
-    return check.violating(tables)
-
-
 def _report_query(chosen: list[checks.Check]) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return checks.report(star(spark, folder), chosen)
@@ -1003,6 +998,10 @@ def chk_date_keys_fixed_range(spark, folder):
 def _register_extra_rules() -> None:
     chosen = [c for c in quality.extra_rules() if c.rule == "relationship"]
     register("chk_relationship_extra", " UNION ALL ".join(check_sql(c) for c in chosen))(_report_query(chosen))
+    cut = [c for c in quality.extra_rules() if c.rule == "zip_cut"]
+    one = """SELECT '{c.name}' AS check_name, '{c.table}' AS table_name, '{c.column}' AS column_name, '{c.severity}' AS severity,
+                 count(*) FILTER ("Zip Code" > 99999) AS violations FROM {part}"""
+    register("chk_zip_cut", " UNION ALL ".join(one.format(c=c, part=PART_OF[c.table]) for c in cut))(_report_query(cut))
 
 
 _register_tables()

@@ -14,7 +14,7 @@ from starloom.plans import dimensions, entities, facts, quality, staging
 from starloom.plans.star import LAYERS, MERGES, HeavyKeys, Star, recent_months, refresh, stored
 from starloom.sources.adapters import bronze
 from starloom.sources.bronze import Bronze
-from starloom.sources.lake import DIMENSIONS, FACTS, Lake
+from starloom.sources.lake import DIMENSIONS, ENTITIES, FACTS, Lake
 
 SPLIT = "timestamp'2001-01-01'"
 
@@ -89,6 +89,25 @@ def test_the_report_covers_all_checks_and_finds_the_defects(built):
         checks.gate(checks.report(stored(whole, raw), [c for c in quality.column_checks() if c.name in found][:3]))
 
 
+def test_a_failed_check_stops_the_run_before_the_next_layer(spark, built, tmp_path):
+    raw, lake = built[0], Lake(spark, str(tmp_path))
+    impossible = checks.Check(quality.MONTH_360, "accepted_values", "customer_count", allowed=(2,))
+    warning = checks.Check(quality.MONTHS, "accepted_values", "customer_status", checks.WARN, allowed=("none",))
+    with pytest.raises(checks.QualityError, match="int_customer_monthly_360"):
+        refresh(spark, raw, lake, checks=[impossible, warning])
+    assert all(lake.exists(ENTITIES, t) for t in LAYERS[ENTITIES])
+    assert not any(lake.exists(layer, t) for layer in (DIMENSIONS, FACTS) for t in LAYERS[layer])
+
+
+def test_a_checked_run_builds_the_same_facts(spark, built, tmp_path):
+    raw, _, whole, _ = built
+    lake, grain = Lake(spark, str(tmp_path)), [c for c in quality.business_rules() if c.rule.startswith("duplicate")]
+    for source in (early(raw), raw):
+        refresh(spark, source, lake, checks=grain)
+    for table in LAYERS[FACTS]:
+        assert same(lake.read(FACTS, table), whole.read(FACTS, table)), table
+
+
 def test_the_catalogue_is_complete():
     declared = quality.column_checks()
     by_rule = Counter(c.rule for c in declared)
