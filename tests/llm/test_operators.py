@@ -244,6 +244,25 @@ def test_mix_meets_its_targets(spark, docs, monkeypatch):
     assert mixing.mix(spark, docs).count() == len(TEXTS) and mixing.mix(spark, docs.limit(0)).count() == 0
 
 
+def test_mix_of_symbol_heavy_sources_equals_its_sql(spark, monkeypatch, tmp_path):
+    def rows(i):
+        text = " ".join(["#|" * (1 + i % 15)] * (1 + i % 7))
+        return [(i, text, "heavy"), (3000 + i, "w " * (1 + i % 9), "plain"), (6000 + i, "w " * (1 + i % 2) + "#" * (i % 4), None)]
+
+    every = [r for i in range(900) for r in rows(i)] + [(9000, "#" * 200_000, "heavy"), (None, "a", "plain"), (None, "a", "plain"), (9001, None, "bare")]
+    spark.createDataFrame(every, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = ordered(con.sql(queries.SQL["op8_mixing"]).fetchall())
+    for few_rows in (mixing.FEW_ROWS, 3):
+        monkeypatch.setattr(mixing, "FEW_ROWS", few_rows)
+        got = mixing.mix(spark, df).select("doc_id", "size", "source_size", "target", "taken").collect()
+        assert ordered(map(tuple, got)) == want
+    heavy = [r for r in want if r[0] is not None and r[0] < 3000]
+    assert len({r[4] // r[1] for r in heavy}) == 2
+
+
 def plain_repeats(words, window=8):
     seen = {}
     for i in range(len(words) - window + 1):
