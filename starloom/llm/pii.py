@@ -4,7 +4,8 @@ The base patterns run on the text itself. Then transducers normalise the text: h
 full-width forms become ASCII, invisible characters vanish, spelled digits become digits, and
 "at" and "dot" disguises become ``@`` and ``.``. Each keeps an edit list, from which a span of
 the normalised text is mapped back to source characters. Identifiers found there are added
-unless they overlap a base span; base spans stay.
+unless a base span of their kind holds them. Base spans stay, also inside an added span: where an
+identifier is disguised in part, its plain rest may be one by itself.
 
 Offsets are code points, end exclusive. A null text counts as empty. Repeated rows are scanned
 each for itself; other columns are ignored; an empty table gives none.
@@ -107,10 +108,11 @@ MARKED = lambda word, sign: rf"{OPEN}(?:{word}|{sign}){CLOSE}"
 AT, DOT = MARKED("at", "@"), MARKED("dot", r"\.")
 NAME, LABEL = r"[A-Za-z0-9_%+-]+", r"[A-Za-z0-9-]+"
 SEPARATOR = rf"(?:{DOT}|\.|\x20dot\x20)"
-# A bare "at" counts only with a disguised dot behind it; a marked one with any dot.
+HIDDEN = rf"{LABEL}(?:\.{LABEL})*(?:{DOT}|\x20dot\x20){LABEL}(?:{SEPARATOR}{LABEL})*"
+# A bare "at" counts only with a disguised dot behind it; a marked one and "@" with any dot.
 DISGUISED = re.compile(
     rf"(?i)(?<![A-Za-z0-9_%+-]){NAME}(?:{SEPARATOR}{NAME})*(?:(?:{AT}){LABEL}(?:{SEPARATOR}{LABEL})+"
-    rf"|\x20at\x20{LABEL}(?:(?:{DOT}|\x20dot\x20){LABEL})+|@{LABEL}(?:(?:{DOT}|\x20dot\x20){LABEL})+)"
+    rf"|\x20at\x20{HIDDEN}|@{LABEL}(?:{SEPARATOR}{LABEL})+)"
 )
 SIGNS = re.compile(rf"(?i){AT}|{DOT}|\x20at\x20|\x20dot\x20")
 CUES = re.compile(r"(?i)[\[({<]\s?(?:at|dot|@|\.)\s?[\])}>]|\x20dot\x20")
@@ -186,10 +188,13 @@ def scan_text(text: str | None) -> tuple[list, list]:
             maps.append(back)
     spans = list(base)
     if maps:
+        # The base spans of a kind are sorted and apart, so only the last one that starts early enough can hold another.
+        held = {kind: [s[1:] for s in base if s[0] == kind] for kind in KINDS}
         for kind, start, stop in find(changed):
             for edits in reversed(maps):
                 start, stop = edits.back(start, False), edits.back(stop, True)
-            if all(stop <= s or start >= e for _, s, e in spans):
+            at = bisect_right(held[kind], start, key=lambda s: s[0]) - 1
+            if at < 0 or held[kind][at][1] < stop:
                 spans.append((kind, start, stop))
     order = lambda s: (KINDS.index(s[0]), *s[1:])
     return sorted(base, key=order), sorted(spans, key=order)

@@ -211,6 +211,24 @@ def test_disguised_identifiers_keep_their_offsets(text, kind, found):
     assert (kind, found) in [(k, text[a:b]) for k, a, b in pii.scan_text(text)[1]]
 
 
+@pytest.mark.parametrize(
+    "text, kind, base, found",
+    [
+        ("to m\u0430ry.jane@example.com now", "email", "ry.jane@example.com", "m\u0430ry.jane@example.com"),
+        ("to ma\u200bry.jane@example.com now", "email", "ry.jane@example.com", "ma\u200bry.jane@example.com"),
+        ("to bob@mail.example dot com", "email", "bob@mail.example", "bob@mail.example dot com"),
+        ("to bob [dot] lee@example.com", "email", "lee@example.com", "bob [dot] lee@example.com"),
+        ("call +1 988 555 248\uff15, please", "phone", "+1 988 555 248", "+1 988 555 248\uff15"),
+        ("host 10.1.2.3\uff14 is up", "ip", "10.1.2.3", "10.1.2.3\uff14"),
+    ],
+)
+def test_partly_disguised_identifiers_are_added_whole(text, kind, base, found):
+    plain, spans = ([(k, text[a:b]) for k, a, b in side] for side in pii.scan_text(text))
+    assert plain == [(kind, base)] and sorted(spans) == sorted([(kind, base), (kind, found)])
+    # An invisible character beside a whole identifier adds nothing.
+    assert [len(side) for side in pii.scan_text(f"\u200b{base}\u200b")] == [1, 1]
+
+
 def test_pii_base_spans_and_clean_texts(docs):
     base, spans = pii.scan_text("a@b.co 1.2.3.4.5.6.7.8 999.1.1.1, 4111 1111 1111 1111 +1 (988) 555-2485")
     assert base == spans
