@@ -3,11 +3,14 @@
 Each stage reads what its predecessor kept. All but the last return the columns of documents:
 
 * ``quality`` drops the documents that the quality rules reject;
-* ``near_duplicates`` keeps the document of smallest id of each group (an id names one document);
+* ``near_duplicates`` keeps the document of smallest id of each group, and one copy of it;
 * ``secrets`` keeps every document and replaces its secrets by ``[SECRET]``;
 * ``mix`` keeps the documents that the mix takes, each as often as it takes them;
 * ``tokens`` returns counts and digests of the ids and of their decoded bytes.
 
+Rows are told apart by a hash of all their columns, so ids may be null or used again. Only equal rows
+share a hash; they are judged alike, are near-duplicates, and are dealt their copies together.
+
 The forest and the compiled BPE merges have no SQL form, so there is no ``ORACLE_SQL``.
 """
 
@@ -18,21 +21,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import bpe, mixing, quality, secrets, simhash
-from starloom.llm.common import read_table, written
+from starloom.llm.common import read_table, row_key, written
 
 ORACLE_SQL = None
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judge(spark, docs, read_table(spark, sf_dir, "labels"))
-    kept = judged.filter("kept").selectExpr("doc_id as k_id").distinct()
-    return docs.join(kept, F.expr("doc_id <=> k_id"), "left_semi")
+    keyed = docs.withColumn("row_key", row_key(docs))
+    judged = quality.judge(spark, keyed, read_table(spark, sf_dir, "labels"), carried=("row_key",))
+    kept = judged.filter("kept").select("row_key").distinct()
+    return keyed.join(kept, "row_key", "left_semi").select(docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(spark, docs)
-    first = groups.filter("doc_id <=> component_id").selectExpr("doc_id as k_id").distinct()
-    return docs.join(first, F.expr("doc_id <=> k_id"), "left_semi").dropDuplicates(["doc_id"])
+    keyed = docs.withColumn("row_key", row_key(docs))
+    groups = simhash.groups(spark, keyed, carried=("row_key",))
+    # Not by component_id: groups may share it where ids are null or used again.
+    first = groups.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id"), "doc_id", "row_key")).alias("first"))
+    survivors = keyed.join(first.select("first.row_key"), "row_key", "left_semi")
+    return survivors.dropDuplicates(["row_key"]).select(docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +49,17 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    taken = mixing.mix(spark, docs).filter("copies > 0").groupBy(F.col("doc_id").alias("k_id")).agg(F.max("copies").alias("k_copies"))
-    copies = F.explode(F.expr("sequence(1L, k_copies)"))
-    return docs.join(taken, F.expr("doc_id <=> k_id")).withColumn("k_copy", copies).select(docs.columns)
+    keyed = docs.withColumn("row_key", row_key(docs))
+    mixed = mixing.mix(spark, keyed.select(F.col("row_key").alias("doc_id"), "text", "source"))
+    sums = mixed.groupBy(F.col("doc_id").alias("row_key")).agg(F.min("copies").alias("low"), F.max("copies").alias("high"), F.sum("copies").alias("total"))
+    taken = written(spark, sums.filter("high > 0"), "mix-taken")
+    copied = lambda rows, n: rows.withColumn("row_copy", F.explode(F.sequence(F.lit(1), F.col(n).cast("int")))).select(docs.columns)
+    result = copied(keyed.join(taken.filter("low = high"), "row_key"), "high")
+    # Equal rows at the edge of a source, one key a source at most: the copies of all go to one of them.
+    edge = taken.filter("low < high")
+    if not edge.isEmpty():
+        result = result.unionByName(copied(keyed.join(edge, "row_key").dropDuplicates(["row_key"]), "total"))
+    return result
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

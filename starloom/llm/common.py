@@ -8,7 +8,8 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -30,6 +31,12 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def row_key(df: DataFrame) -> Column:
+    """A hash of all columns: rows of one key are equal, whatever ids are null or used again."""
+    parts = (F.md5(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))) for c in df.columns)
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(ddl))
 

@@ -87,12 +87,16 @@ def statistics(text: str | None) -> list:
     return [n, chars, symbols, dup_lines, repeated, *features]
 
 
-def rule_statistics(docs: DataFrame) -> DataFrame:
+def _ddl(carried: tuple) -> str:
+    return "".join([STATS, *(f", {c} binary" for c in carried)])
+
+
+def rule_statistics(docs: DataFrame, carried: tuple = ()) -> DataFrame:
     def columns(batch):
         made = [statistics(t.as_py()) for t in batch["text"]]
-        return [batch["doc_id"], *(map(list, zip(*made)) if made else [[]] * (len(FEATURES) + 5))]
+        return [batch["doc_id"], *(map(list, zip(*made)) if made else [[]] * (len(FEATURES) + 5)), *(batch[c] for c in carried)]
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), STATS, columns)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", *carried), _ddl(carried), columns)
 
 
 # --- the forest ---------------------------------------------------------------------------
@@ -170,12 +174,13 @@ def calibrate(counts: dict[tuple[int, int], int], max_false: float = MAX_FALSE)
     return threshold
 
 
-def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Statistics of every row of ``docs(doc_id, text)`` with ``base_failed``, ``anomaly`` and ``kept``.
+def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame, carried: tuple = ()) -> DataFrame:
+    """Statistics of every row of ``docs(doc_id, text)`` with ``base_failed``, ``anomaly`` and ``kept``,
+    and the binary columns ``carried``.
 
     ``labels(doc_id, quality)``: 1 is good, 0 bad, other rows are left out.
     """
-    stats = written(spark, rule_statistics(docs), "quality")
+    stats = written(spark, rule_statistics(docs, carried), "quality")
     marked = labels.filter("quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     # The forest decides where the base rule does not, so it learns and is calibrated there.
     labelled = stats.join(marked, "doc_id").filter(f"not ({BASE_FAILS})")
@@ -186,7 +191,7 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
         scored, threshold = stats.withColumn("anomaly", F.lit(None).cast("double")), None
     else:
         forest, per_tree = fit(rows), min(ROWS_PER_TREE, len(rows))
-        scored = _scored(stats, forest, per_tree)
+        scored = _scored(stats, forest, per_tree, carried)
         step = F.floor(F.col("anomaly") * STEPS).cast("int")
         sums = _scored(labelled.drop("quality"), forest, per_tree).join(marked, "doc_id").groupBy("quality", step.alias("step")).count()
         threshold = calibrate({(r[0], r[1]): r[2] for r in sums.collect()})
@@ -195,11 +200,11 @@ def judge(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.withColumn("base_failed", failed).withColumn("kept", ~failed & fine)
 
 
-def _scored(stats: DataFrame, forest, per_tree: int) -> DataFrame:
-    names = [c.split()[0] for c in STATS.split(", ")]
+def _scored(stats: DataFrame, forest, per_tree: int, carried: tuple = ()) -> DataFrame:
+    names = [c.split()[0] for c in _ddl(carried).split(", ")]
 
     def columns(batch):
         rows = np.column_stack([batch[f].to_numpy(zero_copy_only=False) for f in FEATURES]).astype(float)
         return [*(batch[c] for c in names), anomaly(rows, forest, per_tree)]
 
-    return map_batches(stats.select(*names), f"{STATS}, anomaly double", columns)
+    return map_batches(stats.select(*names), f"{_ddl(carried)}, anomaly double", columns)

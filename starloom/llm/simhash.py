@@ -43,11 +43,14 @@ def simhash(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carried: tuple = ()) -> DataFrame:
+    """``doc_id, print`` and the binary columns ``carried``."""
+
     def columns(batch):
-        return [batch["doc_id"], [simhash(t.as_py(), shingle) for t in batch["text"]]]
+        return [batch["doc_id"], [simhash(t.as_py(), shingle) for t in batch["text"]], *(batch[c] for c in carried)]
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id long, print long", columns)
+    ddl = "".join(["doc_id long, print long", *(f", {c} binary" for c in carried)])
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", *carried), ddl, columns)
 
 
 def _variants(max_bits: int) -> list[tuple[int, int, int]]:
@@ -105,18 +108,26 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
 
 
-def near_duplicates(
-    spark: SparkSession, docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS
+def groups(
+    spark: SparkSession, docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS, carried: tuple = ()
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row of ``docs(doc_id, text)``."""
-    prints = written(spark, fingerprints(docs, shingle), "simhash")
+    """``doc_id, print, root, component_id`` and ``carried`` for every row of ``docs(doc_id, text)``.
+    A root is one component; an id that is null or used again may name several."""
+    prints = written(spark, fingerprints(docs, shingle, carried), "simhash")
     distinct = written(spark, prints.groupBy("print").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
     roots = components(spark, links(distinct, max_bits))
     rooted = distinct.join(roots, distinct["print"] == roots["node"], "left").select(
         "print", "first_id", F.coalesce("root", "print").alias("root")
     )
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(ids, "root").select("print", "component_id")
-    return prints.join(named, "print").select(
+    named = rooted.join(ids, "root").select("print", "root", "component_id")
+    return prints.join(named, "print")
+
+
+def near_duplicates(
+    spark: SparkSession, docs: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row of ``docs(doc_id, text)``."""
+    return groups(spark, docs, shingle=shingle, max_bits=max_bits).select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )

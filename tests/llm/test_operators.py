@@ -332,6 +332,29 @@ def test_chunks_do_not_change_the_features(monkeypatch):
     assert np.allclose(langid.features(text), whole)
 
 
+def test_pipeline_stages_tell_rows_apart_by_more_than_their_ids(spark, tmp_path):
+    prose = [" ".join(f"w{(i * 7 + j * j) % 997}" for j in range(60)) for i in range(12)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    row = lambda i, text, source="s": (i, text, "en", source, len(text))
+    # Null ids, an id used three times, bad rows under ids of good ones, equal rows.
+    good = [row(None, prose[i]) for i in range(4)] + [row(7, prose[i]) for i in range(4, 7)] + [row(i, prose[i]) for i in range(8, 12)]
+    bad = [row(None, "too short"), row(7, "too short as well"), row(8, "same " * 50)]
+    docs = spark.createDataFrame(good + bad + good[:5], schema)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality_stage(spark, docs, str(tmp_path))
+    assert ordered(map(tuple, kept.collect())) == ordered(good + good[:5])
+    twins = [row(3, prose[8]), row(None, prose[9])]
+    once = corpus_pipeline.near_duplicate_stage(spark, kept.unionByName(spark.createDataFrame(twins, schema)), "")
+    assert ordered(map(tuple, once.collect())) == ordered([g for g in good if g[1] != prose[8]] + twins[:1])
+    equal = [row(None, prose[0], "a")] * 9 + [row(None, prose[i], "a") for i in (1, 2, 3)] + [row(7, prose[i], "b") for i in range(10)]
+    mixed = [tuple(r) for r in corpus_pipeline.mixing_stage(spark, spark.createDataFrame(equal, schema), "").collect()]
+    count = {s: sum(r[3] == s for r in mixed) for s in "ab"}
+    want = {r.source: r.target / 60 for r in mixing.mix(spark, spark.createDataFrame(equal, schema)).select("source", "target").distinct().collect()}
+    assert all(abs(count[s] - want[s]) <= 0.5 for s in "ab") and sum(count.values()) == 22
+    # All rows of a source share one id, and yet some are taken and some are not.
+    assert {mixed.count(r) for r in set(equal) if r[3] == "b"} == {0, 1}
+
+
 def test_pipeline_stages_take_effect(spark, tmp_path):
     source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = source.unionByName(source.limit(5)).unionByName(spark.createDataFrame([(10**6, None, None, None, None)], source.schema))
