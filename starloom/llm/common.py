@@ -19,11 +19,11 @@ from starloom.session import work_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def written(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a table below ``spark.checkpoint.dir``: its lineage ends there, so a lost
-    executor costs a reread and not a recomputation."""
+def written(spark: SparkSession, df: DataFrame, purpose: str, *folders: str) -> DataFrame:
+    """``df`` as a table below ``spark.checkpoint.dir``, in ``folders`` by these columns: its lineage
+    ends there, so a lost executor costs a reread and not a recomputation."""
     path = f"{work_folder(spark, purpose)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from starloom.llm.common import WORD
 from starloom.llm.licences import LEAST, NOTICES, words_of
+from starloom.llm.lines import MIN_CHARS, MIN_DOCS
 from starloom.llm.mixing import MAX_EPOCHS, WEIGHTS
 from starloom.llm.secret_rules import RULES
 
@@ -99,4 +100,66 @@ def mixing_sql() -> str:
         from ordered"""
 
 
-SQL = {"op2_secrets": secrets_sql(), "op5_licences": licences_sql(), "op8_mixing": mixing_sql()}
+def trie_sql() -> str:
+    """Every prefix of every rebuilt conversation, as the joined hashes of its turns."""
+    bit = "lambda c, j: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end"
+    byte = f"lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::bigint[], {bit})"
+    digits = "list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)"
+    crc = f"xor(list_reduce(list_concat([4294967295::bigint], {digits}), {byte}), 4294967295::bigint)"
+    return f"""
+        with turns as (
+            select conv_id, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) as hash,
+                coalesce(len(regexp_extract_all(text, {_text(WORD)})), 0)::bigint as words,
+                row_number() over (partition by conv_id order by turn nulls first, hash) - 1 as i
+            from conversations where conv_id is not null),
+        ids as (select conv_id as c, conv_id - conv_id % 20 as head, {crc} % 4 as h, count(*) as n from turns group by conv_id),
+        own as (
+            select c, i, hash, words from ids join turns t on t.conv_id = head and i < h
+            union all
+            select c, i + 1000000, hash, words from ids join turns t on t.conv_id = c and i >= h),
+        placed as (
+            select c, hash, words, row_number() over w as d, string_agg(hash, '') over w as path
+            from own window w as (partition by c order by i rows unbounded preceding)),
+        points as (
+            select c, d, path, words from placed union all select c, 0, '', 0 from ids),
+        lengths as (select c, max(d) as d from points group by c),
+        ends as (
+            select path, sha256(string_agg(c::varchar, ',' order by c)) as digest
+            from points join lengths using (c, d) group by path),
+        nodes as (
+            select path, any_value(d) as depth, min(c) as conv_id, count(*) as n_convs, any_value(words) as words,
+                (count(*) - 1) * any_value(words) as saved
+            from points group by path),
+        linked as (select *, case when depth > 0 then left(path, (depth - 1) * 32) end as parent from nodes),
+        children as (select parent as path, count(*) as n from linked where depth > 0 group by parent),
+        leaves as (select path, depth, saved, n is null as leaf from linked left join children using (path)),
+        above as (
+            select left(path, k * 32) as path, sum(saved) as saved, count(*) filter (leaf) as leaves
+            from (select path, saved, leaf, unnest(range(depth + 1)) as k from leaves) group by 1)
+        select l.conv_id, l.depth::bigint as depth, p.conv_id as parent_conv_id, l.n_convs::bigint as n_convs, coalesce(c.n, 0)::bigint as n_children,
+            a.leaves::bigint as n_leaves, a.saved::bigint as saved_tokens, coalesce(e.digest, sha256('')) as ends_sha256
+        from linked l join above a using (path) left join nodes p on p.path = l.parent
+            left join children c on c.path = l.path left join ends e on e.path = l.path"""
+
+
+def lines_sql() -> str:
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+        with texts as (select row_number() over () as n, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+        split as (
+            select n, doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as i from texts),
+        keyed as (select *, translate(trim(line, {blanks}), '{letters}', '{letters.lower()}') as key from split),
+        common as (
+            select key, max(doc_id) as holder from keyed where length(key) >= {MIN_CHARS}
+            group by key having count(distinct doc_id) + max((doc_id is null)::int) >= {MIN_DOCS}),
+        judged as (
+            select n, i, line, holder is not null and doc_id is distinct from holder as dropped
+            from keyed left join common using (key))
+        select doc_id, len(lines)::bigint as n_lines, coalesce(n_dropped, 0)::bigint as n_dropped, sha256(coalesce(kept, '')) as kept_sha256
+        from texts left join (
+            select n, count(*) filter (dropped) as n_dropped, string_agg(line, chr(10) order by i) filter (not dropped) as kept
+            from judged group by n) using (n)"""
+
+
+SQL = {"op12_trie": trie_sql(), "op13_lines": lines_sql(), "op2_secrets": secrets_sql(), "op5_licences": licences_sql(), "op8_mixing": mixing_sql()}
