@@ -6,14 +6,16 @@ its planes come from a sample of ``SAMPLE`` rows at most, every row is in one ce
 first searches its own cell, which bounds its k-th distance, then the cells that the bound
 reaches. Inside a cell, a kd-tree hands out the projected neighbours nearest first, each is
 verified by its true distance, and the search ends when the next projected distance fails the
-chi-square test against the k-th true distance so far.
+chi-square test against the k-th true distance so far. A true neighbour fails it with a chance of
+``1 - CONFIDENCE`` at most, so that is the recall to expect at least. How many rows are verified depends on how
+far the k-th neighbour stands out: on random directions in 64 dimensions, the worst case, about half.
 
 Queries meet cells in blocks: a cell is repeated for every ``QUERY_BLOCK`` of the queries that reach it,
 and a cell that none reaches is not read. Equal vectors can't be told apart: of each, the ``k + 1`` smallest
 ids suffice for every query, so a very common vector doesn't load one cell; nothing else is left
 out. Vectors that are null, zero, or hold null or non-finite components take no part. A row given
-twice counts once; an id with several vectors is searched for each. Vectors of other lengths than
-the most usual one are not comparable and take no part. An empty table gives none.
+twice counts once; an id with several vectors is searched for each. Vectors of different lengths are
+not comparable: each length has cells of its own. An empty table gives none.
 """
 
 from __future__ import annotations
@@ -23,20 +25,23 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.common import arrow_schema, map_batches, written
 
-DIMS = 8
+DIMS = 16
 SEED = 11
 SAMPLE = 20_000
 CELL_ROWS = 8_000
 QUERY_BLOCK = 2_000
 LEAF = 32
-CONFIDENCE = 0.99
+CONFIDENCE = 0.95
+# Rows verified between two looks at the k-th distance.
+STEP = 16
 
-ROW = "vec_id long, embedding array<double>, p array<double>, cell int"
+ROW = "vec_id long, embedding array<double>, p array<double>, cell string"
 HIT = "query_id long, q_at long, vec_id long, score double"
 
 
@@ -119,31 +124,46 @@ class Tree:
         return node
 
     def nearest(self, point: np.ndarray):
-        """(squared projected distance, rows) by leaf; no row of a later leaf is nearer than its distance."""
+        """(squared projected distances, rows) in pieces, nearest first throughout."""
         gap = np.maximum(np.maximum(np.array(self.low) - point, point - np.array(self.high)), 0)
         reach = (gap * gap).sum(axis=1)
         heap = [(reach[0], 0)]
+        far, waiting = np.zeros(0), np.zeros(0, np.int64)
         while heap:
-            least, node = heapq.heappop(heap)
+            node = heapq.heappop(heap)[1]
             if self.child[node] is None:
-                yield least, self.rows[node]
+                rows = self.rows[node]
+                gap = self.points[rows] - point
+                far, waiting = np.concatenate([far, (gap * gap).sum(axis=1)]), np.concatenate([waiting, rows])
             else:
                 for c in self.child[node]:
                     heapq.heappush(heap, (reach[c], c))
-
-
-def search(tree: Tree, vectors, ids, query_id, query, point, k: int, bound: float, limit: float) -> list[tuple[float, int]]:
-    """The k nearest of a cell as (distance, id). ``limit``: a distance already known to hold k rows."""
+            # Rows nearer than every node that is left come next.
+            ready = far <= heap[0][0] if heap else np.ones(len(far), bool)
+            if ready.any():
+                order = np.argsort(far[ready], kind="stable")
+                yield far[ready][order], waiting[ready][order]
+                far, waiting = far[~ready], waiting[~ready]
+
+
+def search(
+    tree: Tree, vectors, ids, query_id, query, point, k: int, bound: float, limit: float
+) -> tuple[list[tuple[float, int]], int]:
+    """The k nearest of a cell as (distance, id), and how many rows were verified. ``limit``: a distance already known to hold k rows."""
     best: list[tuple[float, int]] = []
-    for least, rows in tree.nearest(point):
-        kth = min(limit, best[k - 1][0] if len(best) >= k else math.inf)
-        if least > bound * kth * kth:
-            break
-        rows = rows[ids[rows] != query_id]
-        gap = vectors[rows] - query
-        best += zip(np.sqrt((gap * gap).sum(axis=1)).tolist(), ids[rows].tolist())
-        best = sorted(best)[:k]
-    return best
+    verified = 0
+    for far, rows in tree.nearest(point):
+        other = ids[rows] != query_id
+        far, rows = far[other], rows[other]
+        for at in range(0, len(rows), STEP):
+            kth = min(limit, best[k - 1][0] if len(best) >= k else math.inf)
+            piece = rows[at : at + STEP][far[at : at + STEP] <= bound * kth * kth]
+            gap = vectors[piece] - query
+            verified += len(piece)
+            best = sorted(best + list(zip(np.sqrt((gap * gap).sum(axis=1)).tolist(), ids[piece].tolist())))[:k]
+            if len(piece) < len(rows[at : at + STEP]):
+                return best, verified
+    return best, verified
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -159,21 +179,53 @@ def _to_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
+def _by_length(vectors: pa.Array):
+    """(positions, matrix) of the vectors of each length."""
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    for size in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == size)
+        yield at, _to_matrix(vectors.take(pa.array(at)))
+
+
+def _projected(vectors: pa.Array) -> list[np.ndarray]:
+    points = [np.zeros(0)] * len(vectors)
+    for at, matrix in _by_length(vectors):
+        for i, p in zip(at.tolist(), matrix @ directions(matrix.shape[1])):
+            points[i] = p
+    return points
+
+
+def _planes(rows: DataFrame) -> dict[int, Planes]:
+    """The planes of each length that has more rows than a cell holds. Only projections of a sample come to the driver."""
+    size = F.size("embedding")
+    counts = rows.groupBy(size.alias("n")).count().filter(F.col("count") > CELL_ROWS)
+    totals = {r["n"]: r["count"] for r in counts.collect()}
+    if not totals:
+        return {}
+    order = Window.partitionBy("n").orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id")
+    large = rows.withColumn("n", size).filter(F.col("n").isin(list(totals)))
+    picked = large.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(1, SAMPLE // len(totals)))
+    points = map_batches(picked.select("n", "embedding"), "n int, p array<double>", lambda b: [b["n"], [p.tolist() for p in _projected(b["embedding"])]])
+    samples: dict[int, list] = {}
+    for row in points.collect():
+        samples.setdefault(row["n"], []).append(row["p"])
+    return {n: Planes(np.array(samples[n]), -(-total // CELL_ROWS)) for n, total in totals.items()}
+
+
 def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 100 = 0", k: int = 10) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest rows found for each query."""
     rows = written(spark, _usable(vectors), "ann-vectors")
-    sizes = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if sizes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size, total = sizes["n"], sizes["count"]
-    rows = rows.filter(F.size("embedding") == size)
-    matrix, bound = directions(size), chi_square_bound(DIMS, CONFIDENCE)
-    picked = rows.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(SAMPLE).select("embedding").collect()
-    planes = Planes(np.array([r[0] for r in picked], float) @ matrix, -(-total // CELL_ROWS))
+    planes, bound = _planes(rows), chi_square_bound(DIMS, CONFIDENCE)
 
     def placed(batch):
-        points = _to_matrix(batch["embedding"]).reshape(-1, size) @ matrix
-        return [batch["vec_id"], batch["embedding"], points.tolist(), planes.cell(points).tolist()]
+        vectors = batch["embedding"]
+        points, cells = _projected(vectors), [""] * len(vectors)
+        for at, matrix in _by_length(vectors):
+            size = matrix.shape[1]
+            own = planes[size].cell(np.array([points[i] for i in at])) if size in planes else np.zeros(len(at), int)
+            for i, cell in zip(at.tolist(), own.tolist()):
+                cells[i] = f"{size}/{cell}"
+        return [batch["vec_id"], vectors, [p.tolist() for p in points], cells]
 
     # Of equal vectors the smallest ids, limited before the shuffle.
     same = Window.partitionBy("embedding").orderBy("vec_id")
@@ -189,7 +241,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 1
             ids, data = own["vec_id"].to_numpy(), _to_matrix(own["embedding"])
             tree = Tree(_to_matrix(own["p"]))
             for q in asked.to_pylist():
-                found = search(tree, data, ids, q["vec_id"], np.array(q["embedding"]), np.array(q["p"]), k, bound, q["limit"])
+                found, _ = search(tree, data, ids, q["vec_id"], np.array(q["embedding"]), np.array(q["p"]), k, bound, q["limit"])
                 hits += [(q["vec_id"], q["q_at"], i, d) for d, i in found]
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*hits) if hits else [[]] * 4, schema)], schema)
 
@@ -208,7 +260,9 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 1
         out = [[] for _ in range(8)]
         for q in batch.to_pylist():
             limit = math.inf if q["kth"] is None else q["kth"]
-            for cell in np.flatnonzero(planes.reach(np.array(q["p"])) <= bound * limit * limit).tolist():
+            size = len(q["embedding"])
+            reached = np.flatnonzero(planes[size].reach(np.array(q["p"])) <= bound * limit * limit) if size in planes else []
+            for cell in (f"{size}/{number}" for number in reached):
                 if cell != q["home"]:
                     for column, v in zip(out, (q["vec_id"], q["embedding"], q["p"], cell, q["q_at"], limit, q["home"])):
                         column.append(v)
@@ -216,7 +270,7 @@ def nearest(spark: SparkSession, vectors: DataFrame, is_query: str = "vec_id % 1
 
     spread = map_batches(
         queries.drop("limit", "cell").join(far, "q_at", "left").select("vec_id", "embedding", "p", "home", "q_at", "kth"),
-        f"{ROW}, q_at long, limit double, home int",
+        f"{ROW}, q_at long, limit double, home string",
         others,
     )
     hits = first.unionByName(written(spark, meet(spread), "ann-others"))
