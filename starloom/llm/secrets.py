@@ -34,6 +34,27 @@ def _quoted(text: str) -> str:
     return "r'" + text + "'" if "'" not in text else 'r"' + text.replace('"', "\\x22") + '"'
 
 
+# Lists are built in blocks: appending to one list copies it every time.
+BLOCK = 256
+
+
+def _let(name: str, value: str, result: str) -> str:
+    """SQL: ``result``, in which ``name`` stands for ``value``, evaluated once."""
+    return f"element_at(transform(array({value}), {name} -> {result}), 1)"
+
+
+def _blocks(items: str, n: str = "n") -> str:
+    return f"transform(sequence(0, greatest(size({items}) - 1, 0) div {BLOCK}), {n} -> slice({items}, {n} * {BLOCK} + 1, {BLOCK}))"
+
+
+def _folded(items: str, empty: str, step: str) -> str:
+    """SQL: a struct of ``at`` and ``done``, a list of lists, from the items in order. ``step`` makes the next struct of ``at``
+    and ``part`` (a list) from ``acc`` and ``x``."""
+    inner = f"aggregate(block, named_struct('at', whole.at, 'part', {empty}), (acc, x) -> {step})"
+    joined = _let("one", inner, "named_struct('at', one.at, 'done', concat(whole.done, array(one.part)))")
+    return f"aggregate({_blocks(items)}, named_struct('at', 0, 'done', array({empty})), (whole, block) -> {joined})"
+
+
 def rule_spans(place: int, rule: Rule, text: str = "text") -> str:
     """SQL: the rule's spans in ``text`` as structs. What lies between the matches is as long as
     ``split`` says, so running sums of lengths give the offsets."""
@@ -42,12 +63,10 @@ def rule_spans(place: int, rule: Rule, text: str = "text") -> str:
     group = f"regexp_extract_all({text}, {pattern}, {rule.group})" if rule.least else matches
     zipped = f"arrays_zip({matches}, slice(split({text}, {pattern}, -1), 1, size({matches})), {group})"
     pairs = f"cast({zipped} as array<struct<hit:string,gap:string,part:string>>)"
-    added = f"named_struct('start', acc.at + length(x.gap), 'place', {place}, 'kind', '{rule.kind}', 'stop', acc.at + length(x.gap) + length(x.hit))"
-    step = (
-        f"(acc, x) -> named_struct('at', acc.at + length(x.gap) + length(x.hit), 'spans', "
-        f"if(length(x.part) >= {rule.least}, concat(acc.spans, array({added})), acc.spans))"
-    )
-    spans = f"aggregate({pairs}, named_struct('at', 0, 'spans', {NO_SPANS}), {step}, acc -> acc.spans)"
+    lengths = f"transform({pairs}, p -> named_struct('gap', length(p.gap), 'hit', length(p.hit), 'counts', length(p.part) >= {rule.least}))"
+    added = f"named_struct('start', acc.at + x.gap, 'place', {place}, 'kind', '{rule.kind}', 'stop', acc.at + x.gap + x.hit)"
+    step = f"named_struct('at', acc.at + x.gap + x.hit, 'part', if(x.counts, concat(acc.part, array({added})), acc.part))"
+    spans = _let("found", lengths, f"flatten({_folded('found', NO_SPANS, step)}.done)")
     return f"if({text} rlike {pattern}, {spans}, {NO_SPANS})"
 
 
@@ -96,12 +115,24 @@ def report(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return scanned.select("doc_id", *counts, F.expr(f"sha2({listed(of_base)}, 256)").alias("base_sha256"), F.expr(listed("spans")).alias("spans"))
 
 
+# Code points of the pieces from which a masked text is cut, so that no cut counts from the start of the text.
+PIECE = 4096
+
+
+def _cut(start: str, stop: str) -> str:
+    """SQL: the text from ``start`` to ``stop``, out of ``given.pieces``."""
+    first, last = f"({start}) div {PIECE}", f"({stop}) div {PIECE}"
+    within = f"substring(get(given.pieces, {first}), ({start}) % {PIECE} + 1, ({stop}) - ({start}))"
+    between = f"array_join(slice(given.pieces, {first} + 2, {last} - {first} - 1), '')"
+    across = f"concat(substring(get(given.pieces, {first}), ({start}) % {PIECE} + 1), {between}, coalesce(substring(get(given.pieces, {last}), 1, ({stop}) % {PIECE}), ''))"
+    return f"if({start} >= {stop}, '', if({first} = {last}, {within}, {across}))"
+
+
 def masked(text: str = "text", spans: str = "spans", mark: str = "[SECRET]") -> Column:
     """The text with every span replaced by ``mark``; spans that overlap are replaced once."""
-    step = (
-        f"(acc, s) -> if(s.stop <= acc.at, acc, named_struct('at', s.stop, 'parts', concat(acc.parts, array("
-        f"substring({text}, acc.at + 1, greatest(s.start - acc.at, 0)), if(s.start >= acc.at, '{mark}', '')))))"
-    )
-    start = "named_struct('at', 0, 'parts', cast(array() as array<string>))"
-    ended = f"acc -> concat(array_join(acc.parts, ''), substring({text}, acc.at + 1))"
-    return F.expr(f"if(size({spans}) = 0, {text}, aggregate({spans}, {start}, {step}, {ended}))")
+    part = f"if(x.start >= acc.at, concat({_cut('acc.at', 'x.start')}, '{mark}'), '')"
+    step = f"if(x.stop <= acc.at, acc, named_struct('at', x.stop, 'part', concat(acc.part, array({part}))))"
+    folded = _folded("given.spans", "cast(array() as array<string>)", step)
+    ended = _let("made", folded, f"concat(array_join(flatten(made.done), ''), {_cut('made.at', 'given.size')})")
+    pieces = f"named_struct('pieces', regexp_extract_all({text}, r'(?s).{{1,{PIECE}}}', 0), 'spans', {spans}, 'size', length({text}))"
+    return F.expr(f"if(size({spans}) = 0, {text}, {_let('given', pieces, ended)})")
