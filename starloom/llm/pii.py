@@ -24,13 +24,11 @@ from starloom.llm.common import map_batches
 KINDS = ("email", "ip", "card", "phone")
 SPANS = "doc_id long, base array<struct<kind:string,start:int,stop:int>>, spans array<struct<kind:string,start:int,stop:int>>"
 
-LOCAL = "A-Za-z0-9._%+-"
-BEFORE_AT = re.compile(f"[{LOCAL}]+(?=@)")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+# The lookbehind changes no match; without it every digit of a long number starts a search.
+CHAIN = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3,}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-NOT_LOCAL = re.compile(f"[^{LOCAL}]")
 
 
 def luhn(digits: str) -> bool:
@@ -62,7 +60,7 @@ def ips(text: str):
         for i in range(0, len(parts) - 3, 4):
             four = parts[i : i + 4]
             size = sum(map(len, four)) + 3
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four if p.lstrip("0")):
+            if all(len(n) <= 3 and int(n or 0) <= 255 for n in (p.lstrip("0") for p in four)):
                 yield at, at + size
             at += size + 1
 
@@ -108,12 +106,13 @@ MARKED = lambda word, sign: rf"{OPEN}(?:{word}|{sign}){CLOSE}"
 AT, DOT = MARKED("at", "@"), MARKED("dot", r"\.")
 NAME, LABEL = r"[A-Za-z0-9_%+-]+", r"[A-Za-z0-9-]+"
 SEPARATOR = rf"(?:{DOT}|\.|\x20dot\x20)"
-HIDDEN = rf"{LABEL}(?:\.{LABEL})*(?:{DOT}|\x20dot\x20){LABEL}(?:{SEPARATOR}{LABEL})*"
+# What stands before an "at", read backwards from it.
+BEHIND = r"(?:\s?[\])}>]\s?(?:tod|\.)\s?[\[({<]\s?|\.|\x20tod\x20)"
+BACKWARDS = re.compile(rf"(?i){NAME}(?:{BEHIND}{NAME})*")
 # A bare "at" counts only with a disguised dot behind it; a marked one and "@" with any dot.
-DISGUISED = re.compile(
-    rf"(?i)(?<![A-Za-z0-9_%+-]){NAME}(?:{SEPARATOR}{NAME})*(?:(?:{AT}){LABEL}(?:{SEPARATOR}{LABEL})+"
-    rf"|\x20at\x20{HIDDEN}|@{LABEL}(?:{SEPARATOR}{LABEL})+)"
-)
+ANY_AT = re.compile(rf"(?i)(?P<marked>{AT})|\x20at\x20|(?P<sign>@)")
+DOTTED = re.compile(rf"(?i){LABEL}(?:{SEPARATOR}{LABEL})+")
+HIDDEN = re.compile(rf"(?i){LABEL}(?:\.{LABEL})*(?:{DOT}|\x20dot\x20){LABEL}(?:{SEPARATOR}{LABEL})*")
 SIGNS = re.compile(rf"(?i){AT}|{DOT}|\x20at\x20|\x20dot\x20")
 CUES = re.compile(r"(?i)[\[({<]\s?(?:at|dot|@|\.)\s?[\])}>]|\x20dot\x20")
 
@@ -169,11 +168,19 @@ def _spelled(text: str) -> list:
 
 
 def _signs(text: str) -> list:
+    """From each "at" outwards, so long chains of names cost nothing where there is none."""
     if not CUES.search(text):
         return []
-    found = []
-    for m in DISGUISED.finditer(text):
-        found += [(s.start(), s.end(), "@" if "at" in s[0].lower() or "@" in s[0] else ".") for s in SIGNS.finditer(text, *m.span())]
+    found, end, mirrored, size = [], 0, text[::-1], len(text)
+    for at in ANY_AT.finditer(text):
+        if at.start() < end:
+            continue
+        after = (DOTTED if at["marked"] or at["sign"] else HIDDEN).match(text, at.end())
+        before = after and BACKWARDS.match(mirrored, size - at.start(), size - end)
+        if before:
+            end = after.end()
+            start = size - before.end()
+            found += [(s.start(), s.end(), "@" if "at" in s[0].lower() or "@" in s[0] else ".") for s in SIGNS.finditer(text, start, end)]
     return found
 
 
