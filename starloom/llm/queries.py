@@ -23,8 +23,8 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
-    # The table has no capture times; a page's number stands for the second of its capture.
-    at = F.lit(warc.EPOCH) + F.coalesce(F.col("page_id"), F.lit(0))
+    # The table has no capture times; a page's number stands for the second of its capture, modulo some 30 years.
+    at = F.lit(warc.EPOCH) + F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(10**9))
     archives = warc.write_archives(spark, read_table(spark, folder, "pages"), at)
     return warc.capture_history(spark, archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key")
 

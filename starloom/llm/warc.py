@@ -36,6 +36,8 @@ RECORDS_PER_FILE = 2_000
 ENTRIES_PER_RANGE = 50_000
 LEAST_PAYLOAD = 0
 EPOCH = 1_700_000_000
+# Dates are written with four digits of the year; times outside are moved to the nearest.
+LAST_SECOND = 253_402_300_799
 
 PAGE = "page_id long, url string, payload string, digest string, at long"
 ENTRY = (
@@ -65,7 +67,8 @@ def _digested(pages: DataFrame, at: Column) -> DataFrame:
         return [*batch.columns[:3], [payload_digest(p.as_py().encode()) for p in batch["payload"]], batch["at"]]
 
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    given = pages.select(F.col("page_id").cast("long"), text("url").alias("url"), text("html").alias("payload"), at.cast("long").alias("at"))
+    second = F.least(F.greatest(F.coalesce(at.cast("long"), F.lit(0)), F.lit(0)), F.lit(LAST_SECOND))
+    given = pages.select(F.col("page_id").cast("long"), text("url").alias("url"), text("html").alias("payload"), second.alias("at"))
     return map_batches(given, PAGE, columns)
 
 
