@@ -38,6 +38,28 @@ def since(source: DataFrame, stamp: str, bound: date | None) -> DataFrame:
     return source.filter(fresh | F.col(stamp).isNull() if bound <= FLOOR else fresh)
 
 
+def arrived(raw: DataFrame, mark: dict | None, loaded: str = "etl_ingested_at") -> DataFrame:
+    """Raw rows that were loaded after ``mark`` (see :func:`load_mark`), by a literal that reaches the file scan.
+
+    If more rows have come with the mark's own moment since, all of that moment are read again.
+    Rows that don't say when they were loaded always are.
+    """
+    if not mark or mark["at"] is None:
+        return raw
+    moment = F.lit(mark["at"]).cast("timestamp")
+    has_grown = raw.filter(F.col(loaded) == moment).count() != mark["rows"]
+    news = F.col(loaded) >= moment if has_grown else F.col(loaded) > moment
+    return raw.filter(news | F.col(loaded).isNull())
+
+
+def load_mark(raw: DataFrame, before: dict | None, loaded: str = "etl_ingested_at") -> dict:
+    """How far ``raw`` goes: its latest loading time, as text, and how many rows came with it. Without any, as ``before``."""
+    at = raw.agg(F.max(loaded).cast("string")).first()[0]
+    if at is None:
+        return before or {"at": None, "rows": 0}
+    return {"at": at, "rows": raw.filter(F.col(loaded) == F.lit(at).cast("timestamp")).count()}
+
+
 def in_shape(df: DataFrame, schema: StructType) -> DataFrame:
     """``df`` with exactly the columns of ``schema``: new ones NULL, removed ones dropped."""
     have = set(df.columns)
@@ -46,21 +68,31 @@ def in_shape(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def merge_rows(target: DataFrame, source: DataFrame, key: str, *, newer_by: str | None = None) -> DataFrame:
-    """Target after the merge: source rows replace those of equal key, the others stay.
+def not_older(target: DataFrame, source: DataFrame, key: str, newer_by: str | tuple[str, ...]) -> DataFrame:
+    """Source rows that are not older than the target's row of their key.
+
+    ``newer_by`` is one stamp, or the columns that order versions, a missing value being the oldest.
+    """
+    version = floored(F.col(newer_by)) if isinstance(newer_by, str) else F.struct(*newer_by)
+    held = target.select(F.col(key).alias("__held_key"), version.alias("__held"))
+    met = source.join(held, F.col(key).eqNullSafe(F.col("__held_key")), "left")
+    return met.filter(F.col("__held").isNull() | (version >= F.col("__held"))).select(*source.columns)
+
+
+def merge_rows(
+    target: DataFrame, source: DataFrame, key: str, *, newer_by: str | tuple[str, ...] | None = None
+) -> DataFrame:
+    """Target after the merge: source rows replace those of equal key, the others stay. A missing
+    key is a key like any other.
 
     With ``newer_by`` a source row older than the target's row of that key is ignored, so
     batches may arrive out of order. Both sides are unique by key; see :func:`duplicated`.
     """
     target = in_shape(target, source.schema)
     if newer_by:
-        held = target.select(F.col(key), floored(F.col(newer_by)).alias("__held"))
-        source = (
-            source.join(held, key, "left")
-            .filter(F.col("__held").isNull() | (floored(F.col(newer_by)) >= F.col("__held")))
-            .select(*source.columns)
-        )
-    return target.join(source.select(key), key, "left_anti").unionByName(source)
+        source = not_older(target, source, key, newer_by)
+    replaced = F.col(key).eqNullSafe(F.col("__new_key"))
+    return target.join(source.select(F.col(key).alias("__new_key")), replaced, "left_anti").unionByName(source)
 
 
 def duplicated(source: DataFrame, key: str, show: int = 5) -> list:

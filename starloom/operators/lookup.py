@@ -88,11 +88,33 @@ def _is_in(columns: list[str], labels: list[str]) -> Column:
 
 
 def resolve_key(
-    facts: DataFrame, dimension: DataFrame, *, key: str, unknown: Column, matched: str, spread_by: str | None = None
+    facts: DataFrame,
+    dimension: DataFrame,
+    *,
+    key: str,
+    unknown: Column,
+    matched: str,
+    spread_by: str | None = None,
+    heavy: list[str] | None = None,
 ) -> DataFrame:
     """Keep ``key`` where the dimension has it, else put the Unknown key in its place.
 
     Only the key column of the dimension is read. ``matched`` records which of the two it was.
+    ``spread_by`` and ``heavy`` are those of :func:`left_lookup`.
     """
-    found = left_lookup(facts, dimension.select(key), [key], matched=matched, spread_by=spread_by)
+    found = left_lookup(facts, dimension.select(key), [key], matched=matched, spread_by=spread_by, heavy=heavy)
     return found.withColumn(key, F.when(F.col(matched), F.col(key)).otherwise(unknown))
+
+
+def heavy_values(weighted: DataFrame, columns: list[str], weight: str, share: float = HEAVY_SHARE) -> dict[str, list[str]]:
+    """For each of several text columns, the values that hold more than ``share`` of the whole weight.
+
+    One pass for all columns; at most ``1/share`` values of each come back.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])
+    sums = weighted.select(F.inline(pairs), weight).groupBy("name", "value").agg(F.sum(weight).alias("held"))
+    least = weighted.agg((F.sum(weight) * F.lit(share)).alias("least")).first()["least"] or 0
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in sums.filter((F.col("held") > F.lit(float(least))) & F.col("value").isNotNull()).collect():
+        found[row["name"]].append(row["value"])
+    return {name: sorted(values) for name, values in found.items()}

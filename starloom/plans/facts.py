@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.audit import Audit
 from starloom.functions.dates import date_key
 from starloom.functions.keys import routed_reason_key, surrogate_key, unknown_key
-from starloom.operators.lookup import resolve_key
+from starloom.operators.lookup import heavy_values, resolve_key
+from starloom.plans.entities import service_columns
 
 MONTH_FACT, EVENT_FACT = "fct_customer_monthly_snapshot", "fct_support_event"
 MONTH_KEY, EVENT_KEY = "customer_monthly_snapshot_key", "support_event_key"
@@ -21,13 +24,40 @@ DIMENSION_KEYS = {
 DELIVERY = ("source_updated_at", "source_batch_id", "source_system", "etl_source_system")
 
 
+Heavy = Mapping[str, list[str]]
+
+
+def heavy_dimension_keys(rows: DataFrame, customers: DataFrame) -> dict[str, list[str]]:
+    """Dimension keys that hold many of ``rows(customer_id)``, also the key that a missing id or ZIP hashes to.
+
+    The rows shrink to one count per customer before they meet the staged customers.
+    """
+    counts = rows.groupBy("customer_id").agg(F.count("*").alias("n_rows"))
+    service_key = service_columns()[0]
+    known = customers.select(F.col("customer_id").alias("known_id"), "zip_code", service_key)
+    met = counts.join(known, F.col("customer_id") == F.col("known_id"), "left")
+    keyed = met.select(
+        surrogate_key(F.col("customer_id")).alias("customer_key"),
+        surrogate_key(F.col("zip_code")).alias("geography_key"),
+        "service_profile_key",
+        "n_rows",
+    )
+    return heavy_values(keyed, list(DIMENSION_KEYS), "n_rows")
+
+
 def with_dimension_keys(
-    rows: DataFrame, row_key: str, customers: DataFrame, geography: DataFrame, services: DataFrame
+    rows: DataFrame,
+    row_key: str,
+    customers: DataFrame,
+    geography: DataFrame,
+    services: DataFrame,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """Keys of the three looked-up dimensions, Unknown where there is no such member.
 
     ``rows`` brings its service key along, missing where the customer is not known; the other
-    two are hashed here and never missing.
+    two are hashed here and never missing. ``heavy`` lists the keys of each dimension that hold many rows;
+    all three lookups deal these rows out by the same hash of ``row_key``.
     """
     keyed = rows.withColumns(
         {
@@ -36,13 +66,20 @@ def with_dimension_keys(
         }
     ).drop("zip_code")
     for dimension, (key, matched) in zip((customers, geography, services), DIMENSION_KEYS.items()):
-        spread = row_key if key == "service_profile_key" else None
-        keyed = resolve_key(keyed, dimension, key=key, unknown=unknown_key(), matched=matched, spread_by=spread)
+        many = (heavy or {}).get(key)
+        spread = row_key if many or key == "service_profile_key" else None
+        skew = {"spread_by": spread, "heavy": many}
+        keyed = resolve_key(keyed, dimension, key=key, unknown=unknown_key(), matched=matched, **skew)
     return keyed
 
 
 def fact_months(
-    months: DataFrame, customers: DataFrame, geography: DataFrame, services: DataFrame, audit: Audit
+    months: DataFrame,
+    customers: DataFrame,
+    geography: DataFrame,
+    services: DataFrame,
+    audit: Audit,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """One row per customer and month. Reads only the fact's share of the wide month rows."""
     measures = (
@@ -62,7 +99,7 @@ def fact_months(
         *measures,
         *DELIVERY,
     )
-    return with_dimension_keys(rows, MONTH_KEY, customers, geography, services).select(
+    return with_dimension_keys(rows, MONTH_KEY, customers, geography, services, heavy).select(
         MONTH_KEY,
         *DIMENSION_KEYS,
         *("churn_reason_key", "date_key"),
@@ -75,7 +112,12 @@ def fact_months(
 
 
 def fact_events(
-    events: DataFrame, customers: DataFrame, geography: DataFrame, services: DataFrame, audit: Audit
+    events: DataFrame,
+    customers: DataFrame,
+    geography: DataFrame,
+    services: DataFrame,
+    audit: Audit,
+    heavy: Heavy | None = None,
 ) -> DataFrame:
     """One row per support event; geography and services are those of the event's month."""
     details = (
@@ -96,7 +138,7 @@ def fact_events(
         *measures,
         *DELIVERY,
     )
-    return with_dimension_keys(rows, EVENT_KEY, customers, geography, services).select(
+    return with_dimension_keys(rows, EVENT_KEY, customers, geography, services, heavy).select(
         EVENT_KEY,
         *DIMENSION_KEYS,
         "date_key",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.flags import as_count
 from starloom.functions.numbers import CENT, MONEY, amount_if
-from starloom.functions.text import is_zip_cut
+from starloom.functions.text import is_zip_cut, key_text
 from starloom.operators.checks import (
     ERROR,
     WARN,
@@ -301,6 +301,20 @@ def all_checks() -> list[Check]:
     return column_checks() + business_rules()
 
 
+def production_checks() -> list[Check]:
+    """What a run should pass: all checks, and the rules that can fail where those cannot."""
+    return all_checks() + extra_rules()
+
+
+def arrivals_staged(raw_rows: DataFrame, source_key: str, staged: DataFrame) -> DataFrame:
+    """Both counts, if the raw table has more or fewer keys than are staged: raw rows were deleted, or not staged.
+
+    Reads one column of the raw table.
+    """
+    keys = raw_rows.select(key_text(F.col(source_key)).alias("key")).distinct()
+    return unequal_counts(keys, "raw_key_count", staged, "staging_row_count")
+
+
 def extra_rules() -> list[Check]:
     """Rules that can fail where the standard ones cannot.
 
@@ -320,4 +334,12 @@ def extra_rules() -> list[Check]:
             query=lambda t: conflicting_tuples(t[CUSTOMERS].filter("zip_code is not null"), "zip_code", PLACE),
         ),
         *points_to(EVENT_FACT, "service_profile_key", "dim_service_profile"),
+        *[
+            Check(
+                staged,
+                "arrivals_staged",
+                query=lambda t, source=source, key=key, staged=staged: arrivals_staged(t[source], key, t[staged]),
+            )
+            for source, key, staged in ((bronze.MONTHS, "monthly_snapshot_id", MONTHS), (bronze.EVENTS, "support_event_id", EVENTS))
+        ],
     ]

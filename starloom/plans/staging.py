@@ -39,6 +39,9 @@ _LOADED, _LINE, _FILE = "__loaded", "__line", "__file"
 # What tells copies apart; file and line identify a raw row, so there are no ties.
 LOAD_ORDER = [_LOADED, _LINE, _FILE]
 SOURCE_ORDER = ["source_updated_at", *LOAD_ORDER]
+# Kept with a staged table that is merged, beside its own columns: what orders the versions of a row, and its month.
+STAGED_MONTH = "staged_month"
+BOOKKEEPING = [*LOAD_ORDER, STAGED_MONTH]
 
 
 def snake(name: str) -> str:
@@ -67,14 +70,18 @@ def delivery_columns() -> list[Column]:
     )
 
 
-def finished(df: DataFrame, flagged: dict[str, Column], after: dict[str, str], audit: Audit) -> DataFrame:
-    """Project the flags next to the columns they judge, drop the load order, add the audit block."""
+def finished(
+    df: DataFrame, flagged: dict[str, Column], after: dict[str, str], audit: Audit, month: str | None = None
+) -> DataFrame:
+    """Project the flags next to the columns they judge, drop the load order, add the audit block. With ``month``, a date
+    column, the load order stays, and the row's month with it."""
     columns = []
     for name in df.columns:
         if name not in LOAD_ORDER:
             columns.append(F.col(name))
         columns += [flagged[f].alias(f) for f, anchor in after.items() if anchor == name]
-    return df.select(*columns, *audit.columns())
+    kept = [*LOAD_ORDER, month_floor(F.col(month)).alias(STAGED_MONTH)] if month else []
+    return df.select(*columns, *audit.columns(), *kept)
 
 
 def stated_revenue_parts() -> Column:
@@ -173,11 +180,11 @@ def typed_months(bronze: DataFrame) -> DataFrame:
     )
 
 
-def stg_months(bronze: DataFrame, audit: Audit) -> DataFrame:
+def stg_months(bronze: DataFrame, audit: Audit, *, merged: bool = False) -> DataFrame:
     newest = latest_rows(typed_months(bronze), "monthly_snapshot_id", SOURCE_ORDER)
     flagged = {"is_monthly_charge_valid": flags.within(F.col("monthly_charge"), low=0), **churn_flags()}
     after = {"is_monthly_charge_valid": "total_revenue", **dict.fromkeys(churn_flags(), "customer_status")}
-    return finished(newest, flagged, after, audit)
+    return finished(newest, flagged, after, audit, "snapshot_month" if merged else None)
 
 
 def typed_events(bronze: DataFrame) -> DataFrame:
@@ -208,6 +215,7 @@ def event_flags() -> dict[str, Column]:
     }
 
 
-def stg_events(bronze: DataFrame, audit: Audit) -> DataFrame:
+def stg_events(bronze: DataFrame, audit: Audit, *, merged: bool = False) -> DataFrame:
     newest = latest_rows(typed_events(bronze), "support_event_id", SOURCE_ORDER)
-    return finished(newest, event_flags(), dict.fromkeys(event_flags(), "satisfaction_score"), audit)
+    after = dict.fromkeys(event_flags(), "satisfaction_score")
+    return finished(newest, event_flags(), after, audit, "event_timestamp" if merged else None)

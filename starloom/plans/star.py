@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import cached_property
@@ -14,10 +14,10 @@ from starloom.functions.audit import Audit
 from starloom.operators.calendar import whole_years
 from starloom.operators.checks import Check, gate
 from starloom.operators.checks import report as check_report
-from starloom.operators.increment import since, watermark
+from starloom.operators.increment import arrived, load_mark, since, watermark
 from starloom.operators.lookup import heavy_keys
 from starloom.plans import dimensions, entities, facts, staging
-from starloom.sources.bronze import REQUIRED, Bronze
+from starloom.sources.bronze import EVENTS, MONTHS, REQUIRED, Bronze
 from starloom.sources.lake import DIMENSIONS, ENTITIES, FACTS, STAGING, Lake, MergeReport
 
 LAYERS = {
@@ -41,21 +41,30 @@ LAYERS = {
 }
 
 
-# Staged tables that are read by month.
-PARTITIONED = {"stg_customer_monthly_snapshot": "snapshot_month"}
+# Staged tables that follow their raw rows: how a staged version is made, its key and the month it is filed by.
+MERGED_STAGING = {
+    "stg_customer_monthly_snapshot": (staging.stg_months, MONTHS, "monthly_snapshot_id", "snapshot_month"),
+    "stg_customer_support_events": (staging.stg_events, EVENTS, "support_event_id", staging.STAGED_MONTH),
+}
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Customers with a large share of the months, customer-months with a large share of the events."""
+    """Customers with a large share of the months, customer-months with a large share of the events, and the
+    dimension keys with a large share of the rows of each fact."""
 
     customers: list[str] = field(default_factory=list)
     customer_months: list[str] = field(default_factory=list)
+    of_months: dict[str, list[str]] = field(default_factory=dict)
+    of_events: dict[str, list[str]] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, months: DataFrame, events: DataFrame) -> HeavyKeys:
+    def of(cls, months: DataFrame, events: DataFrame, customers: DataFrame | None = None) -> HeavyKeys:
         dated = events.withColumns(entities.event_dates())
-        return cls(heavy_keys(months, ["customer_id"]), heavy_keys(dated, ["customer_id", "event_month"]))
+        found = heavy_keys(months, ["customer_id"]), heavy_keys(dated, ["customer_id", "event_month"])
+        if customers is None:
+            return cls(*found)
+        return cls(*found, *(facts.heavy_dimension_keys(rows, customers) for rows in (months, events)))
 
 
 class Star(Mapping):
@@ -156,14 +165,15 @@ class Star(Mapping):
         return self["dim_customer"], self["dim_geography"], self["dim_service_profile"]
 
     def month_facts(self, months: DataFrame) -> DataFrame:
-        return facts.fact_months(months, *self._dimensions(), self.audit)
+        return facts.fact_months(months, *self._dimensions(), self.audit, self.heavy.of_months)
 
     def event_facts(self, events: DataFrame) -> DataFrame:
-        return facts.fact_events(events, *self._dimensions(), self.audit)
+        return facts.fact_events(events, *self._dimensions(), self.audit, self.heavy.of_events)
 
 
 @dataclass
 class BuildReport:
+    staged: dict[str, MergeReport] = field(default_factory=dict)
     bounds: dict[str, date | None] = field(default_factory=dict)
     merges: dict[str, MergeReport] = field(default_factory=dict)
 
@@ -175,6 +185,33 @@ MERGES = {
 }
 
 
+def shown(staged: DataFrame) -> DataFrame:
+    """A staged table without what is kept in it for merging."""
+    return staged.drop(*staging.BOOKKEEPING)
+
+
+def restage(lake: Lake, table: str, bronze: Bronze, audit: Audit, *, from_scratch: bool = False) -> MergeReport:
+    """Bring a staged table up to date with the raw rows that were loaded since the last time.
+
+    Only those rows are read and deduplicated. They replace the staged rows of their keys unless those are
+    newer; the months that hold them are found by key, so what is read and written follows the batch. A raw row that was
+    deleted stays staged until a run from scratch; ``quality.arrivals_staged`` reports it.
+    """
+    stage, source, key, month = MERGED_STAGING[table]
+    lake.recover(STAGING, table)
+    mark = None if from_scratch or not lake.exists(STAGING, table) else lake.mark(STAGING, table)
+    news = arrived(bronze[source], mark)
+    # Taken before the rows are read: what is loaded meanwhile is read again the next time.
+    newest = load_mark(news, mark)
+    rows, filing = stage(news, audit, merged=True), {"key": key, "month": month, "key_fixes_month": False}
+    if mark is None:
+        report = lake.replace(STAGING, table, rows, **filing)
+    else:
+        report = lake.merge(STAGING, table, rows, newer_by=tuple(staging.SOURCE_ORDER), **filing)
+    lake.set_mark(STAGING, table, newest)
+    return report
+
+
 def refresh(
     spark: SparkSession,
     bronze: Bronze,
@@ -185,14 +222,15 @@ def refresh(
     full_refresh: bool = False,
     checks: Sequence[Check] = (),
 ) -> BuildReport:
-    """One run: staging and dimensions rebuilt, facts merged from what is new.
+    """One run: new raw rows staged, dimensions rebuilt, facts merged from what is new.
 
-    Staging is written once per run, since the entities, the dimensions, the facts and the
-    checks all read it. Facts take the months and events stamped at or after their watermark; a
-    full refresh rebuilds them from everything.
+    Staged months and events follow the raw rows loaded since the last run (:func:`restage`); the
+    two master tables are staged anew, since the dimensions are rebuilt from all of them. Facts take the months
+    and events stamped at or after their watermark; a full refresh rebuilds everything from all rows.
 
     With ``checks`` a layer is checked before the next one is built: a failed check of level
-    error raises, and the later layers stay as they were. The entities are then written too,
+    error raises, and the later layers stay as they were. A fact is checked before it is published, with its
+    merged months in place: if that fails, it stays as it was too. The entities are then written too,
     once, instead of being computed again for every check; a lake that holds them keeps them
     current. Otherwise they stay lazy views of staging.
     """
@@ -210,15 +248,28 @@ def refresh(
 
     staged = Star(bronze, audit)
     pass_checks(staged, tuple(REQUIRED))
-    kept = {t: lake.overwrite(STAGING, t, staged[t], PARTITIONED.get(t)) for t in LAYERS[STAGING]}
+    kept = {}
+    for table in LAYERS[STAGING]:
+        if table in MERGED_STAGING:
+            report.staged[table] = restage(lake, table, bronze, audit, from_scratch=full_refresh)
+            kept[table] = shown(lake.read(STAGING, table))
+        else:
+            kept[table] = lake.overwrite(STAGING, table, staged[table])
     months, events = kept["stg_customer_monthly_snapshot"], kept["stg_customer_support_events"]
-    heavy = HeavyKeys.of(months, events)
+    bounds = report.bounds
+    for table in LAYERS[FACTS]:
+        begins = full_refresh or not lake.exists(FACTS, table)
+        bounds[table] = None if begins else watermark(lake.read(FACTS, table), "source_updated_at")
+    keeps_entities = bool(checks) or any(lake.exists(ENTITIES, t) for t in LAYERS[ENTITIES])
+    new_months = since(months, "source_updated_at", bounds[facts.MONTH_FACT])
+    new_events = since(events, "source_updated_at", bounds[facts.EVENT_FACT])
+    dealt = (months, events) if keeps_entities else (new_months, new_events)
+    heavy = HeavyKeys.of(*dealt, kept["stg_telecom_customer_churn"])
 
-    def star_of_kept() -> Star:
-        return Star(bronze, audit, calendar=calendar, given=kept, heavy=heavy)
+    def star_of_kept(**given: DataFrame) -> Star:
+        return Star(bronze, audit, calendar=calendar, given={**kept, **given}, heavy=heavy)
 
     pass_checks(star_of_kept(), LAYERS[STAGING])
-    keeps_entities = bool(checks) or any(lake.exists(ENTITIES, t) for t in LAYERS[ENTITIES])
     if keeps_entities:
         for table in LAYERS[ENTITIES]:
             kept[table] = lake.overwrite(ENTITIES, table, star_of_kept()[table])
@@ -231,27 +282,28 @@ def refresh(
     def fresh_months(bound: date | None) -> DataFrame:
         if keeps_entities:
             return since(star["int_customer_monthly_360"], "source_updated_at", bound)
-        return star.monthly_360(since(months, "source_updated_at", bound))
+        return star.monthly_360(new_months)
 
     def fresh_events(bound: date | None) -> DataFrame:
         if keeps_entities:
             return since(star["int_support_event_enriched"], "source_updated_at", bound)
-        return star.enriched(since(events, "source_updated_at", bound), bound)
+        return star.enriched(new_events, bound)
+
+    def inspection(table: str) -> Callable[[DataFrame], None] | None:
+        if any(c.table == table for c in checks):
+            return lambda pending: pass_checks(star_of_kept(**{table: pending}), (table,))
+        return None
 
     fresh_facts = {
         facts.MONTH_FACT: lambda bound: star.month_facts(fresh_months(bound)),
         facts.EVENT_FACT: lambda bound: star.event_facts(fresh_events(bound)),
     }
     for table, fresh in fresh_facts.items():
-        merge = MERGES[table]
-        if full_refresh or not lake.exists(FACTS, table):
-            report.bounds[table] = None
-            report.merges[table] = lake.replace(FACTS, table, fresh(None), key=merge["key"], month=merge["month"])
-        else:
-            report.bounds[table] = bound = watermark(lake.read(FACTS, table), "source_updated_at")
-            report.merges[table] = lake.merge(FACTS, table, fresh(bound), **merge)
+        # A fact without rows has no newest stamp, but it is there.
+        begins = full_refresh or not lake.exists(FACTS, table)
+        write = lake.replace if begins else lake.merge
+        report.merges[table] = write(FACTS, table, fresh(bounds[table]), inspect=inspection(table), **MERGES[table])
         kept[table] = lake.read(FACTS, table)
-    pass_checks(star_of_kept(), LAYERS[FACTS])
     return report
 
 
@@ -259,7 +311,7 @@ def stored(lake: Lake, bronze: Bronze, calendar: DataFrame | None = None) -> Sta
     """The raw tables and every table of the star, read from storage where it is kept there."""
     kept = {}
     for layer, tables in LAYERS.items():
-        kept |= {t: lake.read(layer, t) for t in tables if lake.exists(layer, t)}
+        kept |= {t: shown(lake.read(layer, t)) for t in tables if lake.exists(layer, t)}
     return Star(bronze, calendar=calendar, given=kept)
 
 

@@ -22,11 +22,11 @@ from starloom.operators import checks
 from starloom.operators.calendar import calendar_attributes, days, fixed_bounds, whole_years
 from starloom.operators.dedup import latest_rows
 from starloom.operators.increment import merge_rows, since, watermark
-from starloom.operators.lookup import left_lookup, resolve_key
+from starloom.operators.lookup import heavy_keys, left_lookup, resolve_key
 from starloom.operators.members import with_member
 from starloom.plans import entities, facts, quality, staging
 from starloom.plans.staging import raw
-from starloom.plans.star import LAYERS, Star
+from starloom.plans.star import LAYERS, Star, restage, shown
 from starloom.registry.sql_tables import (
     AGE_BAND,
     AMOUNTS,
@@ -51,8 +51,8 @@ from starloom.registry.sql_tables import (
 )
 from starloom.session import tune, work_folder
 from starloom.sources import adapters
-from starloom.sources.bronze import REQUIRED, freshness
-from starloom.sources.lake import DIMENSIONS, FACTS, Lake
+from starloom.sources.bronze import REQUIRED, Bronze, freshness
+from starloom.sources.lake import DIMENSIONS, FACTS, STAGING, Lake
 from starloom.streaming.merge import merge_stream, raw_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,6 +493,71 @@ def fk_lookup(spark, folder):
     return resolve_key(keyed, s["dim_customer"], key="customer_key", unknown=unknown_key(), matched="is_customer_matched")
 
 
+# A third of the months, or of the events, moved to one customer.
+HOT_CUSTOMER = "C0000007"
+
+
+def _skewed(rows: DataFrame, stamp: str) -> DataFrame:
+    hot = F.when(F.month(stamp) <= 4, F.lit(HOT_CUSTOMER)).otherwise(F.col("customer_id"))
+    return rows.withColumn("customer_id", hot)
+
+
+def _skewed_sql(part: str, stamp: str) -> str:
+    return f"(SELECT * REPLACE (CASE WHEN month({stamp}) <= 4 THEN '{HOT_CUSTOMER}' ELSE customer_id END AS customer_id) FROM {part})"
+
+
+@register(
+    "entity_360_skewed",
+    f"""SELECT m.monthly_snapshot_id, c.zip_code, c.churn_reason, c.customer_id IS NOT NULL AS known
+        FROM {_skewed_sql('months', 'snapshot_month')} AS m LEFT JOIN customers AS c ON c.customer_id = m.customer_id""",
+)
+def entity_360_skewed(spark, folder):
+    """The hot customer is found by counting, its months are dealt out and its one row is repeated for them."""
+    s = star(spark, folder)
+    spine = _skewed(s.months, "snapshot_month").select("monthly_snapshot_id", "customer_id")
+    taken = s.context.select("customer_id", "zip_code", "churn_reason")
+    skew = {"spread_by": "monthly_snapshot_id", "heavy": heavy_keys(spine, ["customer_id"])}
+    return left_lookup(spine, taken, ["customer_id"], matched="known", **skew).drop("customer_id")
+
+
+@register(
+    "period_enrich_skewed",
+    f"""SELECT support_event_id, m.customer_status AS status_then, m.customer_id IS NOT NULL AS is_matched
+        FROM {_skewed_sql('events_staged', 'event_timestamp')} AS e LEFT JOIN months AS m ON m.customer_id = e.customer_id
+            AND year(m.snapshot_month) = year(event_timestamp) AND month(m.snapshot_month) = month(event_timestamp)""",
+)
+def period_enrich_skewed(spark, folder):
+    s = star(spark, folder)
+    events = _skewed(s[EVENTS], "event_timestamp")
+    events = events.select("support_event_id", "customer_id", month_floor(F.col("event_timestamp")).alias("event_month"))
+    months = s.months.select("customer_id", F.col("snapshot_month").alias("event_month"), F.col("customer_status").alias("status_then"))
+    on = ["customer_id", "event_month"]
+    skew = {"spread_by": "support_event_id", "heavy": heavy_keys(events, on)}
+    return left_lookup(events, months, on, matched="is_matched", **skew).drop(*on)
+
+
+@register(
+    "fk_lookup_skewed",
+    f"""SELECT monthly_snapshot_id, coalesce(customer_key, {UNKNOWN_KEY}) AS customer_key, coalesce(geography_key, {UNKNOWN_KEY}) AS geography_key,
+            customer_key IS NOT NULL AS is_customer_matched, geography_key IS NOT NULL AS is_geography_matched
+        FROM {_skewed_sql('months', 'snapshot_month')} AS m LEFT JOIN customers AS c ON c.customer_id = m.customer_id
+        LEFT JOIN d_customer ON customer_key = {key('m.customer_id')} LEFT JOIN d_geography ON geography_key = {key('c.zip_code')}""",
+)
+def fk_lookup_skewed(spark, folder):
+    """Both lookups deal the rows of their heavy keys out, also those of the key that a missing ZIP hashes to."""
+    s = star(spark, folder)
+    months = _skewed(s.months, "snapshot_month").select("monthly_snapshot_id", "customer_id")
+    heavy = facts.heavy_dimension_keys(months, s.customers)
+    placed = left_lookup(months, s.customers.select("customer_id", "zip_code"), ["customer_id"], spread_by="monthly_snapshot_id")
+    keyed = placed.select(
+        "monthly_snapshot_id", surrogate_key(F.col("customer_id")).alias("customer_key"), surrogate_key(F.col("zip_code")).alias("geography_key")
+    )
+    for dimension, name, matched in (("dim_customer", "customer_key", "is_customer_matched"), ("dim_geography", "geography_key", "is_geography_matched")):
+        skew = {"spread_by": "monthly_snapshot_id", "heavy": heavy[name]}
+        keyed = resolve_key(keyed, s[dimension], key=name, unknown=unknown_key(), matched=matched, **skew)
+    return keyed
+
+
 @register("role_key_route", "SELECT monthly_snapshot_id, is_churned, churn_reason_key FROM f_month")
 def role_key_route(spark, folder):
     months = star(spark, folder)["int_customer_monthly_360"]
@@ -696,6 +761,21 @@ def upsert_resumed(spark, folder):
     return lake.read(FACTS, "events")
 
 
+@register(
+    "staging_increment",
+    f"SELECT {', '.join(_EVENT_FIELDS)} FROM events_staged",
+)
+def staging_increment(spark, folder):
+    """Events staged in two steps as their raw rows are loaded: the second reads the later rows and the months they touch."""
+    raw_tables, lake = adapters.bronze(spark, folder), _lake(spark, "staging")
+    late = F.coalesce(F.col("updated_at") >= F.lit(FIRST_LOAD_BEFORE).cast("timestamp"), F.lit(False))
+    loaded = F.when(late, F.col("etl_ingested_at") + F.expr("interval 1 day")).otherwise(F.col("etl_ingested_at"))
+    events = raw_tables.events.withColumn("etl_ingested_at", loaded)
+    for arriving in (events.filter(~late), events):
+        restage(lake, EVENTS, Bronze(lambda: None, lambda: None, lambda: None, lambda rows=arriving: rows), Audit.of_run())
+    return shown(lake.read(STAGING, EVENTS)).select(*_EVENT_FIELDS)
+
+
 @register(
     "schema_sync",
     f"""SELECT monthly_snapshot_id, customer_status, CASE WHEN NOT {_BEFORE} THEN monthly_charge END AS monthly_charge FROM months""",

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
@@ -11,11 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starloom.operators.increment import duplicated, merge_rows
+from starloom.operators.increment import duplicated, in_shape, merge_rows, not_older
+from starloom.sources import key_months
+from starloom.sources.key_months import side_table
+from starloom.sources.storage import Storage
 
 STAGING, ENTITIES, DIMENSIONS, FACTS = "silver/staging", "silver/intermediate", "gold/dim", "gold/fact"
 # Spark passes over files whose names start with an underscore.
-SCHEMA_FILE = "_schema.json"
+SCHEMA_FILE, MARK_FILE = "_schema.json", "_mark.json"
+
+# What looks at a table as it will be, and raises if it must not be published.
+Inspection = Callable[[DataFrame], None]
 
 
 @dataclass(frozen=True)
@@ -27,19 +33,19 @@ class MergeReport:
     source_rows: int
 
 
-class Lake:
+class Lake(Storage):
     """A folder per layer and table. ``root`` is storage that all executors share."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, keys_per_bucket: int = key_months.KEYS_PER_BUCKET):
+        super().__init__(spark)
         self.root = root.rstrip("/")
+        self.keys_per_bucket = keys_per_bucket
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        path = self._path(self.path(layer, table))
-        return self._files(path).exists(path)
+        return self._there(self.path(layer, table))
 
     def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
         """The table in its own schema, or in the one given. Files written before a column existed
@@ -54,7 +60,7 @@ class Lake:
     def _kept_schema(self, folder: str) -> tuple[StructType | None, set[str]]:
         """The schema kept with a table, and the removed columns that old files may still hold."""
         note = f"{folder}/{SCHEMA_FILE}"
-        if not self._files(self._path(note)).exists(self._path(note)):
+        if not self._there(note):
             return None, set()
         kept = self._load(note)
         return StructType.fromJson(kept["schema"]), set(kept["removed"])
@@ -62,6 +68,14 @@ class Lake:
     def _keep_schema(self, folder: str, schema: dict, removed: list[str]) -> None:
         self._store(f"{folder}/{SCHEMA_FILE}", {"schema": schema, "removed": removed})
 
+    def mark(self, layer: str, table: str) -> dict | None:
+        """How far the table has read its source, as noted by :meth:`set_mark`. A full rebuild forgets it."""
+        note = f"{self.path(layer, table)}/{MARK_FILE}"
+        return self._load(note)["mark"] if self._there(note) else None
+
+    def set_mark(self, layer: str, table: str, mark: dict) -> None:
+        self._store(f"{self.path(layer, table)}/{MARK_FILE}", {"mark": mark})
+
     # --- full overwrite ---------------------------------------------------------------
 
     def overwrite(self, layer: str, table: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
@@ -74,14 +88,9 @@ class Lake:
         else:
             df.hint("rebalance").write.parquet(fresh)
         self._keep_schema(fresh, df.schema.jsonValue(), [])
-        self._swap(fresh, current)
+        self._publish({"swap": fresh}, layer, table)
         return self.read(layer, table, df.schema)
 
-    def _swap(self, fresh: str, current: str) -> None:
-        self._note(current, {"swap": fresh})
-        self._finish_swap(fresh, current)
-        self._drop(self._manifest(current))
-
     def _finish_swap(self, fresh: str, current: str) -> None:
         new, old = self._path(fresh), self._path(current)
         retired = self._path(f"{current}__old_{uuid.uuid4().hex}")
@@ -105,7 +114,8 @@ class Lake:
         key: str,
         month: str,
         key_fixes_month: bool,
-        newer_by: str | None = None,
+        newer_by: str | tuple[str, ...] | None = None,
+        inspect: Inspection | None = None,
     ) -> MergeReport:
         """Merge ``source`` into a table partitioned by ``month``, rewriting touched months only.
         Without a table yet, ``source`` becomes it.
@@ -113,7 +123,8 @@ class Lake:
         The source is written down once (it is read several times and may be expensive). The
         merged months are then written to a pending folder and moved in from there, so the table
         is never read while it is replaced. A publication that breaks off is finished by the next
-        run (:meth:`recover`).
+        run (:meth:`recover`). ``inspect`` sees the table as it will be, with the pending months in
+        place; if it raises, the table stays as it was.
 
         Columns follow the source: new ones are NULL in older rows, missing ones go. A column that
         changes its type, or comes back after it was removed, is rewritten in every month, since
@@ -121,11 +132,15 @@ class Lake:
         the merge before anything is published.
 
         ``key_fixes_month`` says that a key never moves to another month. Where it may, the
-        months of the target's old copies are touched too, which costs a scan of two columns.
+        months of the target's old copies are touched too. They are looked up in a side table by
+        key, of which the buckets of the source's keys are read; see :mod:`key_months`. ``newer_by`` names
+        one stamp, or columns that order the versions of a row: source rows older than the target's are ignored.
         """
         self.recover(layer, table)
         if not self.exists(layer, table):
-            return self.replace(layer, table, source, key=key, month=month)
+            return self.replace(
+                layer, table, source, key=key, month=month, key_fixes_month=key_fixes_month, inspect=inspect
+            )
         current, run = self.path(layer, table), uuid.uuid4().hex
         batch, pending = f"{current}__batch_{run}", f"{current}__pending_{run}"
         source.write.parquet(batch)
@@ -136,20 +151,29 @@ class Lake:
         removed = self._kept_schema(current)[1]
         rewrites_all = _reshaped(target.schema, source.schema, removed)
         removed = set() if rewrites_all else removed | set(target.columns) - set(source.columns)
+        held = None if key_fixes_month else self._months_holding(layer, table, source, key, month)
+        if newer_by and not rewrites_all:
+            within = _months(source.select(month) if held is None else source.select(month).unionByName(held))
+            accepted = f"{current}__accepted_{run}"
+            not_older(target.filter(_in_months(month, within)), source, key, newer_by).write.parquet(accepted)
+            self._drop(batch)
+            batch, source = accepted, self.spark.read.schema(source.schema).parquet(accepted)
+            held = held and self._months_holding(layer, table, source, key, month)
         months = source.select(month)
         if rewrites_all:
             months = months.unionByName(target.select(month))
-        elif not key_fixes_month:
-            months = months.unionByName(target.join(source.select(key), key, "left_semi").select(month))
-        # One value per calendar month: bounded by the span of the data, not by its volume.
-        touched = [r[0] for r in months.distinct().collect()]
-        merged = merge_rows(target.filter(_in_months(month, touched)), source, key, newer_by=newer_by)
+        elif held is not None:
+            months = months.unionByName(held)
+        touched = _months(months)
+        merged = merge_rows(target.filter(_in_months(month, touched)), source, key, newer_by=newer_by if rewrites_all else None)
         merged.hint("rebalance", month).write.partitionBy(month).parquet(pending)
+        written = self.spark.read.schema(source.schema).parquet(pending)
+        self._inspect(inspect, target.filter(~_in_months(month, touched)), written, pending, batch)
         report = MergeReport(
             table=table,
             first_load=False,
             partitions_rewritten=len(touched),
-            rows_written=self.spark.read.schema(source.schema).parquet(pending).count(),
+            rows_written=written.count(),
             source_rows=source.count(),
         )
         # A month whose last row moved away has no pending folder.
@@ -163,12 +187,64 @@ class Lake:
             "schema": source.schema.jsonValue(),
             "removed": sorted(removed),
         }
+        if not key_fixes_month:
+            # Filed before the months are moved: what was accepted can't be told afterwards.
+            entries = f"{current}__moved_{run}"
+            buckets = key_months.buckets_of(self.read(layer, side_table(table))) or 1
+            key_months.filed(source, key, month, buckets).write.parquet(entries)
+            plan["entries"] = entries
+        self._publish(plan, layer, table)
+        return report
+
+    def _inspect(self, inspect: Inspection | None, kept: DataFrame, written: DataFrame, *folders: str) -> None:
+        if inspect:
+            try:
+                inspect(in_shape(kept, written.schema).unionByName(written))
+            except Exception:
+                for folder in folders:
+                    self._drop(folder)
+                raise
+
+    def _months_holding(self, layer: str, table: str, source: DataFrame, key: str, month: str) -> DataFrame:
+        if not self.exists(layer, side_table(table)):
+            self._file_keys(layer, table, key, month)
+        entries = self.read(layer, side_table(table))
+        buckets = key_months.buckets_of(entries) or 1
+        held = key_months.months_holding(entries, source, key, buckets)
+        return held.select(F.col(key_months.MONTH).alias(month))
+
+    def _file_keys(self, layer: str, table: str, key: str, month: str) -> None:
+        """The side table of a table's keys, made anew from two of its columns."""
+        rows = self.read(layer, table)
+        buckets = key_months.bucket_count(rows.count(), self.keys_per_bucket)
+        self.overwrite(layer, side_table(table), key_months.filed(rows, key, month, buckets), key_months.BUCKET)
+
+    # --- publishing -------------------------------------------------------------------
+
+    def _publish(self, plan: dict, layer: str, table: str) -> None:
+        """Note what is about to be published, publish it, drop the note."""
+        current = self.path(layer, table)
         self._note(current, plan)
-        self._finish_merge(plan, current)
+        self._finish(plan, layer, table)
+
+    def _finish(self, plan: dict, layer: str, table: str) -> None:
+        """Publish what a note says, whatever of it was done before."""
+        current = self.path(layer, table)
+        if "swap" in plan:
+            if self._there(plan["swap"]):
+                self._finish_swap(plan["swap"], current)
+            if "keys" in plan:
+                self._file_keys(layer, table, *plan["keys"])
+        else:
+            self._finish_merge(plan, current)
+            if "entries" in plan:
+                entries = self.spark.read.parquet(plan["entries"])
+                filing = {"key": key_months.KEY, "month": key_months.BUCKET, "key_fixes_month": True}
+                self.merge(layer, side_table(table), entries, **filing)
         self._drop(self._manifest(current))
-        self._drop(pending)
-        self._drop(batch)
-        return report
+        for folder in ("pending", "batch", "entries"):
+            if folder in plan:
+                self._drop(plan[folder])
 
     def _finish_merge(self, plan: dict, current: str) -> None:
         self._move_months(plan["pending"], current, plan["filled"])
@@ -194,20 +270,10 @@ class Lake:
         published is noted first and the note goes last. Every writer calls this before it looks
         at the table; so must whoever reads a watermark from it. Publishing twice changes nothing.
         """
-        current = self.path(layer, table)
-        note = self._path(self._manifest(current))
-        if not self._files(note).exists(note):
+        note = self._manifest(self.path(layer, table))
+        if not self._there(note):
             return False
-        plan = self._load(self._manifest(current))
-        if "swap" in plan:
-            if self._files(note).exists(self._path(plan["swap"])):
-                self._finish_swap(plan["swap"], current)
-        else:
-            self._finish_merge(plan, current)
-        self._drop(self._manifest(current))
-        for folder in (plan.get("pending"), plan.get("batch")):
-            if folder:
-                self._drop(folder)
+        self._finish(self._load(note), layer, table)
         return True
 
     def _manifest(self, current: str) -> str:
@@ -226,56 +292,47 @@ class Lake:
             self._drop(folder)
             raise ValueError(f"{table}: several source rows for one key, e.g. {clashes}")
 
-    def replace(self, layer: str, table: str, source: DataFrame, *, key: str, month: str) -> MergeReport:
-        """Full refresh: rebuild the partitioned table from ``source`` alone, written once and swapped in."""
+    def replace(
+        self,
+        layer: str,
+        table: str,
+        source: DataFrame,
+        *,
+        key: str,
+        month: str,
+        key_fixes_month: bool = True,
+        inspect: Inspection | None = None,
+    ) -> MergeReport:
+        """Full refresh: rebuild the partitioned table from ``source`` alone, written once and swapped in.
+
+        With ``key_fixes_month=False`` the side table for :meth:`merge` is made along with it. ``inspect`` sees the new table
+        before it takes the place of the old one.
+        """
         self.recover(layer, table)
         fresh = f"{self.path(layer, table)}__next_{uuid.uuid4().hex}"
         source.hint("rebalance", month).write.partitionBy(month).parquet(fresh)
         held = self.spark.read.schema(source.schema).parquet(fresh)
         self._refuse_duplicates(table, held, key, fresh)
+        self._inspect(inspect, held.filter("false"), held, fresh)
         rows, months = held.count(), len(self._folders(fresh))
         self._keep_schema(fresh, source.schema.jsonValue(), [])
-        self._swap(fresh, self.path(layer, table))
+        self._publish({"swap": fresh} | ({} if key_fixes_month else {"keys": [key, month]}), layer, table)
         return MergeReport(table, True, months, rows, rows)
 
-    # --- storage ----------------------------------------------------------------------
-
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _files(self, path):
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _folders(self, path: str) -> list[str]:
-        """Names of the partition folders."""
-        found = self._files(self._path(path)).listStatus(self._path(path))
-        return sorted(f.getPath().getName() for f in found if f.isDirectory())
-
-    def _store(self, path: str, content: dict) -> None:
-        out = self._files(self._path(path)).create(self._path(path), True)
-        out.write(bytearray(json.dumps(content).encode()))
-        out.close()
-
-    def _load(self, path: str) -> dict:
-        source = self._files(self._path(path)).open(self._path(path))
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8"))
-        finally:
-            source.close()
 
-    def _drop(self, path: str) -> None:
-        target = self._path(path)
-        self._files(target).delete(target, True)
+def _months(rows: DataFrame) -> list:
+    """One value per calendar month: bounded by the span of the data, not by its volume."""
+    return [r[0] for r in rows.distinct().collect()]
 
 
 def _in_months(month: str, touched: list):
     known = [m for m in touched if m is not None]
-    inside = F.col(month).isin(known) if known else F.lit(False)
+    inside = F.coalesce(F.col(month).isin(known), F.lit(False)) if known else F.lit(False)
     return inside | F.col(month).isNull() if None in touched else inside
 
 
-def _folder(month: str, value: date | None) -> str:
-    return f"{month}=" + ("__HIVE_DEFAULT_PARTITION__" if value is None else value.isoformat())
+def _folder(month: str, value: date | int | None) -> str:
+    return f"{month}=" + ("__HIVE_DEFAULT_PARTITION__" if value is None else str(value))
 
 
 def _reshaped(held: StructType, new: StructType, removed: set[str]) -> bool:

@@ -52,7 +52,7 @@ def test_merge_rewrites_touched_months_only(lake, rows):
     assert (second.first_load, second.rows_written, second.partitions_rewritten, second.source_rows) == (False, 2, 1, 2)
     assert content(lake) == {"a": (JAN, 1), "b": (FEB, 20), "c": (None, 3), "d": (FEB, 4)}
     assert set(os.listdir(f"{lake.path(FACTS, 't')}/month=2025-01-01")) == untouched
-    assert os.listdir(f"{lake.root}/gold/fact") == ["t"]
+    assert sorted(os.listdir(f"{lake.root}/gold/fact")) == ["t", "t__keys"]
 
 
 def test_a_row_that_moves_to_another_month_leaves_the_old_one(lake, rows):
@@ -81,7 +81,7 @@ def test_an_ambiguous_merge_fails_before_writing(lake, rows):
         lake.merge(FACTS, "t", rows(SCHEMA, ("b", JAN, day(1), 1), ("b", FEB, day(1), 2)), **MERGE)
     with pytest.raises(ValueError, match="several source rows"):
         lake.replace(FACTS, "t", rows(SCHEMA, ("b", JAN, day(1), 1), ("b", FEB, day(1), 2)), key="id", month="month")
-    assert content(lake) == {"a": (JAN, 1)} and os.listdir(f"{lake.root}/gold/fact") == ["t"]
+    assert content(lake) == {"a": (JAN, 1)} and sorted(os.listdir(f"{lake.root}/gold/fact")) == ["t", "t__keys"]
 
 
 def test_columns_come_and_go_without_rewriting_old_months(lake, rows):
@@ -152,7 +152,7 @@ def test_a_merge_that_breaks_off_is_finished_by_the_next_run(lake, rows, monkeyp
     again = Lake(lake.spark, lake.root)
     assert again.recover(FACTS, "t") and not again.recover(FACTS, "t")
     assert content(lake) == {"a": (JAN, 2), "b": (FEB, 2), "c": (JAN, 2)}
-    assert os.listdir(f"{lake.root}/gold/fact") == ["t"]
+    assert sorted(os.listdir(f"{lake.root}/gold/fact")) == ["t", "t__keys"]
 
 
 @pytest.mark.parametrize("renames", [0, 1])
@@ -170,3 +170,97 @@ def test_a_swap_that_breaks_off_is_finished(lake, rows, monkeypatch, renames):
     monkeypatch.undo()
     assert lake.recover(DIMENSIONS, "d")
     assert [r.a for r in lake.read(DIMENSIONS, "d").collect()] == [2]
+
+
+def unreadable(folder):
+    """Spoil every file below a folder, so that whoever reads one fails."""
+    for place, _, names in os.walk(folder):
+        for name in names:
+            if name.endswith(".parquet"):
+                with open(f"{place}/{name}", "wb") as out:
+                    out.write(b"not parquet")
+                crc = f"{place}/.{name}.crc"
+                if os.path.exists(crc):
+                    os.unlink(crc)
+
+
+def test_a_merge_reads_the_buckets_and_months_of_its_keys_alone(spark, rows, tmp_path):
+    lake = Lake(spark, str(tmp_path), keys_per_bucket=1)
+    first = [(f"k{i}", dt.date(2025, 1 + i % 12, 1), day(1), i) for i in range(24)]
+    lake.merge(FACTS, "t", rows(SCHEMA, *first), **MERGE)
+    entries = lake.read(FACTS, "t__keys")
+    buckets = {r.held_key: r.bucket for r in entries.collect()}
+    assert {r.n_buckets for r in entries.collect()} == {24}
+    # k0 moves from January to March; k24 is new and lands in March.
+    news = rows(SCHEMA, ("k0", MAR, day(2), 100), ("k24", MAR, day(2), 24))
+    touched = {buckets["k0"], lake.spark.range(1).selectExpr("pmod(xxhash64('k24'), 24) as b").first().b}
+    for bucket in set(buckets.values()) - touched:
+        unreadable(f"{lake.path(FACTS, 't__keys')}/bucket={bucket}")
+    for month in range(1, 13):
+        if month not in (1, 3):
+            unreadable(f"{lake.path(FACTS, 't')}/month=2025-{month:02}-01")
+    report = lake.merge(FACTS, "t", news, newer_by="ts", **MERGE)
+    assert (report.partitions_rewritten, report.source_rows) == (2, 2)
+    held = lake.read(FACTS, "t").filter("month in (date'2025-01-01', date'2025-03-01')").collect()
+    assert {r.id: (r.month, r.v) for r in held} == {"k0": (MAR, 100), "k24": (MAR, 24), "k2": (MAR, 2), "k14": (MAR, 14), "k12": (JAN, 12)}
+
+
+def test_the_keys_follow_the_table(spark, rows, tmp_path):
+    lake = Lake(spark, str(tmp_path), keys_per_bucket=2)
+    months = [JAN, FEB, MAR, None]
+    expected = {}
+    for step in range(4):
+        batch = [(f"k{i}" if i else None, months[(i + step) % 4], day(step + 1), step) for i in range(step, step + 6)]
+        lake.merge(FACTS, "t", rows(SCHEMA, *batch), **MERGE)
+        expected |= {b[0]: (b[1], b[3]) for b in batch}
+        # A missing key is a key like any other.
+        assert content(lake) == expected and lake.read(FACTS, "t").count() == len(expected)
+        held = {r.held_key: r.held_month for r in lake.read(FACTS, "t__keys").collect()}
+        assert held == {k: m for k, (m, _) in expected.items()}
+    lake.replace(FACTS, "t", rows(SCHEMA, ("z", FEB, day(1), 0)), **MERGE)
+    assert [r.held_key for r in lake.read(FACTS, "t__keys").collect()] == ["z"]
+
+
+def test_keys_are_filed_when_a_broken_off_merge_is_finished(lake, rows, monkeypatch):
+    lake.merge(FACTS, "t", rows(SCHEMA, ("a", JAN, day(1), 1), ("b", FEB, day(1), 1)), **MERGE)
+    finish = Lake._finish_merge
+
+    def broken(self, plan, current):
+        finish(self, plan, current)
+        if current.endswith("/t"):
+            raise OSError("the driver is gone")
+
+    monkeypatch.setattr(Lake, "_finish_merge", broken)
+    with pytest.raises(OSError):
+        lake.merge(FACTS, "t", rows(SCHEMA, ("a", MAR, day(2), 2)), **MERGE)
+    monkeypatch.undo()
+    lake.merge(FACTS, "t", rows(SCHEMA, ("a", FEB, day(3), 3)), **MERGE)
+    assert content(lake) == {"a": (FEB, 3), "b": (FEB, 1)}
+
+
+def test_versions_are_ordered_by_several_columns(lake, rows):
+    ordered = {**MERGE, "newer_by": ("ts", "v")}
+    lake.merge(FACTS, "t", rows(SCHEMA, ("a", JAN, day(2), 5), ("b", JAN, None, 1), ("c", JAN, day(1), None)), **MERGE)
+    news = rows(SCHEMA, ("a", FEB, day(2), 4), ("b", FEB, day(1), 0), ("c", FEB, day(1), None))
+    assert lake.merge(FACTS, "t", news, **ordered).source_rows == 2
+    assert content(lake) == {"a": (JAN, 5), "b": (FEB, 0), "c": (FEB, None)}
+
+
+def test_what_fails_inspection_is_not_published(lake, rows):
+    def refuse(pending):
+        seen.append({r.id: r.v for r in pending.collect()})
+        raise ValueError("no")
+
+    seen = []
+    with pytest.raises(ValueError, match="no"):
+        lake.merge(FACTS, "t", rows(SCHEMA, ("a", JAN, day(1), 1)), inspect=refuse, **MERGE)
+    assert not lake.exists(FACTS, "t")
+    lake.merge(FACTS, "t", rows(SCHEMA, ("a", JAN, day(1), 1), ("b", FEB, day(1), 1)), **MERGE)
+    before = sorted(os.listdir(f"{lake.root}/gold/fact"))
+    with pytest.raises(ValueError, match="no"):
+        lake.merge(FACTS, "t", rows(SCHEMA, ("a", MAR, day(2), 2)), inspect=refuse, **MERGE)
+    with pytest.raises(ValueError, match="no"):
+        lake.replace(FACTS, "t", rows(SCHEMA, ("c", MAR, day(2), 3)), inspect=refuse, **MERGE)
+    assert seen == [{"a": 1}, {"a": 2, "b": 1}, {"c": 3}]
+    assert content(lake) == {"a": (JAN, 1), "b": (FEB, 1)}
+    assert sorted(os.listdir(f"{lake.root}/gold/fact")) == before

@@ -258,3 +258,20 @@ def test_the_gate_blocks_errors_and_lets_warnings_pass(rows):
     checks.gate(results("warn"))
     with pytest.raises(checks.QualityError, match="c: 3"):
         checks.gate(results("error"))
+
+
+def test_raw_rows_are_new_by_when_they_were_loaded(rows):
+    from starloom.operators.increment import arrived, load_mark
+
+    stamp = lambda n: dt.datetime(2025, 1, n)
+    first = rows("id int, etl_ingested_at timestamp", (1, stamp(1)), (2, stamp(2)), (3, None))
+    mark = load_mark(first, None)
+    assert mark == {"at": "2025-01-02 00:00:00", "rows": 1}
+    ids = lambda df: {r.id for r in df.collect()}
+    # A row without a loading time always counts as new; a moment that has grown is read again.
+    assert ids(arrived(first, None)) == {1, 2, 3} and ids(arrived(first, mark)) == {3}
+    more = first.unionByName(rows("id int, etl_ingested_at timestamp", (4, stamp(3))))
+    assert ids(arrived(more, mark)) == {3, 4}
+    assert ids(arrived(more.unionByName(rows("id int, etl_ingested_at timestamp", (5, stamp(2)))), mark)) == {2, 3, 4, 5}
+    assert load_mark(first.filter("id = 3"), mark) == mark
+    assert ids(arrived(first, load_mark(first.limit(0), None))) == {1, 2, 3}

@@ -17,6 +17,7 @@ COMPARED = [
     *("valid_flags", "reconcile", "with_audit", "safe_ratio", "flag_any", "surrogate_key", "period_enrich"),
     *("fk_lookup", "rep_min", "count_distinct_groups", "star_rollup", "date_dim", "hwm_read", "upsert", "schema_sync"),
     *("full_refresh", "dim_overwrite", "freshness", "stream_upsert", "chk_relationship_staging", "chk_fk_flags", "chk_date_keys_fixed_range", "chk_relationship_extra", "chk_zip_cut"),
+    *("staging_increment", "entity_360_skewed", "period_enrich_skewed", "fk_lookup_skewed"),
     *("model_int_customer_monthly_360", "model_fct_customer_monthly_snapshot", "model_fct_support_event"),
 ]
 

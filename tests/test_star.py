@@ -1,6 +1,8 @@
 """The star built on storage: incremental replay, the effect of each defect, and the checks."""
 
 import datetime as dt
+import hashlib
+import os
 from collections import Counter
 
 import pytest
@@ -8,13 +10,14 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from starloom.functions.audit import AUDIT_COLUMNS, Audit
+from starloom.functions.keys import NULL_TOKEN
 from starloom.operators import checks
 from starloom.operators.increment import since
 from starloom.plans import dimensions, entities, facts, quality, staging
-from starloom.plans.star import LAYERS, MERGES, HeavyKeys, Star, recent_months, refresh, stored
+from starloom.plans.star import LAYERS, MERGED_STAGING, MERGES, HeavyKeys, Star, recent_months, refresh, restage, shown, stored
 from starloom.sources.adapters import bronze
 from starloom.sources.bronze import Bronze
-from starloom.sources.lake import DIMENSIONS, ENTITIES, FACTS, Lake
+from starloom.sources.lake import DIMENSIONS, ENTITIES, FACTS, STAGING, Lake
 
 SPLIT = "timestamp'2001-01-01'"
 
@@ -27,6 +30,13 @@ def early(raw):
     )
 
 
+def loaded_later(raw):
+    """The raw tables as they are when the rows after the split day were loaded by a second delivery."""
+    later = F.when(F.col("updated_at") >= F.expr(SPLIT), F.expr("etl_ingested_at + interval 1 day"))
+    stamped = lambda rows: rows.withColumn("etl_ingested_at", F.coalesce(later, F.col("etl_ingested_at")))
+    return Bronze(lambda: raw.customers, lambda: raw.zips, lambda: stamped(raw.months), lambda: stamped(raw.events))
+
+
 def same(a, b):
     a, b = a.drop(*AUDIT_COLUMNS), b.drop(*AUDIT_COLUMNS)
     columns = sorted(a.columns)
@@ -41,7 +51,7 @@ def built(spark, tmp_path_factory):
     raw = bronze(spark, SMALL)
     stepwise, whole = (Lake(spark, str(tmp_path_factory.mktemp(n))) for n in ("stepwise", "whole"))
     first = refresh(spark, early(raw), stepwise)
-    second = refresh(spark, raw, stepwise)
+    second = refresh(spark, loaded_later(raw), stepwise)
     full = refresh(spark, raw, whole, full_refresh=True)
     return raw, stepwise, whole, (first, second, full)
 
@@ -66,6 +76,47 @@ def test_the_second_load_is_incremental(built):
     assert months.partitions_rewritten <= 10 and months.rows_written < months.source_rows * 2
 
 
+def test_staging_follows_the_rows_that_were_loaded(built):
+    raw, stepwise, whole, (first, second, full) = built
+    for table in MERGED_STAGING:
+        held = shown(stepwise.read(STAGING, table))
+        assert same(held, shown(whole.read(STAGING, table))) and same(held, Star(raw)[table]), table
+        assert first.staged[table].first_load and full.staged[table].first_load and not second.staged[table].first_load
+        assert 0 < second.staged[table].source_rows < held.count() / 3
+        if table == quality.MONTHS:
+            # (Corrections of events come from all over the years.)
+            assert second.staged[table].partitions_rewritten < held.select("snapshot_month").distinct().count() / 2
+        again = restage(stepwise, table, loaded_later(raw), Audit.of_run())
+        assert again.source_rows == again.partitions_rewritten == 0 and same(held, shown(stepwise.read(STAGING, table)))
+
+
+def test_deleted_raw_rows_are_reported(built):
+    raw, stepwise, _, _ = built
+    parity = [c for c in quality.extra_rules() if c.rule == "arrivals_staged"]
+    assert all(r.violations == 0 for r in checks.report(stored(stepwise, raw), parity).collect())
+    thinned = Bronze(lambda: raw.customers, lambda: raw.zips, lambda: raw.months, lambda: raw.events.filter("channel != 'Chat'"))
+    found = {r.table_name: r.violations for r in checks.report(stored(stepwise, thinned), parity).collect()}
+    assert found == {quality.MONTHS: 0, quality.EVENTS: 1}
+    with pytest.raises(checks.QualityError, match="arrivals_staged"):
+        checks.gate(checks.report(stored(stepwise, thinned), parity))
+
+
+def test_a_failed_check_of_a_fact_leaves_it_as_it_was(spark, built, tmp_path):
+    raw, lake = built[0], Lake(spark, str(tmp_path))
+    refresh(spark, early(raw), lake)
+    before = {t: lake.read(FACTS, t).collect() for t in LAYERS[FACTS]}
+    latest = {r[0] for r in lake.read(FACTS, facts.EVENT_FACT).select("support_event_id").collect()}
+    # Only the merged rows break it: events that the first load did not have.
+    strict = checks.Check(facts.EVENT_FACT, "known_events", query=lambda t: t[facts.EVENT_FACT].filter(~F.col("support_event_id").isin(sorted(latest)[:2000]) & (F.col("source_updated_at") >= F.expr(SPLIT))))
+    with pytest.raises(checks.QualityError, match="known_events"):
+        refresh(spark, loaded_later(raw), lake, checks=[strict])
+    assert sorted(lake.read(FACTS, facts.EVENT_FACT).collect()) == sorted(before[facts.EVENT_FACT])
+    assert sorted(p for p in os.listdir(f"{lake.root}/{FACTS}") if facts.EVENT_FACT in p) == [facts.EVENT_FACT, f"{facts.EVENT_FACT}__keys"]
+    # The next run, without it, catches up.
+    refresh(spark, loaded_later(raw), lake)
+    assert same(lake.read(FACTS, facts.EVENT_FACT), built[1].read(FACTS, facts.EVENT_FACT))
+
+
 def test_stored_facts_equal_the_lazy_ones(spark, built):
     raw, _, whole, _ = built
     lazy = Star(raw)
@@ -138,8 +189,15 @@ def test_a_hot_customer_changes_nothing_but_the_plan(spark):
     plain = Star(skewed)
     heavy = HeavyKeys.of(plain["stg_customer_monthly_snapshot"], plain["stg_customer_support_events"])
     assert "C0000007" in heavy.customers and "C0000007|1998-05-01" in heavy.customer_months
+    assert not heavy.of_months
+    heavy = HeavyKeys.of(plain["stg_customer_monthly_snapshot"], plain["stg_customer_support_events"], plain.customers)
+    key_of = lambda text: hashlib.md5(text.encode()).hexdigest()
+    for found in (heavy.of_months, heavy.of_events):
+        assert key_of("C0000007") in found["customer_key"] and len(found["geography_key"]) > 1 and found["service_profile_key"]
+        # Customers nobody knows have no ZIP, and a missing ZIP hashes to a key of its own.
+        assert key_of(NULL_TOKEN) in found["geography_key"]
     dealt = Star(skewed, heavy=heavy)
-    for table in ("int_customer_monthly_360", "int_support_event_enriched"):
+    for table in ("int_customer_monthly_360", "int_support_event_enriched", facts.MONTH_FACT, facts.EVENT_FACT):
         assert same(plain[table], dealt[table]), table
 
 
