@@ -36,10 +36,10 @@ SEED = 11
 SAMPLE = 20_000
 CELL_ROWS = 8_000
 QUERY_BLOCK = 2_000
-LEAF = 32
+LEAF = 256
 CONFIDENCE = 0.95
-# Rows verified between two looks at the k-th distance.
-STEP = 16
+# Rows verified between two looks at the k-th distance: few at first, while it still shrinks.
+STEP, MAX_STEP = 32, 512
 
 ROW = "vec_id long, embedding array<double>, p array<double>, cell string"
 HIT = "query_id long, q_at long, vec_id long, score double"
@@ -155,14 +155,19 @@ def search(
     for far, rows in tree.nearest(point):
         other = ids[rows] != query_id
         far, rows = far[other], rows[other]
-        for at in range(0, len(rows), STEP):
+        at, step = 0, STEP
+        while at < len(rows):
             kth = min(limit, best[k - 1][0] if len(best) >= k else math.inf)
-            piece = rows[at : at + STEP][far[at : at + STEP] <= bound * kth * kth]
+            stop = min(at + step, int(np.searchsorted(far, bound * kth * kth, side="right")))
+            piece = rows[at:stop]
             gap = vectors[piece] - query
+            true = np.sqrt((gap * gap).sum(axis=1))
+            near = np.flatnonzero(true <= kth)
+            best = sorted(best + list(zip(true[near].tolist(), ids[piece[near]].tolist())))[:k]
             verified += len(piece)
-            best = sorted(best + list(zip(np.sqrt((gap * gap).sum(axis=1)).tolist(), ids[piece].tolist())))[:k]
-            if len(piece) < len(rows[at : at + STEP]):
+            if stop < min(at + step, len(rows)):
                 return best, verified
+            at, step = stop, min(2 * step, MAX_STEP)
     return best, verified
 
 
