@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ERROR, WARN = "error", "warn"
@@ -73,13 +73,23 @@ def several_per_key(df: DataFrame, key: str, columns: dict[str, str]) -> DataFra
     """Keys with more than one row or more than one value of a column, with the distinct counts,
     named as ``columns`` says.
 
-    Distinct tuples come first, so repeated rows collapse before the shuffle.
+    Distinct tuples come first, so repeated rows collapse before the shuffle. Smallest and largest
+    value tell which keys are wrong; values are counted for these alone.
     """
     tuples = df.groupBy(key, *columns).agg(F.count("*").alias("__n"))
-    counts = tuples.groupBy(key).agg(
-        F.sum("__n").alias("n_rows"), *[F.count_distinct(F.col(c)).alias(name) for c, name in columns.items()]
-    )
-    return counts.filter(reduce(lambda a, b: a | b, [F.col(name) > 1 for name in columns.values()], F.col("n_rows") > 1))
+    ends = [a for c in columns for a in (F.min(c).alias(f"__lo_{c}"), F.max(c).alias(f"__hi_{c}"))]
+    differs = [F.coalesce(F.col(f"__lo_{c}") != F.col(f"__hi_{c}"), F.lit(False)) for c in columns]
+    keyed = tuples.groupBy(F.col(key).alias("__key")).agg(F.sum("__n").alias("n_rows"), *ends)
+    broken = keyed.filter(reduce(lambda a, b: a | b, differs, F.col("n_rows") > 1)).select("__key", "n_rows")
+    # -0.0 and 0.0 are one value.
+    value = {f.name: F.col(f.name) + F.lit(0.0) if f.dataType.typeName() in ("float", "double") else F.col(f.name) for f in df.schema}
+    pairs = F.array(*[F.struct(F.lit(c).alias("__column"), value[c].cast("string").alias("__value")) for c in columns])
+    of_broken = tuples.join(broken.select("__key"), F.col(key).eqNullSafe(F.col("__key")), "left_semi")
+    values = of_broken.select(F.col(key).alias("__held"), F.inline(pairs)).filter("__value is not null").distinct()
+    counts = values.groupBy("__held").agg(*[F.count_if(F.col("__column") == c).alias(name) for c, name in columns.items()])
+    met = broken.join(counts, F.col("__key").eqNullSafe(F.col("__held")), "left")
+    named = [F.coalesce(F.col(name), F.lit(0)).alias(name) for name in columns.values()]
+    return met.select(F.col("__key").alias(key), "n_rows", *named)
 
 
 def conflicting_tuples(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -228,6 +238,26 @@ def report(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+class Watched:
+    """The row-wise checks of a table as metrics of the job that writes it, so they cost no scan of their own."""
+
+    def __init__(self, table: str, checks: Iterable[Check]):
+        self.checks = [c for c in checks if c.table == table and c.batch == "rows"]
+        self._metrics = Observation()
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        counters = [F.count_if(c.row_test()).alias(f"c{i}") for i, c in enumerate(self.checks)]
+        return df.observe(self._metrics, *counters) if counters else df
+
+    def broken(self) -> list[tuple[str, int]]:
+        """Blocking checks that failed, with their numbers of violations. Waits for the write."""
+        if not self.checks:
+            return []
+        found = self._metrics.get
+        counted = [(c, found[f"c{i}"]) for i, c in enumerate(self.checks)]
+        return [(c.name, n) for c, n in counted if n and c.severity == ERROR]
+
+
 class QualityError(Exception):
     """Raised by :func:`gate` with the checks that block."""
 
@@ -235,7 +265,10 @@ class QualityError(Exception):
 def gate(results: DataFrame) -> DataFrame:
     """Raise if an error-level check failed; a warning only stays in the report."""
     blocking = results.filter((F.col("severity") == ERROR) & (F.col("violations") > 0))
-    failed = [(r.check_name, r.violations) for r in blocking.collect()]
+    refuse([(r.check_name, r.violations) for r in blocking.collect()])
+    return results
+
+
+def refuse(failed: list[tuple[str, int]]) -> None:
     if failed:
         raise QualityError(", ".join(f"{name}: {n}" for name, n in failed))
-    return results

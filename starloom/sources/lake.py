@@ -7,7 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -166,6 +166,8 @@ class Lake(Storage):
             months = months.unionByName(held)
         touched = _months(months)
         merged = merge_rows(target.filter(_in_months(month, touched)), source, key, newer_by=newer_by if rewrites_all else None)
+        rows_written = Observation()
+        merged = merged.observe(rows_written, F.count(F.lit(1)).alias("n"))
         merged.hint("rebalance", month).write.partitionBy(month).parquet(pending)
         written = self.spark.read.schema(source.schema).parquet(pending)
         self._inspect(inspect, target.filter(~_in_months(month, touched)), written, pending, batch)
@@ -173,7 +175,7 @@ class Lake(Storage):
             table=table,
             first_load=False,
             partitions_rewritten=len(touched),
-            rows_written=written.count(),
+            rows_written=rows_written.get["n"],
             source_rows=source.count(),
         )
         # A month whose last row moved away has no pending folder.

@@ -275,3 +275,37 @@ def test_raw_rows_are_new_by_when_they_were_loaded(rows):
     assert ids(arrived(more.unionByName(rows("id int, etl_ingested_at timestamp", (5, stamp(2)))), mark)) == {2, 3, 4, 5}
     assert load_mark(first.filter("id = 3"), mark) == mark
     assert ids(arrived(first, load_mark(first.limit(0), None))) == {1, 2, 3}
+
+
+def test_a_calendar_ends_within_its_limits(rows):
+    far = rows("start date, stop date", (dt.date(1, 1, 1), dt.date(9999, 12, 31)))
+    assert days(far).count() == (dt.date(2199, 12, 31) - dt.date(1900, 1, 1)).days + 1
+    one = rows("start date, stop date", (dt.date(2024, 12, 30), dt.date(2025, 1, 3)))
+    assert sorted(r[0] for r in days(one).collect()) == [dt.date(2024, 12, 30), dt.date(2024, 12, 31), dt.date(2025, 1, 1), dt.date(2025, 1, 2)]
+    assert days(rows("start date, stop date", (None, None), (dt.date(2025, 1, 2), dt.date(2025, 1, 2)))).count() == 0
+
+
+def test_values_are_counted_for_wrong_keys_alone(rows):
+    df = rows(
+        "k string, city string, at double",
+        *[("a", "x", 1.0), ("b", "x", 0.0), ("b", "x", -0.0), ("c", "x", 1.0), ("c", "y", 1.0), ("c", None, 2.0)],
+        *[(None, "x", 1.0), (None, "z", None), ("d", None, None), ("e", None, 1.0), ("e", None, 1.0)],
+    )
+    found = checks.several_per_key(df, "k", {"city": "cities", "at": "places"})
+    assert {tuple(r) for r in found.collect()} == {("b", 2, 1, 1), ("c", 3, 2, 2), (None, 2, 2, 1), ("e", 2, 0, 1)}
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_checks_are_counted_while_a_table_is_written(rows, tmp_path):
+    df = rows("a int, b string", (1, "x"), (None, "y"), (7, "z"))
+    declared = [
+        checks.Check("t", "not_null", "a"),
+        checks.Check("t", "range", "a", low=0, high=5, severity=checks.WARN),
+        checks.Check("t", "accepted_values", "b", allowed=("x", "y", "z")),
+        checks.Check("t", "unique", "a"),
+        checks.Check("other", "not_null", "b"),
+    ]
+    watch = checks.Watched("t", declared)
+    watch.watch(df).write.parquet(f"{tmp_path}/t")
+    assert watch.broken() == [("not_null:t:a", 1)]
+    assert checks.Watched("none", declared).broken() == []
