@@ -255,7 +255,7 @@ def refresh(
     def overwrite(layer: str, table: str, df: DataFrame) -> DataFrame:
         watch = Watched(table, checks)
         written = lake.overwrite(layer, table, watch.watch(df))
-        broken.extend(watch.broken())
+        broken.extend(watch.broken(written))
         watched.add(table)
         return written
 

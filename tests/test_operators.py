@@ -305,7 +305,8 @@ def test_row_checks_are_counted_while_a_table_is_written(rows, tmp_path):
         checks.Check("t", "unique", "a"),
         checks.Check("other", "not_null", "b"),
     ]
-    watch = checks.Watched("t", declared)
-    watch.watch(df).write.parquet(f"{tmp_path}/t")
-    assert watch.broken() == [("not_null:t:a", 1)]
-    assert checks.Watched("none", declared).broken() == []
+    for number, (given, found) in enumerate([(df, [("not_null:t:a", 1)]), (df.limit(0), []), (df.filter("false"), [])]):
+        watch = checks.Watched("t", declared)
+        watch.watch(given).write.parquet(f"{tmp_path}/{number}")
+        assert watch.broken(df.sparkSession.read.parquet(f"{tmp_path}/{number}")) == found
+    assert checks.Watched("none", declared).broken(df) == []
