@@ -6,9 +6,11 @@ is found wherever it stands, also wrapped over lines or inside a longer line.
 
 Nothing is compared that cannot succeed: the coefficient needs ``|A| >= |B| * t / (2 - t)`` distinct
 bigrams, and as many shared ones. So of any ``|B| - that + 1`` bigrams of a notice, a window must hold
-one; the rarest-looking ones are its anchors. Texts without the words of an anchor are passed over, and
-of the others only the windows around an anchor are compared. The notices are a parameter, a handful
-of rows held as literals.
+one; the longest, which look rarest, are its anchors. Texts without the words of an anchor are passed over. Of the others, a notice is compared where one of its anchors is met, and
+there only with the windows that hold as many of its bigrams as the size bound asks for.
+
+The notices are a parameter, some dozens held as literals: sentences, headers of source files, whole short
+licences, and the openings of long ones, by which a whole long licence is found too.
 
 A null text has no words. A document's licence is the notice of highest score, ties by the longer notice,
 then by name and place. Repeated rows are scanned each for itself; other columns are ignored; an empty table gives none.
@@ -18,26 +20,15 @@ from __future__ import annotations
 
 import math
 import re
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.licence_texts import NOTICES
+
 LEAST = 0.8
-# Usual notices.
-NOTICES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-long": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-    "BSD-3-Clause": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-4.0-long": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-}
 
 
 def words_of(text: str) -> list[str]:
@@ -52,25 +43,49 @@ class Notice:
         self.name, self.length = name, len(words) - 1
         self.grams = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
         self.fewest = max(1, math.ceil(len(self.grams) * least / (2 - least) - 1e-9))
-        rare = sorted(self.grams, key=lambda g: (-min(map(len, g.split())), -len(g), g))
+        rare = sorted(self.grams, key=lambda g: (-len(g), g))
         self.anchors = rare[: len(self.grams) - self.fewest + 1]
 
 
-def _hits(grams: Column, places: Column, notice: Notice, least: float) -> Column:
-    """The windows of ``grams`` like the notice, among those that hold an anchor."""
+def _held(words: Column, anchors: list[str]) -> Column:
+    """Whether both words of an anchor are among ``words``. The longer ones are looked for first, each once."""
+    partners = defaultdict(set)
+    for anchor in anchors:
+        short, long = sorted(anchor.split(), key=lambda w: (len(w), w))
+        partners[long].add(short)
+    holds = lambda word: F.array_contains(words, word)
+    return reduce(Column.__or__, (holds(w) & reduce(Column.__or__, map(holds, sorted(p))) for w, p in sorted(partners.items())))
+
+
+def _words_array(values: list[str]) -> Column:
+    """A literal array; ``values`` hold letters, digits and spaces alone."""
+    return F.expr(f"array({', '.join(f"'{v}'" for v in values)})")
+
+
+def _starts(grams: Column, own: Column, notice: Notice) -> Column:
+    """Where the windows begin that hold as many places of ``own`` as the notice needs."""
     last = F.greatest(F.size(grams) - notice.length, F.lit(0))
-    around = F.transform(
-        F.filter(places, lambda a: F.get(grams, a).isin(notice.anchors)),
-        lambda a: F.sequence(F.greatest(a - (notice.length - 1), F.lit(0)), F.least(a, last)),
-    )
+
+    def around(first: Column, i: Column) -> Column:
+        far = F.get(own, i + (notice.fewest - 1))
+        return F.when(far - first < notice.length, F.sequence(F.greatest(far - (notice.length - 1), F.lit(0)), F.least(first, last)))
+
+    return F.array_distinct(F.flatten(F.array_compact(F.transform(own, around))))
+
+
+def _hits(grams: Column, places: Column, notice: Notice, least: float) -> Column:
+    """The windows of ``grams`` like the notice, if an anchor of it is among ``places``, where anchors of any notice are."""
+    near = F.exists(places, lambda a: F.array_contains(_words_array(notice.anchors), F.get(grams, a)))
+    starts = F.transform(F.array(_places(grams, notice.grams)), lambda own: _starts(grams, own, notice))[0]
+    starts = F.when(near, starts).otherwise(F.expr("cast(array() as array<int>)"))
 
     def scored(start: Column) -> Column:
         window = F.slice(grams, start + 1, notice.length)
-        shared = F.size(F.array_intersect(window, F.array(*map(F.lit, notice.grams))))
+        shared = F.size(F.array_intersect(window, _words_array(notice.grams)))
         dice = 2.0 * shared / (F.size(F.array_distinct(window)) + len(notice.grams))
         return F.when((shared >= notice.fewest) & (dice >= least), F.struct((-dice).alias("minus"), F.lit(-notice.length).alias("shorter"), F.lit(notice.name).alias("licence"), start.alias("start")))
 
-    return F.array_compact(F.transform(F.array_distinct(F.flatten(around)), scored))
+    return F.array_compact(F.transform(starts, scored))
 
 
 def scan(docs: DataFrame, notices: dict[str, str] = NOTICES, least: float = LEAST) -> DataFrame:
@@ -80,13 +95,12 @@ def scan(docs: DataFrame, notices: dict[str, str] = NOTICES, least: float = LEAS
     if any(n.length < 1 for n in known):
         raise ValueError("a notice needs two words")
     anchors = sorted(set().union(*(n.anchors for n in known)))
-    held = [reduce(Column.__and__, (F.contains("lowered", F.lit(w)) for w in sorted(set(g.split())))) for g in anchors]
     # An array of one is bound to a lambda's variable, which is computed once per row.
     once = lambda made, then: F.transform(F.array(made), then)[0]
 
     def of_words(words: Column) -> Column:
         grams = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
-        return once(grams, lambda g: once(_places(g, anchors), lambda p: found(words, g, p)))
+        return once(grams, lambda g: once(_places(g, anchors), lambda p: F.when(F.size(p) > 0, found(words, g, p))))
 
     def found(words: Column, grams: Column, places: Column) -> Column:
         return once(F.concat(*(_hits(grams, places, n, least) for n in known)), lambda hits: summary(words, hits))
@@ -97,11 +111,12 @@ def scan(docs: DataFrame, notices: dict[str, str] = NOTICES, least: float = LEAS
         names = F.array_join(F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["licence"]))), ",")
         return F.when(F.size(hits) > 0, F.struct(best["licence"].alias("licence"), (-best["minus"]).alias("score"), part.alias("words"), names.alias("licences")))
 
-    words = F.filter(F.split(F.regexp_replace("lowered", "[^a-z0-9]+", " "), " "), lambda w: w != "")
-    lowered = docs.select("doc_id", F.lower("text").alias("lowered"))
-    result = lowered.select("doc_id", F.when(reduce(Column.__or__, held), once(words, of_words)).alias("r"))
+    words = F.filter(F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " "), lambda w: w != "")
+    looked_for = _words_array(sorted({w for a in anchors for w in a.split()}))
+    scanned = once(words, lambda ws: once(F.array_intersect(ws, looked_for), lambda met: F.when(_held(met, anchors), of_words(ws))))
+    result = docs.select("doc_id", scanned.alias("r"))
     return result.select("doc_id", *(F.col(f"r.{c}").alias(c) for c in ("licence", "score", "words", "licences")))
 
 
-def _places(grams: Column, anchors: list[str]) -> Column:
-    return F.array_compact(F.transform(grams, lambda g, i: F.when(g.isin(anchors), i)))
+def _places(grams: Column, known: list[str]) -> Column:
+    return F.array_compact(F.transform(grams, lambda g, i: F.when(g.isin(known), i)))

@@ -201,6 +201,10 @@ def test_licences_equal_a_comparison_of_all_windows(spark, docs):
     assert got == want and [want[i][0] for i in range(6)] == [None] * 4 + ["Apache-2.0", "MIT"]
     for name, text in licences.NOTICES.items():
         assert plain_licences(text)[:2] == (name, 1.0)
+    bodies = ["MIT-text", "ISC-text", "BSD-2-Clause-text", "BSD-3-Clause-text", "GPL-3.0-header", "LGPL-3.0-text"]
+    wrapped = [(i, "Copyright (c) Jane\n\n * " + licences.NOTICES[n].replace("software", "program").replace(" and ", "\n * and ") + "\nint main") for i, n in enumerate(bodies)]
+    found = licences.scan(spark.createDataFrame(wrapped, "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.licence for r in found] == bodies and all(licences.LEAST <= r.score <= 1 for r in found)
     found = licences.scan(docs).collect()
     assert len(found) == len(TEXTS) and all(r.licence is None for r in found) and licences.scan(docs.limit(0)).count() == 0
 
