@@ -221,6 +221,8 @@ def refresh(
     calendar: DataFrame | None = None,
     full_refresh: bool = False,
     checks: Sequence[Check] = (),
+    through: str = FACTS,
+    only_facts: Sequence[str] = LAYERS[FACTS],
 ) -> BuildReport:
     """One run: new raw rows staged, dimensions rebuilt, facts merged from what is new.
 
@@ -234,7 +236,14 @@ def refresh(
     the job that writes them. The entities are then written too,
     once, instead of being computed again for every check; a lake that holds them keeps them
     current. Otherwise they stay lazy views of staging.
+
+    A part of the star can be refreshed alone: the layers ``through`` a given one, or the facts named in ``only_facts`` and
+    what they read. A fact that was left out catches up later, since its watermark is its own.
     """
+    if through not in LAYERS:
+        raise ValueError(f"no layer {through}, there are {', '.join(LAYERS)}")
+    if unknown := set(only_facts) - set(LAYERS[FACTS]):
+        raise ValueError(f"no facts {', '.join(sorted(unknown))}, there are {', '.join(LAYERS[FACTS])}")
     audit = audit or Audit.of_run()
     report = BuildReport()
     # Watermarks are read from the facts, so an earlier run's publication has to be whole first.
@@ -268,12 +277,15 @@ def refresh(
             kept[table] = shown(lake.read(STAGING, table))
         else:
             kept[table] = overwrite(STAGING, table, staged[table])
+    if through == STAGING:
+        pass_checks(Star(bronze, audit, calendar=calendar, given=kept), LAYERS[STAGING])
+        return report
     months, events = kept["stg_customer_monthly_snapshot"], kept["stg_customer_support_events"]
     bounds = report.bounds
     for table in LAYERS[FACTS]:
         begins = full_refresh or not lake.exists(FACTS, table)
         bounds[table] = None if begins else watermark(lake.read(FACTS, table), "source_updated_at")
-    keeps_entities = bool(checks) or any(lake.exists(ENTITIES, t) for t in LAYERS[ENTITIES])
+    keeps_entities = bool(checks) or through == ENTITIES or any(lake.exists(ENTITIES, t) for t in LAYERS[ENTITIES])
     new_months = since(months, "source_updated_at", bounds[facts.MONTH_FACT])
     new_events = since(events, "source_updated_at", bounds[facts.EVENT_FACT])
     dealt = (months, events) if keeps_entities else (new_months, new_events)
@@ -287,10 +299,14 @@ def refresh(
         for table in LAYERS[ENTITIES]:
             kept[table] = overwrite(ENTITIES, table, star_of_kept()[table])
         pass_checks(star_of_kept(), LAYERS[ENTITIES])
+    if through == ENTITIES:
+        return report
     for table in LAYERS[DIMENSIONS]:
         kept[table] = overwrite(DIMENSIONS, table, star_of_kept()[table])
     star = star_of_kept()
     pass_checks(star, LAYERS[DIMENSIONS])
+    if through == DIMENSIONS:
+        return report
 
     def fresh_months(bound: date | None) -> DataFrame:
         if keeps_entities:
@@ -311,7 +327,8 @@ def refresh(
         facts.MONTH_FACT: lambda bound: star.month_facts(fresh_months(bound)),
         facts.EVENT_FACT: lambda bound: star.event_facts(fresh_events(bound)),
     }
-    for table, fresh in fresh_facts.items():
+    for table in (t for t in fresh_facts if t in only_facts):
+        fresh = fresh_facts[table]
         # A fact without rows has no newest stamp, but it is there.
         begins = full_refresh or not lake.exists(FACTS, table)
         write = lake.replace if begins else lake.merge

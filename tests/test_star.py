@@ -117,6 +117,31 @@ def test_a_failed_check_of_a_fact_leaves_it_as_it_was(spark, built, tmp_path):
     assert same(lake.read(FACTS, facts.EVENT_FACT), built[1].read(FACTS, facts.EVENT_FACT))
 
 
+def test_a_part_of_the_star_is_refreshed_alone(spark, built, tmp_path):
+    raw, _, whole, _ = built
+    lake = Lake(spark, str(tmp_path))
+    refresh(spark, early(raw), lake, through=STAGING)
+    assert all(lake.exists(STAGING, t) for t in LAYERS[STAGING])
+    assert not any(lake.exists(layer, t) for layer in (ENTITIES, DIMENSIONS, FACTS) for t in LAYERS[layer])
+    early_run = refresh(spark, early(raw), lake, only_facts=[facts.EVENT_FACT])
+    assert set(early_run.merges) == {facts.EVENT_FACT} and not lake.exists(FACTS, facts.MONTH_FACT)
+    refresh(spark, loaded_later(raw), lake, through=DIMENSIONS)
+    for table in LAYERS[DIMENSIONS]:
+        assert same(lake.read(DIMENSIONS, table), whole.read(DIMENSIONS, table))
+    # The facts catch up, each from its own watermark.
+    report = refresh(spark, loaded_later(raw), lake)
+    assert report.bounds[facts.MONTH_FACT] is None and report.bounds[facts.EVENT_FACT] is not None
+    for table in LAYERS[FACTS]:
+        assert same(lake.read(FACTS, table), whole.read(FACTS, table))
+
+
+def test_an_unknown_part_is_refused(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    for part in ({"through": "silver"}, {"only_facts": ["fct_nothing"]}):
+        with pytest.raises(ValueError, match="there are"):
+            refresh(spark, None, lake, **part)
+
+
 def test_stored_facts_equal_the_lazy_ones(spark, built):
     raw, _, whole, _ = built
     lazy = Star(raw)
