@@ -2,13 +2,20 @@
 
 Writing: of records with equal payloads the one with the largest page id is the response, the
 others are revisits that name it and carry no payload. Records are written by Spark's text
-writer, one gzip file per partition, so any file system and lost tasks are handled by it; the
-record separator ``\\r\\n\\r\\n`` is the line separator.
+writer, so any file system and lost tasks are handled by it; the record separator
+``\\r\\n\\r\\n`` is the line separator. An archive holds ``ARCHIVE_CHARS`` characters or one longer
+record, and is one gzip file in a folder of its own.
 
-Reading: a file is cut into records by ``Content-Length``, and each file yields a run of index
-entries sorted by URL key and timestamp. The index is dealt into key ranges of bounded size;
-within each range the segments of all runs are merged by a loser tree. Ranges in order, and
-entries within, form the capture histories of all URLs.
+Reading: an archive is cut into records by ``Content-Length``, and yields a run of index entries
+sorted by URL key and timestamp. The runs are written down and then read in their order: each is
+cut into slices at the bounds of key ranges, a slice travels as one row and stays as sorted as its run, and
+within each range the slices of all runs are merged by a loser tree. Nothing is sorted again. Ranges
+in order, and entries within by ``place``, form the capture histories of all URLs.
+
+The bounds are those of a sample of the entries, about ``SAMPLES_PER_RANGE`` for each range of
+``entries_per_range``; the driver holds one key per range, ``MAX_RANGES`` at most, with
+``BOUND_CHARS`` of its URL. Beyond that number the ranges grow. Any key may be a bound, so a sample
+decides on balance, never on rows. The captures of one URL may lie in several ranges.
 
 A null html counts as empty, a null url as "". Repeated rows are records of their own; if the
 largest page id of a payload repeats, all rows with it are responses. A null page id is smaller
@@ -21,19 +28,24 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections import defaultdict
 from datetime import UTC, datetime
 from urllib.parse import urlsplit
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import arrow_schema, map_batches, written
 from starloom.session import work_folder
 
-RECORDS_PER_FILE = 2_000
+ARCHIVE_CHARS = 32_000_000
 ENTRIES_PER_RANGE = 50_000
+SAMPLES_PER_RANGE = 64
+MAX_RANGES = 50_000
+BOUND_CHARS = 1_000
 LEAST_PAYLOAD = 0
 EPOCH = 1_700_000_000
 # Dates are written with four digits of the year; times outside are moved to the nearest.
@@ -44,6 +56,8 @@ ENTRY = (
     "url_key string, at long, page_id long, url string, record_type string, payload_bytes long, "
     "payload_digest string, refers_to long, file string, offset long"
 )
+ORDER = ("url_key", "at", "page_id", "file", "offset")
+RUN = 8  # the place of the file in an entry: every archive is one run
 BREAK = b"\r\n\r\n"
 
 
@@ -101,17 +115,28 @@ def record(page_id, url: str, payload: str, digest: str, at: int, first, is_revi
     return "\r\n".join(head) + "\r\n\r\n" + ("" if is_revisit else payload)
 
 
-def write_archives(spark: SparkSession, pages: DataFrame, at: Column, least_payload: int = LEAST_PAYLOAD) -> str:
+def write_archives(spark: SparkSession, pages: DataFrame, at: Column, least_payload: int = LEAST_PAYLOAD, archive_chars: int = ARCHIVE_CHARS) -> str:
     """The folder of the written archives."""
+    ddl = "archive long, value string"
+    schema = arrow_schema(ddl)
 
-    def columns(batch):
-        return [[record(*row.values()) for row in batch.to_pylist()]]
+    def run(batches):
+        # A task numbers its archives by itself; it writes them one after the other.
+        archive, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            archives, records = [], []
+            for row in batch.to_pylist():
+                records.append(record(*row.values()))
+                if held and held + len(records[-1]) > archive_chars:
+                    archive, held = archive + 1, 0
+                held += len(records[-1])
+                archives.append(archive)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((archives, records), schema)], schema=schema)
 
     order = ("page_id", "url", "payload", "digest", "at", "first", "is_revisit")
-    records = map_batches(typed(pages, at, least_payload).select(*order), "value string", columns)
+    records = typed(pages, at, least_payload).select(*order).mapInArrow(run, ddl)
     folder = f"{work_folder(spark, 'warc')}/{uuid.uuid4().hex}"
-    writer = records.write.option("lineSep", BREAK.decode()).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    records.write.partitionBy("archive").option("lineSep", BREAK.decode()).option("compression", "gzip").text(folder)
     return folder
 
 
@@ -154,7 +179,7 @@ def index_runs(spark: SparkSession, folder: str) -> DataFrame:
     def columns(batch):
         rows = []
         for path, content in zip(batch["path"].to_pylist(), batch["content"]):
-            data, file = zlib.decompressobj(31).decompress(content.as_py()), path.rsplit("/", 1)[-1]
+            data, file = zlib.decompressobj(31).decompress(content.as_py()), "/".join(path.rsplit("/", 2)[1:])
             rows += sorted((entry(file, *r) for r in records_of(data)), key=_order)
         return list(map(list, zip(*rows))) if rows else [[] for _ in ENTRY.split(", ")]
 
@@ -163,7 +188,7 @@ def index_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _order(entry: tuple) -> tuple:
-    return entry[0], entry[1], -1 if entry[2] is None else entry[2], entry[8], entry[9]
+    return entry[0], entry[1], -1 if entry[2] is None else entry[2], entry[RUN], entry[9]
 
 
 def merge_runs(runs: list[list], key) -> list:
@@ -203,24 +228,63 @@ def merge_runs(runs: list[list], key) -> list:
     return merged
 
 
+def range_bounds(runs: DataFrame, entries_per_range: int) -> list[tuple]:
+    """Keys, in order, at which the ranges after the first begin."""
+    ranges = min(MAX_RANGES, -(-runs.count() // entries_per_range))
+    if ranges < 2:
+        return []
+    one_in = max(1, entries_per_range // SAMPLES_PER_RANGE)
+    sample = runs.filter(f"crc32(concat(file, ':', offset)) % {one_in} = 0").select(F.col("url_key").substr(1, BOUND_CHARS).alias("url_key"), *ORDER[1:])
+    dealt = sample.repartitionByRange(ranges, *ORDER).select(F.spark_partition_id().alias("part"), F.struct(*ORDER).alias("key"))
+    least = [tuple(r.key) for r in dealt.groupBy("part").agg(F.min("key").alias("key")).collect()]
+    return sorted((key, at, -1 if page is None else page, file, offset) for key, at, page, file, offset in least)[1:]
+
+
+def slices(runs: DataFrame, bounds: list[tuple]) -> DataFrame:
+    """``part, entries``: the entries of one run within one key range, in the order of the run.
+
+    A run that is read in several batches gives several slices of a range; each is sorted.
+    """
+    ddl = f"part int, entries array<struct<{ENTRY.replace(' ', ':').replace(',:', ',')}>>"
+    schema = arrow_schema(ddl)
+    shared = runs.sparkSession.sparkContext.broadcast(bounds)
+
+    def run(batches):
+        bounds = shared.value
+        for batch in batches:
+            starts, parts, last = [], [], None
+            for i, row in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
+                key = _order(row)
+                slice_of = row[RUN], bisect_right(bounds, key)
+                # A key that falls would begin a slice too: what is sent is sorted, however it was read.
+                if last is None or slice_of != last[0] or key < last[1]:
+                    starts.append(i)
+                    parts.append(slice_of[1])
+                last = slice_of, key
+            entries = pa.StructArray.from_arrays(batch.columns, fields=list(schema[1].type.value_type))
+            lists = pa.ListArray.from_arrays(pa.array([*starts, len(batch)], pa.int32()), entries)
+            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), lists.cast(schema[1].type)], schema=schema)
+
+    return runs.mapInArrow(run, ddl)
+
+
 def capture_history(spark: SparkSession, folder: str, entries_per_range: int = ENTRIES_PER_RANGE) -> DataFrame:
-    """All index entries in the order of URL key, time and page; ``part`` numbers the key ranges."""
+    """All index entries in the order of ``part``, the number of the key range, and ``place`` in it."""
     runs = written(spark, index_runs(spark, folder), "warc-runs")
-    names = runs.columns
-    ranges = max(1, -(-runs.count() // entries_per_range))
-    # Ranges of whole order keys: a URL with many captures is cut between its captures.
-    dealt = runs.repartitionByRange(ranges, "url_key", "at", "page_id", "file", "offset")
-    schema = arrow_schema(ENTRY)
+    bounds = range_bounds(runs, entries_per_range)
+    ddl = f"part int, place int, {ENTRY}"
+    schema = arrow_schema(ddl)
 
     def merge(batches):
-        segments = defaultdict(list)
+        # One range a task; if Spark puts several together, they are merged one by one.
+        ranges = defaultdict(list)
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                segments[row[8]].append(row)
-        # A run's segment may arrive in pieces; its entries were numbered by the sorted run.
-        runs = [sorted(s, key=_order) for _, s in sorted(segments.items())]
-        rows = merge_runs(runs, _order)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-
-    return dealt.mapInArrow(merge, ENTRY).select(F.spark_partition_id().alias("part"), *names)
+            for part, entries in zip(batch["part"].to_pylist(), batch["entries"]):
+                ranges[part].append(entries.values)
+        for part in sorted(ranges):
+            segments = [list(zip(*(c.to_pylist() for c in held.flatten()))) for held in ranges.pop(part)]
+            rows = merge_runs(segments, _order)
+            columns = [[part] * len(rows), range(len(rows)), *zip(*rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return slices(runs, bounds).repartitionById(len(bounds) + 1, "part").mapInArrow(merge, ddl)

@@ -84,8 +84,10 @@ def test_secrets_are_masked_once(spark):
 def test_warc_reads_back_what_it_wrote(spark):
     pages = [(1, "http://b.org/x", "same"), (2, "http://www.a.org", "same"), (3, None, None), (4, "http://a.org", ""), (5, "u", "ü\r\n\r\nWARC/1.1"), (5, "u", "ü\r\n\r\nWARC/1.1"), (None, "http://a.org", "same")]
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, digest string")
-    history = warc.capture_history(spark, warc.write_archives(spark, df, F.lit(warc.EPOCH)), entries_per_range=2)
+    # Archives of a few records, and ranges of a few entries.
+    history = warc.capture_history(spark, warc.write_archives(spark, df.coalesce(1), F.lit(warc.EPOCH), archive_chars=700), entries_per_range=2)
     rows = history.collect()
+    assert len({r.file for r in rows}) > 2 and len({r.part for r in rows}) > 2
     want = []
     for i, _, html in pages:
         raw = (html or "").encode()
@@ -93,7 +95,7 @@ def test_warc_reads_back_what_it_wrote(spark):
         digest = base64.b32encode(hashlib.sha1(raw).digest()).decode()
         want.append((i, len(raw), digest, "response" if i == top else "revisit", None if i == top else top))
     assert ordered((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows) == ordered(want)
-    keys = [(r.url_key, r["at"], -1 if r.page_id is None else r.page_id) for r in sorted(rows, key=lambda r: r.part)]
+    keys = [(r.url_key, r["at"], -1 if r.page_id is None else r.page_id) for r in sorted(rows, key=lambda r: (r.part, r.place))]
     assert keys == sorted(keys)
     assert warc.capture_history(spark, warc.write_archives(spark, df.limit(0), F.lit(0))).count() == 0
 
@@ -106,6 +108,20 @@ def test_warc_takes_any_page_number_and_long_pages(spark):
         assert {r.page_id: r.payload_bytes for r in history.collect()} == {i: len(h) for i, _, h in rows}
 
 
+def test_runs_are_cut_into_sorted_slices_at_the_bounds(spark):
+    rng = np.random.default_rng(4)
+    entry = lambda file, n: (f"k{n % 10}", n, None if n % 7 == 0 else n, "u", "response", 1, "d", None, file, n)
+    made = [sorted((entry(f, int(n)) for n in rng.integers(0, 100, 300)), key=warc._order) for f in ("a", "b")]
+    entries = [e for run in made for e in run]
+    runs = spark.createDataFrame(entries, warc.ENTRY).coalesce(1)
+    bounds = warc.range_bounds(runs, 100)
+    assert bounds == sorted(bounds) and 3 <= len(bounds) <= 5 and warc.range_bounds(runs, 600) == []
+    got = [(r.part, [tuple(e) for e in r.entries]) for r in warc.slices(runs, bounds).collect()]
+    # A slice a run and range, in the order of the run; together they are the runs.
+    assert len(got) == 2 * (len(bounds) + 1) and [e for _, es in got for e in es] == entries
+    assert all(sum(b <= warc._order(e) for b in bounds) == part for part, es in got for e in es)
+
+
 def test_loser_tree_merges_any_number_of_runs():
     rng = np.random.default_rng(1)
     for k in range(9):
