@@ -6,6 +6,10 @@ The machines are trained by averaged stochastic subgradients on at most ``ROWS_P
 training rows per language (picked by a hash of their ids, the same in every run). Families of one
 language need no second step. A language outside ``FAMILIES`` is a family of its own.
 
+The ``MAX_LANGUAGES`` languages of most training rows are learned (of equals, the smallest names), from
+``TRAINING_ROWS`` rows in all at most, so neither the driver nor the model grows with the values of ``lang``;
+a row of another language gets the nearest learned one.
+
 The score is the winner's share of the softmax-like votes, family times language. Texts that are
 null or hold no letter are ``und`` with score 0, as is everything without a training row.
 Repeated rows are predicted each for itself; an empty table gives none.
@@ -21,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import map_batches
+from starloom.llm.common import map_batches, written
 
 # Which languages are close relatives.
 FAMILIES = {
@@ -32,6 +36,9 @@ FAMILIES = {
 SIZE = 2048
 GRAMS = (1, 2, 3)
 ROWS_PER_LANGUAGE = 400
+# Bounds of the driver: a row is 24 KB of features; machines grow with the square of the families.
+MAX_LANGUAGES = 40
+TRAINING_ROWS = 8_000
 EPOCHS, RATE, DECAY, SEED = 20, 0.5, 1e-4, 5
 CHUNK = 1 << 20
 UNKNOWN = "und"
@@ -78,7 +85,7 @@ def features(text: str | None, size: int = SIZE) -> np.ndarray | None:
 
 def train(rows: np.ndarray, sides: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Weights (the last one the bias) of a linear machine with hinge loss; ``sides`` are 1 and -1."""
-    rows = np.column_stack([rows, np.ones(len(rows))])
+    rows = np.column_stack([rows.astype(float), np.ones(len(rows))])
     share = {s: len(sides) / 2 / max(1, int((sides == s).sum())) for s in (1, -1)}
     weights, mean, step = np.zeros(rows.shape[1]), np.zeros(rows.shape[1]), 0
     for _ in range(EPOCHS):
@@ -141,31 +148,32 @@ def held_out() -> str:
 def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
     """A model of the rows of ``docs(doc_id, text, lang)`` that are not held out."""
     usable = docs.filter(f"not ({held_out()}) and lang is not null and text is not null and doc_id is not null")
-    # Only ids are dealt out; the texts of the chosen few are read afterwards.
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
+    most = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
+    counts = {r[0]: r[1] for r in most.collect()}
     if not counts:
         return None
+    rows_per_language = max(1, min(rows_per_language, TRAINING_ROWS // len(counts)))
     # A share of each language's ids that holds about twice as many as wanted, so that no task ranks a
-    # whole language.
+    # whole language. Only ids are dealt out; the texts of the chosen few are read afterwards.
     wide = F.create_map(*(F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, 2 * rows_per_language / n))))
     hashed = usable.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(SEED)).alias("h"))
-    near = hashed.filter(F.pmod("h", F.lit(1 << 30)) < F.element_at(wide, F.col("lang")) * float(1 << 30))
+    near = hashed.filter(F.pmod("h", F.lit(1 << 30)) < F.coalesce(F.try_element_at(wide, F.col("lang")), F.lit(0.0)) * float(1 << 30))
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     picked = near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows_per_language)
-    ids = sorted({r[0] for r in picked.select("doc_id").collect()})
-    if not ids:
-        return None
+    # At most TRAINING_ROWS ids, so this side may be broadcast.
+    ids = written(docs.sparkSession, picked.select("doc_id").distinct(), "language-rows")
 
     def columns(batch):
         made = [features(t.as_py()) for t in batch["text"]]
         return [batch["lang"], [None if m is None else m.astype(np.float32).tobytes() for m in made]]
 
     # An id counts once, however often it is repeated.
-    chosen = usable.filter(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row")).select("row.*")
+    known = usable.join(F.broadcast(ids), "doc_id", "left_semi").filter(F.col("lang").isin(list(counts)))
+    chosen = known.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("row")).select("row.*")
     rows = sorted(tuple(r) for r in map_batches(chosen, "lang string, f binary", columns).filter("f is not null").collect())
     if not rows:
         return None
-    return Model(np.array([np.frombuffer(f, np.float32) for _, f in rows], float), [lang for lang, _ in rows])
+    return Model(np.array([np.frombuffer(f, np.float32) for _, f in rows]), [lang for lang, _ in rows])
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: Model | None) -> DataFrame:

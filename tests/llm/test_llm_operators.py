@@ -430,6 +430,25 @@ def test_languages_of_held_out_rows(spark, docs):
     assert langid.predict(spark, docs.limit(0), langid.fit(docs.limit(0))).count() == 0
 
 
+def test_languages_beyond_the_limits(spark, monkeypatch):
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst", "uvwx", "yzäö", "αβγδ"]
+    rng = np.random.default_rng(2)
+    text = lambda k: " ".join("".join(rng.choice(list(letters[k]), 5)) for _ in range(12))
+    # The first languages have the most rows; an id may carry rows of a known and of an unknown one.
+    rows = [(1000 * k + i, text(k), f"l{k}") for k, n in enumerate((150, 120, 95, 75, 55, 9, 9, 9)) for i in range(n)] + [(3, text(7), "l7")] * 3
+    rows += [(9000 + i, text(0), f"only once {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 5)
+    monkeypatch.setattr(langid, "TRAINING_ROWS", 100)
+    learned = []
+    with monkeypatch.context() as patched:
+        patched.setattr(langid, "Model", lambda rows, langs, made=langid.Model: learned.extend(langs) or made(rows, langs))
+        model = langid.fit(docs)
+    assert sorted(set(learned)) == ["l0", "l1", "l2", "l3", "l4"] and max(map(learned.count, learned)) <= 20
+    got = langid.predict(spark, docs, model).join(docs.filter("lang < 'l5'").select("doc_id", "lang").distinct(), "doc_id")
+    assert got.filter("doc_id < 9000 and doc_id <> 3").filter("lang_pred <> lang").count() == 0
+
+
 def test_chunks_do_not_change_the_features(monkeypatch):
     text = "the quick brown fox, jumps! " * 20
     whole = langid.features(text)
