@@ -10,8 +10,10 @@ A word travels once per block, however often it occurs there, so a frequent word
 than a rare one. Memory is bounded by ``BLOCK_CHARS`` of text per block (or one document) and
 ``BUCKET_WORDS`` words per word bucket; the number of buckets follows the data.
 
-Decoding joins ids with the token-byte table. That table has one row per vocabulary entry
-(its size is that of the tokenizer's file, whatever the corpus), so every task holds it.
+Decoding joins ids with the token-byte table, which has one row per id. It is broadcast: its size is that of
+the tokenizer's file, ``MAX_FILE_BYTES`` at most, whatever the corpus. As ids are row numbers of the table, the
+join takes rows by number, for ``DECODED_IDS`` ids (or one longer document) at a time; an id without a
+row is an error.
 
 A null text counts as empty: no ids, no bytes. Repeated rows are encoded each for itself;
 an empty table gives an empty result; other columns of the input are ignored.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import os
 import zlib
 from collections import defaultdict
 
@@ -35,7 +38,8 @@ from starloom.llm.common import arrow_schema, map_batches, pack, pack_texts, rag
 
 BLOCK_CHARS = 32_000_000
 BUCKET_WORDS = 100_000
-DECODED_ROWS = 500
+DECODED_IDS = 1_000_000
+MAX_FILE_BYTES = 64_000_000
 
 BLOCKS = "block long, ids array<long>, lengths array<int>, n_words long, words binary, slots binary"
 SENT = "bucket int, block long, slots binary, words binary"
@@ -46,6 +50,8 @@ RESULT_SCHEMA = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and their ranks from a file of base64 tokens and ids."""
+    if os.path.getsize(path) > MAX_FILE_BYTES:
+        raise ValueError(f"{path} is too large for a table that every task holds")
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
@@ -209,20 +215,40 @@ def encode(
     return held.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_lay_out, RESULT)
 
 
+def token_bytes(path: str) -> pa.Array:
+    """The token-byte table: row i is the token of id i, null where there is none."""
+    tokens = {rank: token for token, rank in load_ranks(path).items()}
+    return pa.array([tokens.get(i) for i in range(max(tokens, default=-1) + 1)], pa.large_binary())
+
+
+def joined_bytes(ids: pa.ListArray, table: pa.Array) -> pa.Array:
+    """The bytes of each list's ids."""
+    found = table.take(ids.flatten())
+    if found.null_count:
+        raise ValueError("an id without a token")
+    # The tokens lie one after the other, so a list's bytes are a slice of them.
+    _, starts, data = found.buffers()
+    starts = np.frombuffer(starts, np.int64, len(found) + 1) if len(found) else np.zeros(1, np.int64)
+    ends = np.cumsum([0, *ids.value_lengths().to_pylist()])
+    cuts = pa.py_buffer(starts[ends])
+    return pa.Array.from_buffers(pa.large_binary(), len(ids), [None, cuts, data or pa.py_buffer(b"")]).cast(pa.binary())
+
+
 def decode(spark: SparkSession, encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``doc_id, ids, decoded``: the bytes of each row's ids."""
-    table = spark.sparkContext.broadcast({rank: token for token, rank in load_ranks(ranks_path).items()})
+    table = spark.sparkContext.broadcast(token_bytes(ranks_path))
 
     schema = arrow_schema(f"{RESULT}, decoded binary")
 
     def run(batches):
-        token = table.value.__getitem__
         for batch in batches:
-            for at in range(0, len(batch), DECODED_ROWS):
-                doc_id, ids = batch.slice(at, DECODED_ROWS).columns
-                rows = (ids[i].values.to_numpy().tolist() for i in range(len(ids)))
-                decoded = pa.array([b"".join(map(token, row)) for row in rows], pa.binary())
-                yield pa.RecordBatch.from_arrays([doc_id, ids.cast(schema[1].type), decoded], schema=schema)
+            ends, at = np.cumsum(batch["ids"].value_lengths().to_numpy(zero_copy_only=False)), 0
+            while at < len(batch):
+                before = ends[at - 1] if at else 0
+                stop = max(at + 1, int(np.searchsorted(ends, before + DECODED_IDS, "right")))
+                doc_id, ids = batch.slice(at, stop - at).columns
+                yield pa.RecordBatch.from_arrays([doc_id, ids.cast(schema[1].type), joined_bytes(ids, table.value)], schema=schema)
+                at = stop
 
     return encoded.select("doc_id", "ids").mapInArrow(run, f"{RESULT}, decoded binary")
 

@@ -10,6 +10,7 @@ import time
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -48,7 +49,9 @@ def ordered(rows):
     return sorted(rows, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
-def test_bpe_equals_the_public_library_and_round_trips(spark, docs):
+@pytest.mark.parametrize("decoded_ids", [bpe.DECODED_IDS, 4])
+def test_bpe_equals_the_public_library_and_round_trips(spark, docs, monkeypatch, decoded_ids):
+    monkeypatch.setattr(bpe, "DECODED_IDS", decoded_ids)
     ids = bpe.encode(spark, docs, RANKS, public_tokenizers.PATTERN, block_chars=100, bucket_words=3)
     got = bpe.digests(bpe.decode(spark, ids, RANKS)).collect()
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
@@ -60,6 +63,20 @@ def test_bpe_equals_the_public_library_and_round_trips(spark, docs):
     assert ordered(map(tuple, got)) == ordered(want)
 
 
+def test_decoding_joins_by_id(tmp_path):
+    table = bpe.token_bytes(RANKS)
+    ranks = bpe.load_ranks(RANKS)
+    assert all(table[rank].as_py() == token for token, rank in ranks.items())
+    rng = np.random.default_rng(7)
+    lists = [[], [5], [], *(rng.integers(0, len(ranks), n).tolist() for n in (1, 40, 3000)), []]
+    for ids in (pa.array(lists, pa.list_(pa.int32())), pa.array([[9]] * 3 + lists, pa.list_(pa.int32()))[3:], pa.array([[], []], pa.list_(pa.int32()))):
+        assert bpe.joined_bytes(ids, table).to_pylist() == [b"".join(table[i].as_py() for i in row) for row in ids.to_pylist()]
+    (tmp_path / "gap").write_bytes(b"YQ== 0\nYg== 2\n")
+    assert bpe.joined_bytes(pa.array([[2, 0]]), bpe.token_bytes(str(tmp_path / "gap"))).to_pylist() == [b"ba"]
+    with pytest.raises(ValueError):
+        bpe.joined_bytes(pa.array([[1]]), bpe.token_bytes(str(tmp_path / "gap")))
+
+
 def test_trigram_queries_and_spans_equal_a_plain_search(docs):
     assert secret_rules.trigram_query("[0-9a-f]{24,}") is None
     assert secret_rules.trigram_query("AKIA[A-Z0-9]{16,}") == ("and", ["aki", "kia"])
