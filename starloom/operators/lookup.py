@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 FANOUT = 64
 HEAVY_SHARE = 0.005
+# Fixed value: what rows without a key meet by, followed by the number of their share.
+MISSING = "__missing_"
 
 
 def _name(column: str) -> str:
@@ -22,6 +24,13 @@ def _all_present(columns: list[str]) -> str:
     return " and ".join(f"{_name(c)} is not null" for c in columns)
 
 
+def _meeting_key(column: str, spread_by: str, fanout: int = FANOUT) -> str:
+    """The key, or for rows without one a share by ``spread_by``. The same text in every lookup: Spark then leaves rows
+    where an earlier lookup by the same key has brought them."""
+    share = f"concat('{MISSING}', string(pmod(xxhash64({_name(spread_by)}), {fanout})))"
+    return f"if({_name(column)} is not null, {_name(column)}, {share})"
+
+
 def heavy_keys(df: DataFrame, on: list[str], share: float = HEAVY_SHARE) -> list[str]:
     """Labels of the keys that hold more than ``share`` of the rows.
 
@@ -47,6 +56,7 @@ def left_lookup(
     spread_by: str | None = None,
     heavy: list[str] | None = None,
     fanout: int = FANOUT,
+    meet_by_first: bool = False,
 ) -> DataFrame:
     """``left`` with the non-key columns of ``right``; unmatched rows get NULLs.
 
@@ -57,13 +67,20 @@ def left_lookup(
       are dealt by ``spread_by`` over ``fanout`` partitions and the right rows of these keys,
       one each, are repeated for each. Without it, adaptive execution splits the partitions it
       finds skewed.
+    * ``meet_by_first``: rows meet by the first key alone, and the other keys are compared then. A later
+      :func:`resolve_member` by that key finds the left rows in place and doesn't shuffle them again. For keys of which
+      the right side holds a bounded number of rows (a customer's months); needs ``spread_by``, not for ``heavy`` keys.
     * Spark broadcasts ``right`` only if its measured size is below the session's threshold.
     """
     renamed = {c: f"__right_{c}" for c in on}
     right = right.withColumnsRenamed(renamed)
     first, *rest = on
     pairs, helpers = [f"{_name(c)} = {_name(renamed[c])}" for c in rest], []
-    if spread_by:
+    if meet_by_first and not heavy:
+        # Not written as an equality, which Spark would make part of what rows are shuffled by.
+        pairs = [f"{_name(c)} {sign} {_name(renamed[c])}" for c in rest for sign in ("<=", ">=")]
+        pairs += [f"{_meeting_key(first, spread_by)} = {_name(renamed[first])}", _all_present(on)]
+    elif spread_by:
         spread = f"if({_all_present(on)}, {_name(first)}, string(xxhash64({_name(spread_by)})))"
         pairs += [f"{spread} = {_name(renamed[first])}", _all_present(on)]
     else:
@@ -106,6 +123,35 @@ def resolve_key(
     return found.withColumn(key, F.when(F.col(matched), F.col(key)).otherwise(unknown))
 
 
+def resolve_member(
+    facts: DataFrame,
+    dimension: DataFrame,
+    *,
+    member: str,
+    key: str,
+    key_of: Column,
+    missing: str,
+    unknown: Column,
+    matched: str,
+    spread_by: str,
+) -> DataFrame:
+    """:func:`resolve_key` for a dimension whose ``key`` is a hash of its column ``member``: rows meet by the member itself,
+    which facts hold too and which is shorter than its hash, and ``key_of`` makes the key afterwards.
+
+    ``missing`` is the text that a missing member is hashed as. The dimension's row of it is repeated for each share of
+    the facts without a member (:func:`_meeting_key`). Facts that met another table by the same column and
+    ``spread_by`` before (``meet_by_first`` of :func:`left_lookup`) are not shuffled again.
+    """
+    name, shares = F.coalesce(F.col(member), F.lit(missing)), [f"{MISSING}{i}" for i in range(FANOUT)]
+    asked = [F.struct(F.lit(text).alias("__member"), F.lit(text != missing).alias("__is_share")) for text in (missing, *shares)]
+    alone = F.array(F.struct(name.alias("__member"), F.lit(False).alias("__is_share")))
+    members = dimension.select(F.inline(F.when(name == missing, F.array(*asked)).otherwise(alone)))
+    absent = f"({_name(member)} is null)"
+    met = f"{_meeting_key(member, spread_by)} = __member and {absent} <= __is_share and {absent} >= __is_share"
+    found = facts.join(members, F.expr(met), "left").withColumn(matched, F.col("__member").isNotNull())
+    return found.withColumn(key, F.when(F.col(matched), key_of).otherwise(unknown)).drop("__member", "__is_share")
+
+
 def heavy_values(weighted: DataFrame, columns: list[str], weight: str, share: float = HEAVY_SHARE) -> dict[str, list[str]]:
     """For each of several text columns, the values that hold more than ``share`` of the whole weight.
 

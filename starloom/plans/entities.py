@@ -245,7 +245,8 @@ def monthly_360(months: DataFrame, context: DataFrame, audit: Audit, heavy: list
         "data_quality_status": quality_status(),
         **additive_columns(),
     }
-    joined = left_lookup(spine, context, ["customer_id"], spread_by="monthly_snapshot_id", heavy=heavy)
+    skew = {"spread_by": "monthly_snapshot_id", "heavy": heavy, "meet_by_first": True}
+    joined = left_lookup(spine, context, ["customer_id"], **skew)
     columns = [derived[c].alias(c) if c in derived else F.col(c) for c in MONTH_COLUMNS]
     return joined.select(*columns, *audit.columns())
 
@@ -268,13 +269,14 @@ def support_enriched(events: DataFrame, months: DataFrame, audit: Audit, heavy:
     """Support events with the customer's state in the month of the event.
 
     An equality join on customer and month, never on current data: an event without a month of
-    its own keeps NULLs and says so in ``is_customer_snapshot_matched``.
+    its own keeps NULLs and says so in ``is_customer_snapshot_matched``. Events and months meet by
+    customer, so that the fact finds the events of a customer in one place.
     """
     spine = events.drop(*AUDIT_COLUMNS).withColumns(event_dates())
     context = months.select(
         "customer_id", F.col("snapshot_month").alias("event_month"), *[F.col(c).alias(n) for c, n in MONTH_CONTEXT.items()]
     )
-    skew = {"spread_by": "support_event_id", "heavy": heavy}
+    skew = {"spread_by": "support_event_id", "heavy": heavy, "meet_by_first": True}
     joined = left_lookup(spine, context, ["customer_id", "event_month"], matched="is_customer_snapshot_matched", **skew)
     return joined.select(
         *("support_event_id", "customer_id", "event_timestamp", "event_date", "event_month"),

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from starloom.functions.audit import Audit
 from starloom.functions.dates import date_key
-from starloom.functions.keys import routed_reason_key, surrogate_key, unknown_key
-from starloom.operators.lookup import heavy_values, resolve_key
+from starloom.functions.keys import NULL_TOKEN, routed_reason_key, surrogate_key, unknown_key
+from starloom.operators.lookup import heavy_values, resolve_key, resolve_member
 from starloom.plans.entities import service_columns
 
 MONTH_FACT, EVENT_FACT = "fct_customer_monthly_snapshot", "fct_support_event"
@@ -47,7 +47,7 @@ def heavy_dimension_keys(rows: DataFrame, customers: DataFrame) -> dict[str, lis
 
 def with_dimension_keys(
     rows: DataFrame,
-    row_key: str,
+    row_id: str,
     customers: DataFrame,
     geography: DataFrame,
     services: DataFrame,
@@ -57,17 +57,19 @@ def with_dimension_keys(
 
     ``rows`` brings its service key along, missing where the customer is not known; the other
     two are hashed here and never missing. ``heavy`` lists the keys of each dimension that hold many rows;
-    all three lookups deal these rows out by the same hash of ``row_key``.
+    all three lookups deal these rows out by the same hash of ``row_id``. Without heavy customers, rows are looked up by
+    customer id where the join to their customer's months or attributes has left them.
     """
-    keyed = rows.withColumns(
-        {
-            "customer_key": surrogate_key(F.col("customer_id")),
-            "geography_key": surrogate_key(F.col("zip_code")),
-        }
-    ).drop("zip_code")
-    for dimension, (key, matched) in zip((customers, geography, services), DIMENSION_KEYS.items()):
-        many = (heavy or {}).get(key)
-        spread = row_key if many or key == "service_profile_key" else None
+    customer_key, heavy = surrogate_key(F.col("customer_id")), heavy or {}
+    keyed, others = rows.withColumn("geography_key", surrogate_key(F.col("zip_code"))).drop("zip_code"), dict(DIMENSION_KEYS)
+    found = {"key": "customer_key", "unknown": unknown_key(), "matched": others.pop("customer_key"), "spread_by": row_id}
+    if heavy.get("customer_key"):
+        keyed = resolve_key(keyed.withColumn("customer_key", customer_key), customers, heavy=heavy["customer_key"], **found)
+    else:
+        keyed = resolve_member(keyed, customers, member="customer_id", key_of=customer_key, missing=NULL_TOKEN, **found)
+    for dimension, (key, matched) in zip((geography, services), others.items()):
+        many = heavy.get(key)
+        spread = row_id if many or key == "service_profile_key" else None
         skew = {"spread_by": spread, "heavy": many}
         keyed = resolve_key(keyed, dimension, key=key, unknown=unknown_key(), matched=matched, **skew)
     return keyed
@@ -91,7 +93,6 @@ def fact_months(
     identity = ("monthly_snapshot_id", "customer_id", "snapshot_month", "tenure_months")
     reason = routed_reason_key(*map(F.col, ("is_churned", "churn_category", "churn_reason")))
     rows = months.select(
-        surrogate_key(F.col("customer_id"), F.col("snapshot_month")).alias(MONTH_KEY),
         reason.alias("churn_reason_key"),
         date_key(F.col("snapshot_month")).alias("date_key"),
         *identity,
@@ -99,8 +100,8 @@ def fact_months(
         *measures,
         *DELIVERY,
     )
-    return with_dimension_keys(rows, MONTH_KEY, customers, geography, services, heavy).select(
-        MONTH_KEY,
+    return with_dimension_keys(rows, "monthly_snapshot_id", customers, geography, services, heavy).select(
+        surrogate_key(F.col("customer_id"), F.col("snapshot_month")).alias(MONTH_KEY),
         *DIMENSION_KEYS,
         *("churn_reason_key", "date_key"),
         *DIMENSION_KEYS.values(),
@@ -130,7 +131,6 @@ def fact_events(
         *("is_resolution_hours_valid", "is_satisfaction_score_valid"),
     )
     rows = events.select(
-        surrogate_key(F.col("support_event_id")).alias(EVENT_KEY),
         date_key(F.col("event_date")).alias("date_key"),
         "is_customer_snapshot_matched",
         *details,
@@ -138,8 +138,8 @@ def fact_events(
         *measures,
         *DELIVERY,
     )
-    return with_dimension_keys(rows, EVENT_KEY, customers, geography, services, heavy).select(
-        EVENT_KEY,
+    return with_dimension_keys(rows, "support_event_id", customers, geography, services, heavy).select(
+        surrogate_key(F.col("support_event_id")).alias(EVENT_KEY),
         *DIMENSION_KEYS,
         "date_key",
         *DIMENSION_KEYS.values(),

@@ -308,3 +308,33 @@ def test_missing_fact_keys_are_listed(sound_months):
     found = quality.null_key_flags(one, "m", "customer_monthly_snapshot_key", quality.FACT_KEYS)
     assert [r.null_fk_flags for r in found.collect()] == ["false|false|false|false|true"]
     assert quality.null_key_flags(sound_months, "m", "customer_monthly_snapshot_key", quality.FACT_KEYS).isEmpty()
+
+
+def test_events_of_a_customer_are_shuffled_once_for_their_month_and_their_key(spark, built):
+    """Missing and unknown customers keep their rows, and the customer lookup of the event fact shuffles no events."""
+    from starloom.functions.keys import surrogate_key, unknown_key
+    from starloom.operators.lookup import left_lookup, resolve_member
+
+    ids = "case when id % 7 = 0 then null when id % 5 = 0 then 'nobody' else concat('c', id % 11) end as customer_id"
+    events = spark.range(500).selectExpr("string(id) as event", ids, "date_add(date'2025-01-01', int(id % 3)) as at")
+    months = spark.range(11).selectExpr("concat('c', id) as customer_id", "date'2025-01-02' as at", "id as v")
+    known = spark.range(9).selectExpr("concat('c', id) as customer_id").unionByName(spark.createDataFrame([(None,)], "customer_id string"))
+    members = known.select(surrogate_key(F.col("customer_id")).alias("k"), "customer_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = left_lookup(events, months, ["customer_id", "at"], matched="has_month", spread_by="event", meet_by_first=True)
+        how = {"member": "customer_id", "key": "k", "key_of": surrogate_key(F.col("customer_id")), "missing": NULL_TOKEN}
+        found = resolve_member(met, members, **how, unknown=unknown_key(), matched="is_known", spread_by="event")
+        got = {r.event: r for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found.count() == len(got) == 500
+    for r in events.collect():
+        of = got[r.event]
+        assert of.has_month == (r.customer_id not in (None, "nobody") and str(r["at"]) == "2025-01-02")
+        assert of.is_known == (r.customer_id in {None, *[f"c{i}" for i in range(9)]})
+        text = NULL_TOKEN if r.customer_id is None else r.customer_id
+        assert of.k == hashlib.md5((text if of.is_known else "UNKNOWN").encode()).hexdigest()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("SortMergeJoin") == 2 and final.count("Exchange hashpartitioning") == 3
