@@ -530,6 +530,10 @@ def period_enrich_skewed(spark, folder):
     s = star(spark, folder)
     events = _skewed(s[EVENTS], "event_timestamp")
     events = events.select("support_event_id", "customer_id", month_floor(F.col("event_timestamp")).alias("event_month"))
+    # Read three times, to find heavy keys and to join: written down rather than staged anew each time.
+    written = work_folder(spark, "events")
+    events.write.parquet(written)
+    events = spark.read.schema(events.schema).parquet(written)
     months = s.months.select("customer_id", F.col("snapshot_month").alias("event_month"), F.col("customer_status").alias("status_then"))
     on = ["customer_id", "event_month"]
     skew = {"spread_by": "support_event_id", "heavy": heavy_keys(events, on)}
