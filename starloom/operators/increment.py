@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+# Rows of a month that one task merges, at most about twice as many.
+ROWS_PER_PIECE = 1_000_000
 FLOOR = date(1900, 1, 1)
 LOOKBACK_DAYS = 2
 
@@ -54,10 +56,12 @@ def arrived(raw: DataFrame, mark: dict | None, loaded: str = "etl_ingested_at")
 
 def load_mark(raw: DataFrame, before: dict | None, loaded: str = "etl_ingested_at") -> dict:
     """How far ``raw`` goes: its latest loading time, as text, and how many rows came with it. Without any, as ``before``."""
-    at = raw.agg(F.max(loaded).cast("string")).first()[0]
-    if at is None:
+    # Counted by moment in one pass, for raw rows may be expensive to make.
+    moments = raw.filter(F.col(loaded).isNotNull()).groupBy(F.col(loaded).alias("at")).agg(F.count("*").alias("rows"))
+    latest = moments.agg(F.max(F.struct("at", "rows")).alias("m")).select(F.col("m.at").cast("string"), "m.rows").first()
+    if latest[0] is None:
         return before or {"at": None, "rows": 0}
-    return {"at": at, "rows": raw.filter(F.col(loaded) == F.lit(at).cast("timestamp")).count()}
+    return {"at": latest[0], "rows": latest[1]}
 
 
 def in_shape(df: DataFrame, schema: StructType) -> DataFrame:
@@ -95,6 +99,25 @@ def merge_rows(
     return target.join(source.select(F.col(key).alias("__new_key")), replaced, "left_anti").unionByName(source)
 
 
+def merge_months(
+    target: DataFrame, source: DataFrame, key: str, month: str, left: DataFrame | None = None, pieces: int = 1
+) -> DataFrame:
+    """:func:`merge_rows` for a target that is written by month: all rows are shuffled once, by month and share of the keys,
+    and are written where they are.
+
+    A source row replaces the target's row of equal key in its own month; ``left`` lists the (key, month) pairs of target rows
+    whose keys are in the source with any month. ``pieces`` is the number of shares a month is merged in.
+    """
+    target = in_shape(target, source.schema)
+    rows = target.withColumn("__by", F.lit(0)).unionByName(source.withColumn("__by", F.lit(1)))
+    if left is not None:
+        rows = rows.unionByName(in_shape(left, source.schema).withColumn("__by", F.lit(2)))
+    dealt = rows.withColumn("__piece", F.pmod(F.xxhash64(F.col(key)), F.lit(pieces))).repartition(month, "__piece")
+    last = F.max("__by").over(Window.partitionBy(month, "__piece", key))
+    kept = dealt.withColumn("__last", last).filter((F.col("__by") == 1) | (F.col("__last") == 0))
+    return kept.select(*source.columns)
+
+
 def duplicated(source: DataFrame, key: str, show: int = 5) -> list:
     """A few key values that occur more than once: a merge with them would be ambiguous."""
     repeated = source.groupBy(key).count().filter("count > 1")

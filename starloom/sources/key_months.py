@@ -38,10 +38,10 @@ def buckets_of(entries: DataFrame) -> int | None:
     return first[0] if first else None
 
 
-def months_holding(entries: DataFrame, batch: DataFrame, key: str, buckets: int) -> DataFrame:
-    """The months (one column, with repeats) that hold keys of ``batch``, out of the buckets its keys fall into."""
+def held_keys(entries: DataFrame, batch: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The entries (key and month) of the keys of ``batch``, out of the buckets its keys fall into."""
     asked = filed(batch, key, key, buckets).select(F.col(KEY).alias("asked_key"), BUCKET)
     # One value per bucket: bounded by MAX_BUCKETS.
     touched = [r[0] for r in asked.select(BUCKET).distinct().collect()]
     near = entries.filter(F.col(BUCKET).isin(touched) if touched else F.lit(False))
-    return near.join(asked.select("asked_key"), F.expr(f"{KEY} <=> asked_key"), "left_semi").select(MONTH)
+    return near.join(asked.select("asked_key"), F.expr(f"{KEY} <=> asked_key"), "left_semi").select(KEY, MONTH)

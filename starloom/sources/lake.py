@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starloom.operators.increment import duplicated, in_shape, merge_rows, not_older
+from starloom.operators.increment import ROWS_PER_PIECE, duplicated, in_shape, merge_months, merge_rows, not_older
 from starloom.sources import key_months
 from starloom.sources.key_months import side_table
 from starloom.sources.storage import Storage
@@ -20,6 +20,9 @@ STAGING, ENTITIES, DIMENSIONS, FACTS = "silver/staging", "silver/intermediate",
 # Spark passes over files whose names start with an underscore.
 SCHEMA_FILE, MARK_FILE = "_schema.json", "_mark.json"
 
+# Rows are written several times on their way into a table; this takes a third less than Spark's default.
+PACKED = {"compression": "zstd"}
+
 # What looks at a table as it will be, and raises if it must not be published.
 Inspection = Callable[[DataFrame], None]
 
@@ -84,9 +87,9 @@ class Lake(Storage):
         current = self.path(layer, table)
         fresh = f"{current}__next_{uuid.uuid4().hex}"
         if partition_by:
-            df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(fresh)
+            df.hint("rebalance", partition_by).write.options(**PACKED).partitionBy(partition_by).parquet(fresh)
         else:
-            df.hint("rebalance").write.parquet(fresh)
+            df.hint("rebalance").write.options(**PACKED).parquet(fresh)
         self._keep_schema(fresh, df.schema.jsonValue(), [])
         self._publish({"swap": fresh}, layer, table)
         return self.read(layer, table, df.schema)
@@ -143,7 +146,7 @@ class Lake(Storage):
             )
         current, run = self.path(layer, table), uuid.uuid4().hex
         batch, pending = f"{current}__batch_{run}", f"{current}__pending_{run}"
-        source.write.parquet(batch)
+        source.write.options(**PACKED).parquet(batch)
         source = self.spark.read.schema(source.schema).parquet(batch)
         self._refuse_duplicates(table, source, key, batch)
 
@@ -151,30 +154,38 @@ class Lake(Storage):
         removed = self._kept_schema(current)[1]
         rewrites_all = _reshaped(target.schema, source.schema, removed)
         removed = set() if rewrites_all else removed | set(target.columns) - set(source.columns)
-        held = None if key_fixes_month else self._months_holding(layer, table, source, key, month)
+        held = None if key_fixes_month else self._held(layer, table, source, key, month, f"{current}__held_{run}")
         if newer_by and not rewrites_all:
-            within = _months(source.select(month) if held is None else source.select(month).unionByName(held))
+            within = _months(source.select(month) if held is None else source.select(month).unionByName(held.select(month)))
             accepted = f"{current}__accepted_{run}"
-            not_older(target.filter(_in_months(month, within)), source, key, newer_by).write.parquet(accepted)
+            not_older(target.filter(_in_months(month, within)), source, key, newer_by).write.options(**PACKED).parquet(accepted)
             self._drop(batch)
             batch, source = accepted, self.spark.read.schema(source.schema).parquet(accepted)
-            held = held and self._months_holding(layer, table, source, key, month)
+            if held is not None:
+                kept = source.select(F.col(key).alias("__kept"))
+                held = held.join(kept, F.col(key).eqNullSafe(F.col("__kept")), "left_semi")
         months = source.select(month)
         if rewrites_all:
             months = months.unionByName(target.select(month))
         elif held is not None:
-            months = months.unionByName(held)
+            months = months.unionByName(held.select(month))
         touched = _months(months)
-        merged = merge_rows(target.filter(_in_months(month, touched)), source, key, newer_by=newer_by if rewrites_all else None)
-        merged.hint("rebalance", month).write.partitionBy(month).parquet(pending)
+        old, arrived = target.filter(_in_months(month, touched)), source.count()
+        if rewrites_all:
+            merged = merge_rows(old, source, key, newer_by=newer_by).hint("rebalance", month)
+        else:
+            pieces = -(-(old.count() + arrived) // (ROWS_PER_PIECE * max(1, len(touched)))) or 1
+            merged = merge_months(old, source, key, month, held, pieces)
+        merged.write.options(**PACKED).partitionBy(month).parquet(pending)
         written = self.spark.read.schema(source.schema).parquet(pending)
-        self._inspect(inspect, target.filter(~_in_months(month, touched)), written, pending, batch)
+        aside = [pending, batch] if key_fixes_month else [pending, batch, f"{current}__held_{run}"]
+        self._inspect(inspect, target.filter(~_in_months(month, touched)), written, *aside)
         report = MergeReport(
             table=table,
             first_load=False,
             partitions_rewritten=len(touched),
             rows_written=written.count(),
-            source_rows=source.count(),
+            source_rows=arrived,
         )
         # A month whose last row moved away has no pending folder.
         filled = self._folders(pending)
@@ -191,8 +202,8 @@ class Lake(Storage):
             # Filed before the months are moved: what was accepted can't be told afterwards.
             entries = f"{current}__moved_{run}"
             buckets = key_months.buckets_of(self.read(layer, side_table(table))) or 1
-            key_months.filed(source, key, month, buckets).write.parquet(entries)
-            plan["entries"] = entries
+            key_months.filed(source, key, month, buckets).write.options(**PACKED).parquet(entries)
+            plan |= {"entries": entries, "held": f"{current}__held_{run}"}
         self._publish(plan, layer, table)
         return report
 
@@ -205,13 +216,15 @@ class Lake(Storage):
                     self._drop(folder)
                 raise
 
-    def _months_holding(self, layer: str, table: str, source: DataFrame, key: str, month: str) -> DataFrame:
+    def _held(self, layer: str, table: str, source: DataFrame, key: str, month: str, folder: str) -> DataFrame:
+        """Which months hold older copies of the source's keys, written down, as it is read several times."""
         if not self.exists(layer, side_table(table)):
             self._file_keys(layer, table, key, month)
         entries = self.read(layer, side_table(table))
         buckets = key_months.buckets_of(entries) or 1
-        held = key_months.months_holding(entries, source, key, buckets)
-        return held.select(F.col(key_months.MONTH).alias(month))
+        held = key_months.held_keys(entries, source, key, buckets).toDF(key, month)
+        held.write.options(**PACKED).parquet(folder)
+        return self.spark.read.schema(held.schema).parquet(folder)
 
     def _file_keys(self, layer: str, table: str, key: str, month: str) -> None:
         """The side table of a table's keys, made anew from two of its columns."""
@@ -242,7 +255,7 @@ class Lake(Storage):
                 filing = {"key": key_months.KEY, "month": key_months.BUCKET, "key_fixes_month": True}
                 self.merge(layer, side_table(table), entries, **filing)
         self._drop(self._manifest(current))
-        for folder in ("pending", "batch", "entries"):
+        for folder in ("pending", "batch", "entries", "held"):
             if folder in plan:
                 self._drop(plan[folder])
 
@@ -310,7 +323,7 @@ class Lake(Storage):
         """
         self.recover(layer, table)
         fresh = f"{self.path(layer, table)}__next_{uuid.uuid4().hex}"
-        source.hint("rebalance", month).write.partitionBy(month).parquet(fresh)
+        source.hint("rebalance", month).write.options(**PACKED).partitionBy(month).parquet(fresh)
         held = self.spark.read.schema(source.schema).parquet(fresh)
         self._refuse_duplicates(table, held, key, fresh)
         self._inspect(inspect, held.filter("false"), held, fresh)

@@ -264,3 +264,31 @@ def test_what_fails_inspection_is_not_published(lake, rows):
     assert seen == [{"a": 1}, {"a": 2, "b": 1}, {"c": 3}]
     assert content(lake) == {"a": (JAN, 1), "b": (FEB, 1)}
     assert sorted(os.listdir(f"{lake.root}/gold/fact")) == before
+
+
+def test_merged_rows_are_shuffled_once(lake, rows, monkeypatch):
+    """Old and new rows of a month meet by month and share of the keys, and are written where they met."""
+    from starloom.operators import increment
+    from starloom.sources import lake as lakes
+
+    spark, plans = lake.spark, []
+    merge_months = increment.merge_months
+
+    def seen(*given):
+        merged = merge_months(*given)
+        plans.append((given[-1], merged._jdf.queryExecution().executedPlan().toString()))
+        return merged
+
+    lake.merge(FACTS, "t", rows(SCHEMA, ("a", JAN, day(1), 1), (None, FEB, day(1), 2), ("c", None, day(1), 3), ("d", JAN, day(1), 4)), **MERGE)
+    monkeypatch.setattr(lakes, "merge_months", seen)
+    monkeypatch.setattr(lakes, "ROWS_PER_PIECE", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lake.merge(FACTS, "t", rows(SCHEMA, ("a", FEB, day(2), 10), (None, JAN, day(2), 20), ("c", None, day(2), 30)), **MERGE)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert content(lake) == {"a": (FEB, 10), None: (JAN, 20), "c": (None, 30), "d": (JAN, 4)}
+    assert lake.read(FACTS, "t").count() == 4
+    pieces, plan = plans[0]
+    assert pieces > 1 and plan.split("== Initial Plan ==")[0].count("Exchange") == 1
+    assert sorted(os.listdir(f"{lake.root}/gold/fact")) == ["t", "t__keys"]
