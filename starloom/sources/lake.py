@@ -20,7 +20,7 @@ STAGING, ENTITIES, DIMENSIONS, FACTS = "silver/staging", "silver/intermediate",
 # Spark passes over files whose names start with an underscore.
 SCHEMA_FILE, MARK_FILE = "_schema.json", "_mark.json"
 
-# Rows are written several times on their way into a table; this takes a third less than Spark's default.
+# Rows are written several times on their way into a table; this takes about a quarter less than Spark's default.
 PACKED = {"compression": "zstd"}
 
 # What looks at a table as it will be, and raises if it must not be published.
